@@ -43,6 +43,18 @@ TELE_SQL = """tele AS (
          CAST(l_quantity AS DOUBLE) * CAST(l_tax AS DOUBLE) AS humidity
   FROM lineitem)"""
 
+def tele_ev_sql(null_every: int | None = None, name: str = "tele_ev") -> str:
+    vib = "CAST(value AS DOUBLE)"
+    if null_every:
+        vib = f"CASE WHEN event_id % {null_every} = 0 THEN NULL ELSE {vib} END"
+    return f"""{name} AS (
+  SELECT event_id AS row_id, CAST(ts AS TIMESTAMP) AS ts, user_id AS asset, {vib} AS vibration,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+         CAST(event_type = 'error' AS INTEGER) AS is_error,
+         least(CAST(value AS DOUBLE) / 200.0, 1.0) AS score
+  FROM events)"""
+
+
 TELE_EV_SQL = """tele_ev AS (
   SELECT event_id AS row_id, CAST(ts AS TIMESTAMP) AS ts, user_id AS asset, CAST(value AS DOUBLE) AS vibration,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
@@ -88,4 +100,4 @@ FROM {src} WHERE label_fault = 1 GROUP BY {k}event_no"""
 
 def load_all() -> None:
     """Import every query module (each registers its queries)."""
-    from . import q_core  # noqa: F401
+    from . import q_core, q_clean  # noqa: F401
