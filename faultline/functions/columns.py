@@ -10,7 +10,11 @@ __all__ = [
 ]
 
 US_PER_S = 1_000_000
-EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def EPOCH() -> Column:
+    """The epoch as a TIMESTAMP_NTZ literal (built lazily: needs a session)."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def col(c) -> Column:
@@ -25,11 +29,11 @@ def to_ntz(c) -> Column:
 def epoch_us(c) -> Column:
     """Microseconds since the epoch as bigint; integer arithmetic keeps
     gaps exact (float epochs drift in the 7th decimal)."""
-    return F.timestamp_diff("MICROSECOND", EPOCH, to_ntz(c))
+    return F.timestamp_diff("MICROSECOND", EPOCH(), to_ntz(c))
 
 
 def us_to_ts(c) -> Column:
-    return F.timestamp_add("MICROSECOND", col(c), EPOCH)
+    return F.timestamp_add("MICROSECOND", col(c), EPOCH())
 
 
 def nan_to_null(c) -> Column:

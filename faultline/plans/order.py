@@ -11,6 +11,12 @@ The *segmented scan* used here:
    ``n`` contiguous, balanced ranges (the range partitioner samples the full
    sort key, so a hot asset is spread over many ranges).  The partition id
    becomes the segment number ``_seg``.
+   The segmented rows are written once with a reliable ``checkpoint()`` to
+   the shared checkpoint folder: the range partitioner samples with a seed
+   tied to the RDD id, so two executions of the same exchange (one per plan
+   branch, or a recomputation after a lost executor) could cut different
+   ranges.  Pinning the assignment makes every consumer -- the rows and
+   their per-segment summary -- see the same segments.
 2. Each (keys, segment) is processed by an ordinary window (bounded size).
 3. One summary row per (keys, segment) -- at most ``#keys + n`` rows, small
    and independent of row count -- carries the state across segment borders
@@ -30,7 +36,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import checkpoint_dir, shuffle_partitions
 
 SEG = "_seg"
 RN = "_rn"
@@ -51,7 +57,9 @@ def segment(df: DataFrame, keys, order, strategy: str = "ranged",
         raise ValueError(f"unknown strategy {strategy!r}")
     n = num_segments or shuffle_partitions(df.sparkSession)
     exprs = [F.col(k).asc_nulls_last() for k in keys] + _ord(order)
-    return df.repartitionByRange(n, *exprs).withColumn(SEG, F.spark_partition_id())
+    seg = df.repartitionByRange(n, *exprs).withColumn(SEG, F.spark_partition_id())
+    checkpoint_dir(df.sparkSession)
+    return seg.checkpoint(eager=True)
 
 
 def local_window(keys, order):
