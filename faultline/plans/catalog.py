@@ -100,4 +100,4 @@ FROM {src} WHERE label_fault = 1 GROUP BY {k}event_no"""
 
 def load_all() -> None:
     """Import every query module (each registers its queries)."""
-    from . import q_core, q_clean, q_labels, q_series  # noqa: F401
+    from . import q_core, q_clean, q_labels, q_series, q_events  # noqa: F401
