@@ -55,7 +55,7 @@ def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
     st = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
                 *[F.min(F.col(c)).cast("double").alias(f"a{i}") for i, c in enumerate(cols)],
                 *[F.max(F.col(c)).cast("double").alias(f"b{i}") for i, c in enumerate(cols)]).first()
-    plan = {}      # (col index, q) -> (n, lo rank, hi rank, frac)
+    plan = {}      # (col index, q) -> (lo rank, hi rank, frac)
     state = {}     # (col index, rank) -> [a, b, below, count, value]
     for i, c in enumerate(cols):
         n = int(st[f"n{i}"])
@@ -68,7 +68,21 @@ def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
             plan[(i, q)] = (lo, hi, h - lo)
             for r in (lo, hi):
                 state.setdefault((i, r), [st[f"a{i}"], st[f"b{i}"], 0, n, None])
+    _select(df, cols, state, bins, small, max_rounds)
 
+    out = {}
+    for (i, q), p in plan.items():
+        if p is None:
+            out[(cols[i], q)] = None
+            continue
+        lo, hi, frac = p
+        out[(cols[i], q)] = _interp(state[(i, lo)][4], state[(i, hi)][4], frac)
+    return out
+
+
+def _select(df, cols, state, bins, small, max_rounds):
+    """Resolve every ``state[(col index, rank)]`` to the exact value of that
+    0-based order statistic (NULLs excluded)."""
     for _ in range(max_rounds):
         pending = {k: v for k, v in state.items() if v[4] is None}
         for k, v in pending.items():
@@ -76,29 +90,31 @@ def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
                 v[4] = v[0]
         pending = {k: v for k, v in pending.items() if v[4] is None}
         if not pending:
-            break
+            return
         fetch = {k: v for k, v in pending.items() if v[3] <= small}
         refine = {k: v for k, v in pending.items() if v[3] > small}
         if fetch:
             _fetch_exact(df, cols, fetch)
         if refine:
             _refine_once(df, cols, refine, bins)
-    else:  # pathological spreads: finish the remaining intervals exactly
-        for k, v in state.items():
-            if v[4] is None:
-                c = cols[k[0]]
-                sub = df.where(F.col(c).between(v[0], v[1]))
-                v[4] = sub.agg(F.percentile(F.col(c), F.lit(0.0)) if v[3] == 1 else
-                               F.percentile(F.col(c), F.lit((k[1] - v[2]) / max(v[3] - 1, 1)))).first()[0]
-
-    out = {}
-    for (i, q), p in plan.items():
-        if p is None:
-            out[(cols[i], q)] = None
-            continue
-        lo, hi, frac = p
-        out[(cols[i], q)] = _interp(state[(i, lo)][4], state[(i, hi)][4], frac)
-    return out
+    for k, v in state.items():     # pathological spreads: finish exactly
+        if v[4] is None:
+            c = cols[k[0]]
+            sub = df.where(F.col(c).between(v[0], v[1]))
+            frac = 0.0 if v[3] <= 1 else (k[1] - v[2]) / (v[3] - 1)
+            v[4] = sub.agg(F.percentile(F.col(c), F.lit(frac))).first()[0]
+
+
+def order_statistics(df: DataFrame, col: str, ranks, bins: int = 4096, small: int = 20000,
+                     max_rounds: int = 48) -> dict:
+    """{rank: value} for 0-based ranks among the non-NULL values of ``col``
+    (ranks outside [0, n) map to None)."""
+    st = df.agg(F.count(F.col(col)).alias("n"), F.min(F.col(col)).cast("double").alias("a"),
+                F.max(F.col(col)).cast("double").alias("b")).first()
+    n = int(st["n"])
+    state = {(0, int(r)): [st["a"], st["b"], 0, n, None] for r in ranks if 0 <= int(r) < n}
+    _select(df, [col], state, bins, small, max_rounds)
+    return {int(r): (state[(0, int(r))][4] if (0, int(r)) in state else None) for r in ranks}
 
 
 def _interval_ids(items):
