@@ -21,18 +21,62 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = same_rounding(sql.strip())
         return fn
     return deco
 
 
+def r6(c):
+    """Round half up to 6 decimals with plain double arithmetic.  Spark's
+    ``round`` goes through the decimal string of a double and DuckDB's
+    through binary scaling, so the two disagree on values whose shortest
+    decimal ends in 5 at the 7th place; the explicit formula is the same
+    IEEE computation in both engines."""
+    return F.floor(c * F.lit(1000000.0) + F.lit(0.5)) / F.lit(1000000.0)
+
+
 def finish(df: DataFrame) -> DataFrame:
-    """Round every double column to 6 places (oracle does the same)."""
-    return df.select(*[F.round(F.col(f.name), 6).alias(f.name)
+    """Round every double column to 6 places (the oracle does the same)."""
+    return df.select(*[r6(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
 
+def same_rounding(sql: str) -> str:
+    """Rewrite every ``round(expr, 6)`` of an oracle query into the formula
+    used by :func:`r6`."""
+    out, i = [], 0
+    low = sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, last_comma = 0, j + 6, None
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                last_comma = k
+            k += 1
+        inner = sql[j + 6:k]
+        if last_comma is not None and sql[last_comma + 1:k].strip() == "6":
+            expr = same_rounding(sql[j + 6:last_comma])
+            out.append(sql[i:j] + f"(floor(({expr}) * 1000000.0 + 0.5) / 1000000.0)")
+        else:
+            out.append(sql[i:j] + "round(" + same_rounding(inner) + ")")
+        i = k + 1
+
+
 # ---------------------------------------------------------------- SQL views
 TELE_SQL = """tele AS (
   SELECT strftime(l_shipdate, '%Y%m%d') || '-' || lpad(CAST(l_orderkey AS VARCHAR), 12, '0') || '-'
@@ -100,4 +144,4 @@ FROM {src} WHERE label_fault = 1 GROUP BY {k}event_no"""
 
 def load_all() -> None:
     """Import every query module (each registers its queries)."""
-    from . import q_core, q_clean, q_labels, q_series, q_events, q_splits  # noqa: F401
+    from . import q_core, q_clean, q_labels, q_series, q_events, q_splits, q_eval  # noqa: F401

@@ -201,3 +201,22 @@ def islands(df: DataFrame, keys, ts: str, row_id: str, y: str, gap_us,
     d = (d.withColumn("_is_start", F.when(F.col(RN) == 1, F.col("_fs")).otherwise(F.col("_inner")))
           .withColumn("_event_no", (F.col("_off") + F.col("_fs") + F.col("_cum")).cast("long")))
     return d.drop("_p", "_inner", "_cum", "_fs", "_off", "_gap")
+
+
+def running_sums(df: DataFrame, keys, order, cols, strategy="ranged", prefix="cum_",
+                 total_prefix="tot_") -> DataFrame:
+    """Inclusive running sums of ``cols`` per key in (order) plus per-key
+    totals, carried across segments through the per-segment summary."""
+    keys, cols = list(keys), list(cols)
+    d = segment(df, keys, order, strategy)
+    w = local_window(keys, order)
+    d = d.withColumns({prefix + c: F.sum(c).over(running(w)) for c in cols})
+    summ = d.groupBy(*keys, SEG).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
+    ws = seg_window(keys)
+    before = ws.rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(*keys, SEG,
+                       *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols],
+                       *[F.sum(f"_s_{c}").over(Window.partitionBy(*keys)).alias(total_prefix + c) for c in cols])
+    d = attach(d, summ, keys)
+    d = d.withColumns({prefix + c: F.col(prefix + c) + F.col(f"_o_{c}") for c in cols})
+    return d.drop(*[f"_o_{c}" for c in cols])
