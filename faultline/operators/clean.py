@@ -23,7 +23,7 @@ def parse_ts(df: DataFrame, col: str, fmt: str | None = None, drop_null: bool =
     return out.dropna(subset=[col]) if drop_null else out
 
 
-def sort_time(df: DataFrame, ts: str = "ts", row_id: str = "row_id", keys=(), strategy="ranged",
+def sort_time(df: DataFrame, ts: str = "ts", row_id: str = "row_id", keys=(), strategy="auto",
               pos: str = "pos") -> DataFrame:
     """Global (or per-key) time order with ties broken by ``row_id``;
     materialised as a 1-based position, computed without a single-task
@@ -45,7 +45,7 @@ def dropna_subset(df: DataFrame, cols) -> DataFrame:
 
 
 def ffill_bfill(df: DataFrame, cols, ts: str = "ts", row_id: str = "row_id", keys=(),
-                strategy="ranged") -> DataFrame:
+                strategy="auto") -> DataFrame:
     """Forward then backward fill in time order (per key if given)."""
     return fill_forward_backward(df, keys, [ts, row_id], cols, strategy).drop("_seg", "_rn")
 

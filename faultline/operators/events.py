@@ -35,7 +35,7 @@ def _aggregate(d: DataFrame, keys, ts: str, id_col: str = "event_id") -> DataFra
 
 
 def fault_events(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
-                 gap_sec=120.0, keys=(), strategy: str = "ranged") -> DataFrame:
+                 gap_sec=120.0, keys=(), strategy: str = "auto") -> DataFrame:
     """Sort by time; a fault row opens an event if the previous row is
     normal or the time since the previous fault row exceeds ``gap_sec``
     (equal merges); a normal row closes it.  NULL time opens a new event.
@@ -47,7 +47,7 @@ def fault_events(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id:
 
 
 def event_ids(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
-              gap_min: float = 5.0, keys=(), strategy: str = "ranged", out: str = "event_id") -> DataFrame:
+              gap_min: float = 5.0, keys=(), strategy: str = "auto", out: str = "event_id") -> DataFrame:
     """Per-row event id (0-based, -1 for normal rows); a gap ``>``
     ``gap_min`` minutes splits; a NULL time never splits."""
     keys = list(keys)
@@ -58,7 +58,7 @@ def event_ids(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str
 
 
 def fault_gaps(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
-               keys=(), strategy: str = "ranged") -> DataFrame:
+               keys=(), strategy: str = "auto") -> DataFrame:
     """Seconds between consecutive fault rows (integer micros, then divided)."""
     keys = list(keys)
     f = df.where(F.col(y) == 1).select(*keys, ts, row_id).withColumn("_us", epoch_us(ts))
@@ -68,7 +68,7 @@ def fault_gaps(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: st
 
 def learn_gap(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
               min_sec: float = 60.0, max_sec: float = 900.0, q: float = 0.95,
-              strategy: str = "ranged") -> float:
+              strategy: str = "auto") -> float:
     """P95 of consecutive fault gaps below one day, clamped to
     [min_sec, max_sec]; ``min_sec`` when there is no gap."""
     g = fault_gaps(df, y, ts, row_id, strategy=strategy).where(F.col("gap_s") < DAY_S)
@@ -80,7 +80,7 @@ def learn_gap(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str
 
 def gap_quantile_global(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
                         q: float = 0.95, min_gaps: int = 10, fallback_sec: float = 10.0,
-                        retry: bool = True, strategy: str = "ranged") -> float:
+                        retry: bool = True, strategy: str = "auto") -> float:
     """Quantile of fault gaps below one day if at least ``min_gaps``
     exist; else retry at min(0.8, q) with min_gaps // 2; else the fallback."""
     g = fault_gaps(df, y, ts, row_id, strategy=strategy).where(F.col("gap_s") < DAY_S).cache()
@@ -112,7 +112,7 @@ def daily_gap_thresholds(df: DataFrame, y: str = "label_fault", ts: str = "ts",
 
 def events_gap_per_day(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
                        q: float = 0.95, min_gaps_daily: int = 6, min_gaps_global: int = 10,
-                       fallback_sec: float = 10.0, strategy: str = "ranged") -> DataFrame:
+                       fallback_sec: float = 10.0, strategy: str = "auto") -> DataFrame:
     """E5: run-based events where the merge limit of each row is its day's
     gap quantile, falling back to the global quantile at min(0.8, q) (needs
     min_gaps_global // 2 gaps) and then to ``fallback_sec``.  Rows with a
@@ -128,7 +128,7 @@ def events_gap_per_day(df: DataFrame, y: str = "label_fault", ts: str = "ts", ro
 
 
 def gap_merge(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
-              gap_sec: float = 60.0, keys=(), strategy: str = "ranged",
+              gap_sec: float = 60.0, keys=(), strategy: str = "auto",
               id_col: str = "ticket_id") -> DataFrame:
     """Tickets from fault rows only; consecutive fault rows merge while
     their gap is <= ``gap_sec`` (normal rows are ignored)."""

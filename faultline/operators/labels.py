@@ -90,8 +90,9 @@ def autotune(df: DataFrame, vib="vibration", rev="revolutions", spd="speed",
     thresholds of each column it meets; thresholds grow with the percentile,
     so ``x >= thr_i`` iff ``grade > i``), the rows collapse to a histogram of
     at most 6^3 grade cells, and the 125 combinations are rated from that
-    histogram in one aggregate.  Ties keep the first combination in grid
-    order (vibration, revolutions, speed), like a strict ``<`` search."""
+    histogram (bounded by the grid, collected).  Ties keep the first
+    combination in grid order (vibration, revolutions, speed), like a
+    strict ``<`` search."""
     grids = {vib: list(vib_grid), rev: list(rev_grid), spd: list(spd_grid)}
     cols = [vib, rev, spd]
     src = df.select(*[_src(c, abs_cols).alias(c) for c in cols])
@@ -103,28 +104,20 @@ def autotune(df: DataFrame, vib="vibration", rev="revolutions", spd="speed",
     grades = [sum([flag(cmp(c, op, F.lit(t))) for t in thr[c]][1:],
                   flag(cmp(c, op, F.lit(thr[c][0])))).alias(f"g_{i}") for i, c in enumerate(cols)]
     hist = src.select(*grades).groupBy("g_0", "g_1", "g_2").agg(F.count(F.lit(1)).alias("n"))
-    combos, aggs = [], [F.sum("n").alias("total")]
-    idx = 0
+    cells = [(r["g_0"], r["g_1"], r["g_2"], r["n"]) for r in hist.collect()]   # at most (grid + 1)^3 cells
+    total = sum(c[3] for c in cells)
+    best = None
     for i, pv in enumerate(grids[vib]):
         for j, pr in enumerate(grids[rev]):
             for m, ps in enumerate(grids[spd]):
-                hit = ((F.col("g_0") > i).cast("int") + (F.col("g_1") > j).cast("int")
-                       + (F.col("g_2") > m).cast("int")) >= k
-                aggs.append(F.sum(F.when(hit, F.col("n")).otherwise(F.lit(0))).alias(f"c{idx}"))
-                combos.append((idx, pv, pr, ps, thr[vib][i], thr[rev][j], thr[spd][m]))
-                idx += 1
-    one = hist.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(ix).alias("combo"), F.lit(pv).alias("vib_p"),
-                              F.lit(pr).alias("rev_p"), F.lit(ps).alias("spd_p"),
-                              (F.col(f"c{ix}") / F.col("total")).alias("rate"),
-                              F.lit(tv).alias("thr_vibration"), F.lit(tr).alias("thr_revolutions"),
-                              F.lit(ts).alias("thr_speed_abs"))
-                     for ix, pv, pr, ps, tv, tr, ts in combos])
-    cand = one.select(F.inline(rows))
-    best = cand.agg(F.min_by(F.struct(*[c for c in cand.columns]),
-                             F.struct(F.abs(F.col("rate") - F.lit(target)), F.col("combo"))).alias("b"))
-    return best.select("b.vib_p", "b.rev_p", "b.spd_p", "b.rate", "b.thr_vibration",
-                       "b.thr_revolutions", "b.thr_speed_abs")
+                hit = sum(n for a, b, c, n in cells if (a > i) + (b > j) + (c > m) >= k)
+                rate = hit / total if total else 0.0
+                cand = (abs(rate - target), pv, pr, ps, rate, thr[vib][i], thr[rev][j], thr[spd][m])
+                if best is None or cand[0] < best[0]:            # strict: first best wins
+                    best = cand
+    return df.sparkSession.createDataFrame(
+        [best[1:]], "vib_p double, rev_p double, spd_p double, rate double, thr_vibration double, "
+                    "thr_revolutions double, thr_speed_abs double")
 
 
 def apply_autotune(df: DataFrame, best_row, vib="vibration", rev="revolutions", spd="speed",

@@ -88,7 +88,7 @@ def classification_report(df: DataFrame, y: str = "y", yhat: str = "yhat", keys=
     return c.select(*keys, F.inline(F.array(*rows)))
 
 
-def score_points(df: DataFrame, y: str = "y", score: str = "score", keys=(), strategy="ranged") -> DataFrame:
+def score_points(df: DataFrame, y: str = "y", score: str = "score", keys=(), strategy="auto") -> DataFrame:
     """One row per (keys, distinct score): pos, neg, cumulative counts in
     descending score order, and the key's totals."""
     keys = list(keys)

@@ -11,7 +11,7 @@ from ..plans.order import carry_prev, fill_forward_backward
 
 def first_difference(df: DataFrame, col: str, out: str = "acceleration", ts: str = "ts",
                      row_id: str = "row_id", keys=(), per_second: bool = False,
-                     strategy: str = "ranged") -> DataFrame:
+                     strategy: str = "auto") -> DataFrame:
     """``c - previous c`` in time order (per key), first row 0; with
     ``per_second`` divided by the time step in seconds."""
     keys = list(keys)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.order import position
-from ..plans.quantile import order_statistics
+from ..plans.quantile import multi_order_statistics
 
 H, MD5 = "_h", "_md5"
 
@@ -44,23 +44,50 @@ def largest_remainder(counts: dict, draws: int) -> dict:
     return out
 
 
+def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, key: str = "row_id") -> dict:
+    """Predicates selecting, within each stratum ``s``, the ``k`` lowest
+    ranked rows for every ``k`` in ``wanted[s]`` (rank order: hash prefix,
+    md5, key).  All cut values come from one batched order-statistic
+    selection and one aggregate that resolves prefix collisions (bounded
+    by the number of colliding hashes)."""
+    preds, targets = {}, []
+    for s, ks in wanted.items():
+        n = counts.get(s, 0)
+        for k in ks:
+            if k <= 0:
+                preds[(s, k)] = F.lit(False)
+            elif k >= n:
+                preds[(s, k)] = F.lit(True)
+            else:
+                targets.append((s, k))
+    if not targets:
+        return preds
+    need = sorted({s for s, _ in targets}, key=str)
+    hcol = {s: f"_hs{i}" for i, s in enumerate(need)}
+    proj = dfh.select(*[F.when(_in_stratum(strata, s), F.col(H)).alias(c) for s, c in hcol.items()])
+    vals = multi_order_statistics(proj, {hcol[s]: sorted({k - 1 for s2, k in targets if s2 == s}) for s in need})
+    aggs = []
+    for i, (s, k) in enumerate(targets):
+        v = vals[(hcol[s], k - 1)]
+        ins = _in_stratum(strata, s)
+        aggs += [F.count_if(ins & (F.col(H) < F.lit(v))).alias(f"l{i}"),
+                 F.collect_list(F.when(ins & (F.col(H) == F.lit(v)),
+                                       F.struct(F.col(MD5).alias("m"), F.col(key).alias("k")))).alias(f"e{i}")]
+    r = dfh.agg(*aggs).first()
+    for i, (s, k) in enumerate(targets):
+        v = vals[(hcol[s], k - 1)]
+        ties = sorted(((t["m"], t["k"]) for t in r[f"e{i}"]), key=lambda t: (t[0], t[1]))
+        take = [t[1] for t in ties[: k - int(r[f"l{i}"])]]
+        cond = F.col(H) < F.lit(v)
+        if take:
+            cond = cond | ((F.col(H) == F.lit(v)) & F.col(key).isin(take))
+        preds[(s, k)] = cond
+    return preds
+
+
 def rank_cut(dfh: DataFrame, k: int, n: int, key: str = "row_id"):
-    """A predicate selecting the ``k`` lowest-ranked rows of ``dfh`` (hash
-    columns present, ``n`` rows).  Rank order: (hash prefix, md5, key)."""
-    if k <= 0:
-        return F.lit(False)
-    if k >= n:
-        return F.lit(True)
-    v = order_statistics(dfh, H, [k - 1])[k - 1]
-    r = dfh.agg(F.count_if(F.col(H) < v).alias("less"),
-                F.collect_list(F.when(F.col(H) == v, F.struct(F.col(MD5).alias("m"),
-                                                               F.col(key).alias("k")))).alias("eq")).first()
-    ties = sorted(((t["m"], t["k"]) for t in r["eq"]), key=lambda t: (t[0], t[1]))
-    take = [t[1] for t in ties[: k - int(r["less"])]]      # bounded by hash collisions
-    cond = F.col(H) < F.lit(v)
-    if take:
-        cond = cond | ((F.col(H) == F.lit(v)) & F.col(key).isin(take))
-    return cond
+    """Predicate selecting the ``k`` lowest-ranked rows of ``dfh``."""
+    return rank_cuts(dfh, None, {None: n}, {None: [k]}, key)[(None, k)]
 
 
 def _strata_counts(df: DataFrame, strata: str | None) -> dict:
@@ -81,13 +108,13 @@ def assign_folds(df: DataFrame, quotas: dict, names, key: str = "row_id", seed:
     the next quotas[s][1] names[1], ..., the rest names[-1]."""
     dfh = with_hash(df, key, seed)
     counts = _strata_counts(df, strata)
+    acc = {s: [sum(qs[:i + 1]) for i in range(len(qs))] for s, qs in quotas.items()}
+    preds = rank_cuts(dfh, strata, counts, acc, key)
     expr = None
-    for s, qs in quotas.items():
-        sub = dfh.where(_in_stratum(strata, s))
-        acc, branch = 0, None
-        for q, name in zip(qs, names):
-            acc += q
-            c = rank_cut(sub, acc, counts.get(s, 0), key)
+    for s, ks in acc.items():
+        branch = None
+        for k, name in zip(ks, names):
+            c = preds[(s, k)]
             branch = F.when(c, F.lit(name)) if branch is None else branch.when(c, F.lit(name))
         branch = branch.otherwise(F.lit(names[-1])) if branch is not None else F.lit(names[-1])
         expr = F.when(_in_stratum(strata, s), branch) if expr is None else expr.when(_in_stratum(strata, s), branch)
@@ -119,7 +146,7 @@ def split_two_way(df: DataFrame, label: str, test_size: float = 0.30, key: str =
 
 
 def split_chronological(df: DataFrame, ts: str = "ts", row_id: str = "row_id", train: float = 0.70,
-                        val: float = 0.15, out: str = "fold", strategy: str = "ranged") -> DataFrame:
+                        val: float = 0.15, out: str = "fold", strategy: str = "auto") -> DataFrame:
     """First int(0.70 n) rows in time order train, next int(0.15 n)
     validation, the rest test (global position via the segmented scan)."""
     d = position(df, [], [ts, row_id], strategy=strategy, pos="_pos", total="_n")
@@ -147,8 +174,8 @@ def split_event_group(df: DataFrame, event_col: str = "event_id", key: str = "ro
     gh = with_hash(groups, "_group", seed)
     # groups ranked by hash: the first n_out leave training; of those the
     # first (n_out - n_test) validate and the rest test
-    c_val = rank_cut(gh, n_out - n_test, n, "_group")
-    c_out = rank_cut(gh, n_out, n, "_group")
+    cuts = rank_cuts(gh, None, {None: n}, {None: [n_out - n_test, n_out]}, "_group")
+    c_val, c_out = cuts[(None, n_out - n_test)], cuts[(None, n_out)]
     dh = with_hash(d, "_group", seed)
     return (dh.withColumn(out, F.when(c_val, "val").when(c_out, "test").otherwise("train"))
               .drop("_group", H, MD5))
@@ -162,9 +189,10 @@ def sample_stratified(df: DataFrame, label: str | None, n_max: int = 5000, key:
     n = sum(counts.values())
     take = largest_remainder(counts, min(n_max, n))
     dfh = with_hash(df, key, seed)
+    preds = rank_cuts(dfh, label, counts, {s: [k] for s, k in take.items()}, key)
     cond = None
     for s, k in take.items():
-        c = _in_stratum(label, s) & rank_cut(dfh.where(_in_stratum(label, s)), k, counts[s], key)
+        c = _in_stratum(label, s) & preds[(s, k)]
         cond = c if cond is None else (cond | c)
     return dfh.where(cond).drop(H, MD5)
 
@@ -186,8 +214,9 @@ def balanced_subsample(df: DataFrame, label: str, cap: int = 6000, key: str = "r
     if k <= 0:
         return df
     dfh = with_hash(df, key, seed)
-    c1 = (F.col(label) == 1) & rank_cut(dfh.where(F.col(label) == 1), k, pos, key)
-    c0 = (F.col(label) == 0) & rank_cut(dfh.where(F.col(label) == 0), k, neg, key)
+    preds = rank_cuts(dfh, label, counts, {1: [k], 0: [k]}, key)
+    c1 = (F.col(label) == 1) & preds[(1, k)]
+    c0 = (F.col(label) == 0) & preds[(0, k)]
     return dfh.where(c1 | c0).drop(H, MD5)
 
 

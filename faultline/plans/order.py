@@ -26,8 +26,12 @@ The *segmented scan* used here:
    that join into a broadcast at run time when the summary is small, and
    keeps a shuffle join otherwise.
 
-``strategy="window"`` uses one segment per key (the plain window) and is
-kept for comparison and tests; both strategies give identical results.
+``strategy="window"`` uses one segment per key (the plain window).
+``strategy="auto"`` (the default) measures the key distribution with one
+aggregate: when no key holds more than ``HOT_FACTOR`` times an average
+partition's rows the plain keyed window is used (one shuffle, no
+checkpoint); otherwise -- and always for a global order without keys --
+the segmented scan.  All strategies give identical results.
 """
 from __future__ import annotations
 
@@ -40,17 +44,33 @@ from ..session import checkpoint_dir, shuffle_partitions
 
 SEG = "_seg"
 RN = "_rn"
+HOT_FACTOR = 2.0
+
+
+def choose_strategy(df: DataFrame, keys, strategy: str = "auto") -> str:
+    """Resolve ``auto``: ranged if there are no keys or a key is hot."""
+    if strategy != "auto":
+        return strategy
+    keys = list(keys)
+    if not keys:
+        return "ranged"
+    r = df.groupBy(*keys).count().agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
+    if r["n"] is None:
+        return "window"
+    per_task = r["n"] / shuffle_partitions(df.sparkSession)
+    return "ranged" if r["m"] > max(HOT_FACTOR * per_task, 1.0) else "window"
 
 
 def _ord(order):
     return [F.col(c).asc_nulls_last() for c in order]
 
 
-def segment(df: DataFrame, keys, order, strategy: str = "ranged",
+def segment(df: DataFrame, keys, order, strategy: str = "auto",
             num_segments: int | None = None) -> DataFrame:
     """Tag rows with a segment number; rows of a segment are contiguous in
     (keys, order)."""
     keys, order = list(keys), list(order)
+    strategy = choose_strategy(df, keys, strategy)
     if strategy == "window":
         return df.withColumn(SEG, F.lit(0))
     if strategy != "ranged":
@@ -86,7 +106,7 @@ def attach(df: DataFrame, summary: DataFrame, keys) -> DataFrame:
     return out.drop(*[f"__j{i}" for i in range(len(on))])
 
 
-def carry_prev(df: DataFrame, keys, order, cols, strategy="ranged", prefix="prev_") -> DataFrame:
+def carry_prev(df: DataFrame, keys, order, cols, strategy="auto", prefix="prev_") -> DataFrame:
     """``prev_<c>`` = value of ``c`` on the previous row of the same key in
     (order); NULL on the first row.  Adds ``_seg``/``_rn`` (kept for reuse)."""
     keys, cols = list(keys), list(cols)
@@ -104,7 +124,7 @@ def carry_prev(df: DataFrame, keys, order, cols, strategy="ranged", prefix="prev
     return d.drop("_carry")
 
 
-def position(df: DataFrame, keys, order, strategy="ranged", pos="_pos", total="_n") -> DataFrame:
+def position(df: DataFrame, keys, order, strategy="auto", pos="_pos", total="_n") -> DataFrame:
     """1-based row position within key in (order), and the key's row count."""
     keys = list(keys)
     d = segment(df, keys, order, strategy)
@@ -120,7 +140,7 @@ def position(df: DataFrame, keys, order, strategy="ranged", pos="_pos", total="_
     return d.withColumn(pos, (F.col("_off") + F.col(RN)).cast("long")).drop("_off")
 
 
-def fill_forward_backward(df: DataFrame, keys, order, cols, strategy="ranged") -> DataFrame:
+def fill_forward_backward(df: DataFrame, keys, order, cols, strategy="auto") -> DataFrame:
     """Forward fill, then back fill, per key in (order).
 
     After a forward fill only leading NULLs remain, and their back-fill value
@@ -163,7 +183,7 @@ def _start_rule(y, us, gap, py, pus, null_time_splits: bool) -> Column:
 
 
 def islands(df: DataFrame, keys, ts: str, row_id: str, y: str, gap_us,
-            null_time_splits: bool = True, strategy: str = "ranged") -> DataFrame:
+            null_time_splits: bool = True, strategy: str = "auto") -> DataFrame:
     """Run-based event numbering.  Adds ``_is_start`` and ``_event_no``
     (1-based per key; on a fault row it is the row's event).
 
@@ -203,7 +223,7 @@ def islands(df: DataFrame, keys, ts: str, row_id: str, y: str, gap_us,
     return d.drop("_p", "_inner", "_cum", "_fs", "_off", "_gap")
 
 
-def running_sums(df: DataFrame, keys, order, cols, strategy="ranged", prefix="cum_",
+def running_sums(df: DataFrame, keys, order, cols, strategy="auto", prefix="cum_",
                  total_prefix="tot_") -> DataFrame:
     """Inclusive running sums of ``cols`` per key in (order) plus per-key
     totals, carried across segments through the per-segment summary."""

@@ -35,7 +35,7 @@ def _interp(lo, hi, frac):
 
 
 def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
-              small: int = 20000, max_rounds: int = 48, accuracy: int = 100000) -> dict:
+              small: int = 100000, max_rounds: int = 48, accuracy: int = 100000) -> dict:
     """{(col, q): value or None}.  ``method``: refine (exact, scalable),
     percentile (Spark exact, one reducer per group), approx."""
     cols, qs = list(cols), [float(q) for q in qs]
@@ -105,7 +105,7 @@ def _select(df, cols, state, bins, small, max_rounds):
             v[4] = sub.agg(F.percentile(F.col(c), F.lit(frac))).first()[0]
 
 
-def order_statistics(df: DataFrame, col: str, ranks, bins: int = 4096, small: int = 20000,
+def order_statistics(df: DataFrame, col: str, ranks, bins: int = 4096, small: int = 100000,
                      max_rounds: int = 48) -> dict:
     """{rank: value} for 0-based ranks among the non-NULL values of ``col``
     (ranks outside [0, n) map to None)."""
@@ -117,6 +117,25 @@ def order_statistics(df: DataFrame, col: str, ranks, bins: int = 4096, small: in
     return {int(r): (state[(0, int(r))][4] if (0, int(r)) in state else None) for r in ranks}
 
 
+def multi_order_statistics(df: DataFrame, wanted: dict, bins: int = 4096, small: int = 100000,
+                           max_rounds: int = 48) -> dict:
+    """{(col, rank): value} for several columns at once (one statistics
+    job and shared refinement rounds)."""
+    cols = list(wanted)
+    st = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                *[F.min(F.col(c)).cast("double").alias(f"a{i}") for i, c in enumerate(cols)],
+                *[F.max(F.col(c)).cast("double").alias(f"b{i}") for i, c in enumerate(cols)]).first()
+    state = {}
+    for i, c in enumerate(cols):
+        n = int(st[f"n{i}"])
+        for r in wanted[c]:
+            if 0 <= int(r) < n:
+                state[(i, int(r))] = [st[f"a{i}"], st[f"b{i}"], 0, n, None]
+    _select(df, cols, state, bins, small, max_rounds)
+    return {(c, int(r)): (state[(i, int(r))][4] if (i, int(r)) in state else None)
+            for i, c in enumerate(cols) for r in wanted[c]}
+
+
 def _interval_ids(items):
     """Share one histogram between targets with the same (col, interval)."""
     ids, members = {}, {}

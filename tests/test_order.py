@@ -48,3 +48,11 @@ def test_segments_split_hot_key(spark):
     seg = O.segment(df, ["asset"], ["ts", "row_id"])
     per = seg.where(F.col("asset") == 0).select(O.SEG).distinct().count()
     assert per > 1          # the hot asset is spread over several tasks
+
+
+def test_auto_strategy_detects_hot_key(spark):
+    df = _frame(spark)
+    assert O.choose_strategy(df, ["asset"]) == "ranged"          # asset 0 holds a third of the rows
+    assert O.choose_strategy(df, []) == "ranged"                 # a global order is never one task
+    even = df.withColumn("asset", F.col("row_id") % 500)
+    assert O.choose_strategy(even, ["asset"]) == "window"
