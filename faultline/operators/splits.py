@@ -4,12 +4,15 @@ Random order is a reproducible hash rank: ``md5('<row_id>-<seed>')`` (DuckDB
 has the same function, so every split has an exact oracle).  No operator
 ranks all rows with a window -- a ``row_number`` partitioned by class would
 put each class (95 % of the table for the normal class) into one task.
-Instead, each split needs only a few *cut points*: the k-th smallest hash of
-a stratum is found with the exact distributed order statistic on a 52-bit
-numeric prefix of the md5, the rare rows sharing that prefix are resolved
-on the driver (bounded by hash collisions), and every row is assigned by a
-narrow comparison against literal cuts.  Quotas use the largest-remainder
-rule so stratum sizes add up exactly.
+Instead, each split needs only a few *cut points*: the row of rank k in
+(hash prefix, md5, key) order within a stratum.  The 52-bit md5 prefix is
+uniform on [0, 2^52), so no statistics pass is needed: one job counts rows
+per 12-bit prefix digit of every target's interval (map-side combined, at
+most 4,096 cells per interval), repeated only while the interval still
+holds more than ``small`` rows, and one job fetches the few rows of each
+final interval (bounded by ``small``) to read the exact threshold tuple.
+Every row is then assigned by a narrow comparison against literal tuples.
+Quotas use the largest-remainder rule so stratum sizes add up exactly.
 """
 from __future__ import annotations
 
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.order import position
-from ..plans.quantile import multi_order_statistics
+HBITS, DIGIT = 52, 12
 
 H, MD5 = "_h", "_md5"
 
@@ -27,7 +30,7 @@ H, MD5 = "_h", "_md5"
 def with_hash(df: DataFrame, key: str = "row_id", seed: int = 42) -> DataFrame:
     md5 = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
     return (df.withColumn(MD5, md5)
-              .withColumn(H, F.conv(F.substring(F.col(MD5), 1, 13), 16, 10).cast("long").cast("double")))
+              .withColumn(H, F.conv(F.substring(F.col(MD5), 1, 13), 16, 10).cast("long")))
 
 
 def largest_remainder(counts: dict, draws: int) -> dict:
@@ -44,13 +47,18 @@ def largest_remainder(counts: dict, draws: int) -> dict:
     return out
 
 
-def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, key: str = "row_id") -> dict:
+def _tuple_le(h, m, k, key):
+    """(H, md5, key) <= (h, m, k) in lexicographic order."""
+    return ((F.col(H) < F.lit(h)) | ((F.col(H) == F.lit(h)) & ((F.col(MD5) < F.lit(m)) |
+            ((F.col(MD5) == F.lit(m)) & (F.col(key) <= F.lit(k))))))
+
+
+def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, key: str = "row_id",
+              small: int = 100000) -> dict:
     """Predicates selecting, within each stratum ``s``, the ``k`` lowest
-    ranked rows for every ``k`` in ``wanted[s]`` (rank order: hash prefix,
-    md5, key).  All cut values come from one batched order-statistic
-    selection and one aggregate that resolves prefix collisions (bounded
-    by the number of colliding hashes)."""
-    preds, targets = {}, []
+    ranked rows for every ``k`` in ``wanted[s]``; all targets share the
+    histogram and fetch jobs."""
+    preds, state = {}, {}
     for s, ks in wanted.items():
         n = counts.get(s, 0)
         for k in ks:
@@ -58,30 +66,52 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, ke
                 preds[(s, k)] = F.lit(False)
             elif k >= n:
                 preds[(s, k)] = F.lit(True)
-            else:
-                targets.append((s, k))
-    if not targets:
-        return preds
-    need = sorted({s for s, _ in targets}, key=str)
-    hcol = {s: f"_hs{i}" for i, s in enumerate(need)}
-    proj = dfh.select(*[F.when(_in_stratum(strata, s), F.col(H)).alias(c) for s, c in hcol.items()])
-    vals = multi_order_statistics(proj, {hcol[s]: sorted({k - 1 for s2, k in targets if s2 == s}) for s in need})
-    aggs = []
-    for i, (s, k) in enumerate(targets):
-        v = vals[(hcol[s], k - 1)]
-        ins = _in_stratum(strata, s)
-        aggs += [F.count_if(ins & (F.col(H) < F.lit(v))).alias(f"l{i}"),
-                 F.collect_list(F.when(ins & (F.col(H) == F.lit(v)),
-                                       F.struct(F.col(MD5).alias("m"), F.col(key).alias("k")))).alias(f"e{i}")]
-    r = dfh.agg(*aggs).first()
-    for i, (s, k) in enumerate(targets):
-        v = vals[(hcol[s], k - 1)]
-        ties = sorted(((t["m"], t["k"]) for t in r[f"e{i}"]), key=lambda t: (t[0], t[1]))
-        take = [t[1] for t in ties[: k - int(r[f"l{i}"])]]
-        cond = F.col(H) < F.lit(v)
-        if take:
-            cond = cond | ((F.col(H) == F.lit(v)) & F.col(key).isin(take))
-        preds[(s, k)] = cond
+            else:          # interval [lo, lo + 2^bits), rows below it, rows inside
+                state[(s, k)] = {"lo": 0, "bits": HBITS, "below": 0, "count": n}
+
+    def intervals(items):
+        ids = {}
+        for t, v in items:
+            ids.setdefault((t[0], v["lo"], v["bits"]), len(ids))
+        return ids
+
+    def members(iv, lo, bits):
+        h = F.col(H)
+        return _in_stratum(strata, iv) & (h >= F.lit(lo)) & (h < F.lit(lo + (1 << bits)))
+
+    while True:
+        wide = [(t, v) for t, v in state.items() if v["count"] > small and v["bits"] > 0]
+        if not wide:
+            break
+        ids = intervals(wide)
+        parts = []
+        for (sv, lo, bits), i in ids.items():
+            shift = max(bits - DIGIT, 0)
+            parts.append(F.when(members(sv, lo, bits), F.struct(
+                F.lit(i).alias("i"), F.shiftright(F.col(H) - F.lit(lo), shift).alias("d"))))
+        hist = (dfh.select(F.explode(F.array(*parts)).alias("x")).where(F.col("x").isNotNull())
+                   .groupBy("x.i", "x.d").count().toPandas())                  # <= 4,096 rows per interval
+        for t, v in wide:
+            i = ids[(t[0], v["lo"], v["bits"])]
+            shift = max(v["bits"] - DIGIT, 0)
+            rank, below = t[1] - 1, v["below"]
+            for d, c in hist[hist["i"] == i].sort_values("d")[["d", "count"]].itertuples(index=False):
+                if rank < below + c:
+                    v.update(lo=v["lo"] + (int(d) << shift), bits=shift, below=below, count=int(c))
+                    break
+                below += c
+    if state:
+        ids = intervals(list(state.items()))
+        parts = [F.when(members(sv, lo, bits), F.struct(F.lit(i).alias("i"), F.col(H).alias("h"),
+                                                         F.col(MD5).alias("m"), F.col(key).alias("k")))
+                 for (sv, lo, bits), i in ids.items()]
+        rows = (dfh.select(F.explode(F.array(*parts)).alias("x")).where(F.col("x").isNotNull())
+                   .select("x.i", "x.h", "x.m", "x.k").toPandas())             # <= small rows per interval
+        for t, v in state.items():
+            i = ids[(t[0], v["lo"], v["bits"])]
+            got = sorted(rows[rows["i"] == i][["h", "m", "k"]].itertuples(index=False, name=None))
+            h, m, k = got[t[1] - 1 - v["below"]]
+            preds[t] = _tuple_le(int(h), m, k.item() if hasattr(k, "item") else k, key)
     return preds
 
 

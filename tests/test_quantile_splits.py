@@ -83,3 +83,16 @@ def test_autotune_single_pass_equals_brute_force(spark):
     b = min(cands)
     assert (best["vib_p"], best["rev_p"], best["spd_p"]) == (b[2], b[3], b[4])
     assert best["rate"] == pytest.approx(b[5])
+
+
+def test_rank_cuts_histogram_rounds_equal_direct_fetch(spark):
+    df = _labelled(spark, n=3000)
+    dfh = G.with_hash(df, "row_id", 42)
+    counts = {r[0]: r[1] for r in df.groupBy("y").count().collect()}
+    wanted = {0: [1, 700, counts[0] - 1], 1: [5, counts[1] // 2]}
+    a = G.rank_cuts(dfh, "y", counts, wanted, small=10)
+    b = G.rank_cuts(dfh, "y", counts, wanted)
+    for t in a:
+        sa = {r[0] for r in dfh.where((F.col("y") == t[0]) & a[t]).select("row_id").collect()}
+        sb = {r[0] for r in dfh.where((F.col("y") == t[0]) & b[t]).select("row_id").collect()}
+        assert sa == sb and len(sa) == t[1]
