@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import US_PER_S, day_key, epoch_us, month_key, to_ntz, week_key
-from ..plans.order import carry_prev, fill_forward_backward
+from ..plans.order import (RN, SEG, attach, carry_prev, choose_strategy, fill_forward_backward,
+                           local_window, running_sums, seg_window, segment)
 
 
 def first_difference(df: DataFrame, col: str, out: str = "acceleration", ts: str = "ts",
@@ -25,30 +26,85 @@ def first_difference(df: DataFrame, col: str, out: str = "acceleration", ts: str
 
 
 def rolling_time_mean(df: DataFrame, cols, window_s: float = 300.0, ts: str = "ts", row_id: str = "row_id",
-                      keys=(), fill: bool = True) -> DataFrame:
+                      keys=(), fill: bool = True, strategy: str = "auto") -> DataFrame:
     """Trailing mean over the time window (t - window, t], at least one
-    row, then forward/backward fill.  Left-open like pandas: the range
-    frame starts one microsecond after t - window.  Rows sharing a time
-    stamp are all in each other's frame (peers)."""
-    keys = list(keys)
-    us = epoch_us(ts)
-    w = (Window.partitionBy(*keys).orderBy(us)
-         .rangeBetween(-int(window_s * US_PER_S) + 1, 0))
-    out = df.withColumns({c: F.avg(c).over(w) for c in cols})
+    row, then forward/backward fill.
+
+    Without a hot key this is a per-key range window (left-open like pandas:
+    the frame starts one microsecond after t - window; rows sharing a time
+    stamp are peers).  With a hot key -- or no key at all -- it becomes a
+    prefix-sum difference on the segmented scan: exact DECIMAL running sums
+    over the rows and one *probe* row per row at t - window (ordered after
+    data rows of the same instant) give sum and count of the window as
+    S(t) - S(t - window), joined back by row id.  That form counts only
+    earlier rows among equal time stamps, as pandas does."""
+    keys, cols = list(keys), list(cols)
+    if choose_strategy(df, keys, strategy) == "window":
+        us = epoch_us(ts)
+        w = (Window.partitionBy(*keys).orderBy(us)
+             .rangeBetween(-int(window_s * US_PER_S) + 1, 0))
+        out = df.withColumns({c: F.avg(c).over(w) for c in cols})
+    else:
+        out = _rolling_time_mean_prefix(df, cols, window_s, ts, row_id, keys)
     if fill:
-        out = fill_forward_backward(out, keys, [ts, row_id], cols).drop("_seg", "_rn")
+        out = fill_forward_backward(out, keys, [ts, row_id], cols, strategy).drop(SEG, RN)
     return out
 
 
+def _rolling_time_mean_prefix(df, cols, window_s, ts, row_id, keys):
+    dec = "decimal(38,12)"
+    base = df.select(*keys, row_id, epoch_us(ts).alias("_t"), *[F.col(c) for c in cols])
+    data = base.select(*keys, row_id, "_t", F.lit(0).alias("_kind"),
+                       *[F.coalesce(F.col(c).cast(dec), F.lit(0).cast(dec)).alias(f"_s_{c}") for c in cols],
+                       *[F.col(c).isNotNull().cast("long").alias(f"_c_{c}") for c in cols])
+    probe = base.select(*keys, row_id, (F.col("_t") - F.lit(int(window_s * US_PER_S))).alias("_t"),
+                        F.lit(1).alias("_kind"), *[F.lit(0).cast(dec).alias(f"_s_{c}") for c in cols],
+                        *[F.lit(0).cast("long").alias(f"_c_{c}") for c in cols])
+    sums = [f"_s_{c}" for c in cols] + [f"_c_{c}" for c in cols]
+    r = running_sums(data.unionByName(probe), keys, ["_t", "_kind", row_id], sums, strategy="ranged")
+    r = r.select(*keys, row_id, "_kind", *[F.col(f"cum_{x}").alias(x) for x in sums])
+    at = r.where(F.col("_kind") == 0).drop("_kind")
+    before = r.where(F.col("_kind") == 1).select(*keys, row_id, *[F.col(x).alias(f"b{x}") for x in sums])
+    j = at.join(before, [*keys, row_id])
+    means = {c: (F.col(f"_s_{c}") - F.col(f"b_s_{c}")).cast("double")
+             / F.nullif((F.col(f"_c_{c}") - F.col(f"b_c_{c}")).cast("double"), F.lit(0.0)) for c in cols}
+    m = j.select(*keys, row_id, *[v.alias(f"__m_{c}") for c, v in means.items()])
+    out = df.join(m, [*keys, row_id])
+    return out.withColumns({c: F.col(f"__m_{c}") for c in cols}).drop(*[f"__m_{c}" for c in cols])
+
+
 def rolling_row_mean(df: DataFrame, cols, n: int = 5, ts: str = "ts", row_id: str = "row_id", keys=(),
-                     fill: bool = False) -> DataFrame:
-    """D3: trailing mean over the last ``n`` rows (at least one)."""
-    keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(F.col(ts).asc_nulls_last(), row_id).rowsBetween(-(n - 1), 0)
-    out = df.withColumns({c: F.avg(c).over(w) for c in cols})
+                     fill: bool = False, strategy: str = "auto") -> DataFrame:
+    """D3: trailing mean over the last ``n`` rows (at least one).  On the
+    segmented scan the first rows of a segment complete their frame from a
+    carried tail of the previous ``n - 1`` rows (bounded by ``n``)."""
+    keys, cols = list(keys), list(cols)
+    order = [ts, row_id]
+    d = segment(df, keys, order, strategy)
+    w = local_window(keys, order)
+    frame = w.rowsBetween(-(n - 1), 0)
+    d = d.withColumn(RN, F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(
+        Window.partitionBy(*keys, SEG)))
+    d = d.withColumns({f"_ls_{c}": F.sum(c).over(frame) for c in cols})
+    d = d.withColumns({f"_lc_{c}": F.count(c).over(frame) for c in cols})
+    tail = d.groupBy(*keys, SEG).agg(F.sort_array(F.collect_list(F.when(
+        F.col(RN) > F.col("_cnt") - (n - 1), F.struct(F.col(RN).alias("rn"), *[F.col(c) for c in cols])))).alias("_tail"))
+    prev = F.flatten(F.collect_list("_tail").over(seg_window(keys).rowsBetween(-(n - 1), -1)))
+    tail = tail.select(*keys, SEG, F.slice(prev, F.greatest(F.size(prev) - (n - 2), F.lit(1)), n - 1).alias("_carry"))
+    d = attach(d, tail, keys)
+    need = F.greatest(F.lit(n) - F.col(RN), F.lit(0))
+    car = F.coalesce(F.col("_carry"), F.array())
+    take = F.when(need > 0, F.slice(car, F.greatest(F.size(car) - need + 1, F.lit(1)), need)).otherwise(F.array())
+    out = d
+    for c in cols:
+        cs = F.aggregate(take, F.lit(0.0), lambda acc, x: acc + F.coalesce(x[c].cast("double"), F.lit(0.0)))
+        cc = F.aggregate(take, F.lit(0), lambda acc, x: acc + F.when(x[c].isNotNull(), 1).otherwise(0))
+        out = out.withColumn(c, (F.coalesce(F.col(f"_ls_{c}"), F.lit(0.0)) + cs)
+                             / F.nullif((F.col(f"_lc_{c}") + cc).cast("double"), F.lit(0.0)))
+    out = out.drop("_cnt", "_carry", *[f"_ls_{c}" for c in cols], *[f"_lc_{c}" for c in cols])
     if fill:
-        out = fill_forward_backward(out, keys, [ts, row_id], cols).drop("_seg", "_rn")
-    return out
+        out = fill_forward_backward(out.drop(SEG, RN), keys, order, cols, strategy)
+    return out.drop(SEG, RN)
 
 
 def calendar_keys(df: DataFrame, ts: str = "ts") -> DataFrame:

@@ -117,3 +117,25 @@ SELECT min(ts) AS time_min, max(ts) AS time_max,
        count(DISTINCT date_trunc('day', ts)) AS n_days FROM tele_ev""")
 def q_time_span(spark, sf_dir):
     return finish(D.time_span(tele_ev(spark, sf_dir)))
+
+
+@register("rolling_time_mean_global", f"""
+WITH {tele_ev_sql(7)}
+SELECT row_id, round(avg(vibration) OVER (ORDER BY epoch_us(ts) RANGE BETWEEN 299999999 PRECEDING AND CURRENT ROW), 6)
+       AS vibration FROM tele_ev""")
+def q_rolling_time_mean_global(spark, sf_dir):
+    """D2 over the global time order (no asset): the prefix-sum form on the
+    segmented scan, no fill (windows with only NULLs stay NULL)."""
+    t = tele_ev(spark, sf_dir, null_every=7).select("row_id", "ts", "vibration")
+    return finish(D.rolling_time_mean(t, ["vibration"], 300.0, fill=False).select("row_id", "vibration"))
+
+
+@register("rolling_row_mean_global", f"""
+WITH {tele_ev_sql(7)}
+SELECT row_id, round(avg(vibration) OVER (ORDER BY ts ASC NULLS LAST, row_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6)
+       AS vibration FROM tele_ev""")
+def q_rolling_row_mean_global(spark, sf_dir):
+    """D3 over the global order: segments complete their first frames from
+    the carried tail of the previous segment."""
+    t = tele_ev(spark, sf_dir, null_every=7).select("row_id", "ts", "vibration")
+    return finish(D.rolling_row_mean(t, ["vibration"], 5).select("row_id", "vibration"))

@@ -56,3 +56,19 @@ def test_auto_strategy_detects_hot_key(spark):
     assert O.choose_strategy(df, []) == "ranged"                 # a global order is never one task
     even = df.withColumn("asset", F.col("row_id") % 500)
     assert O.choose_strategy(even, ["asset"]) == "window"
+
+
+@pytest.mark.parametrize("keys", [[], ["asset"]])
+def test_rolling_means_ranged_equal_window(spark, keys):
+    from faultline.operators import series as D
+    df = _frame(spark).where(F.col("ts").isNotNull())
+    # unique time stamps so the range-window and prefix forms agree on ties
+    df = df.withColumn("ts", F.timestamp_add("MICROSECOND", F.col("row_id"), F.col("ts")))
+    for fn, kw in ((D.rolling_row_mean, {"n": 5}), (D.rolling_time_mean, {"window_s": 300.0, "fill": False})):
+        a = fn(df, ["v"], keys=keys, strategy="ranged", **kw)
+        b = fn(df, ["v"], keys=keys, strategy="window", **kw)
+        ra = {r["row_id"]: r["v"] for r in a.select("row_id", "v").collect()}
+        rb = {r["row_id"]: r["v"] for r in b.select("row_id", "v").collect()}
+        assert ra.keys() == rb.keys()
+        for k in ra:
+            assert (ra[k] is None and rb[k] is None) or abs(ra[k] - rb[k]) < 1e-9, (fn.__name__, k, ra[k], rb[k])
