@@ -42,7 +42,11 @@ def fault_events(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id:
     ``gap_sec`` may be a Column (per-row limit, E5).  Ids from 1 per key."""
     keys = list(keys)
     gap = gap_sec * float(US_PER_S) if isinstance(gap_sec, (int, float)) else gap_sec * F.lit(float(US_PER_S))
-    d = islands(df, keys, ts, row_id, y, gap, null_time_splits=True, strategy=strategy)
+    # only what the events need enters the (checkpointed) segmented scan
+    d = df.select(*keys, ts, row_id, y, *([] if isinstance(gap_sec, (int, float)) else [gap.alias("_gapx")]))
+    if not isinstance(gap_sec, (int, float)):
+        gap = F.col("_gapx")
+    d = islands(d, keys, ts, row_id, y, gap, null_time_splits=True, strategy=strategy)
     return _aggregate(d.where(F.col("_y") == 1), keys, ts)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import US_PER_S, day_key, epoch_us, month_key, to_ntz, week_key
 from ..plans.order import (RN, SEG, attach, carry_prev, choose_strategy, fill_forward_backward,
-                           local_window, running_sums, seg_window, segment)
+                           local_window, pin, prepare, running_sums, seg_window)
 
 
 def first_difference(df: DataFrame, col: str, out: str = "acceleration", ts: str = "ts",
@@ -80,13 +80,19 @@ def rolling_row_mean(df: DataFrame, cols, n: int = 5, ts: str = "ts", row_id: st
     carried tail of the previous ``n - 1`` rows (bounded by ``n``)."""
     keys, cols = list(keys), list(cols)
     order = [ts, row_id]
-    d = segment(df, keys, order, strategy)
+    resolved, d = prepare(df, keys, order, strategy)
     w = local_window(keys, order)
     frame = w.rowsBetween(-(n - 1), 0)
+    if resolved == "window":
+        out = d.withColumns({c: F.avg(c).over(frame) for c in cols}).drop(SEG)
+        if fill:
+            out = fill_forward_backward(out, keys, order, cols, strategy).drop(SEG, RN)
+        return out
     d = d.withColumn(RN, F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(
         Window.partitionBy(*keys, SEG)))
     d = d.withColumns({f"_ls_{c}": F.sum(c).over(frame) for c in cols})
     d = d.withColumns({f"_lc_{c}": F.count(c).over(frame) for c in cols})
+    d = pin(d)
     tail = d.groupBy(*keys, SEG).agg(F.sort_array(F.collect_list(F.when(
         F.col(RN) > F.col("_cnt") - (n - 1), F.struct(F.col(RN).alias("rn"), *[F.col(c) for c in cols])))).alias("_tail"))
     prev = F.flatten(F.collect_list("_tail").over(seg_window(keys).rowsBetween(-(n - 1), -1)))

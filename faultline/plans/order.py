@@ -65,21 +65,38 @@ def _ord(order):
     return [F.col(c).asc_nulls_last() for c in order]
 
 
-def segment(df: DataFrame, keys, order, strategy: str = "auto",
-            num_segments: int | None = None) -> DataFrame:
-    """Tag rows with a segment number; rows of a segment are contiguous in
-    (keys, order)."""
+def prepare(df: DataFrame, keys, order, strategy: str = "auto", num_segments: int | None = None):
+    """(resolved strategy, rows tagged with a segment number).  For
+    ``ranged`` the segments are contiguous ranges of (keys, order); callers
+    compute their local windows and then :func:`pin` the result before
+    deriving the per-segment summary from it."""
     keys, order = list(keys), list(order)
-    strategy = choose_strategy(df, keys, strategy)
-    if strategy == "window":
-        return df.withColumn(SEG, F.lit(0))
-    if strategy != "ranged":
+    resolved = choose_strategy(df, keys, strategy)
+    if resolved == "window":
+        return resolved, df.withColumn(SEG, F.lit(0))
+    if resolved != "ranged":
         raise ValueError(f"unknown strategy {strategy!r}")
     n = num_segments or shuffle_partitions(df.sparkSession)
     exprs = [F.col(k).asc_nulls_last() for k in keys] + _ord(order)
-    seg = df.repartitionByRange(n, *exprs).withColumn(SEG, F.spark_partition_id())
-    checkpoint_dir(df.sparkSession)
-    return seg.checkpoint(eager=True)
+    return resolved, df.repartitionByRange(n, *exprs).withColumn(SEG, F.spark_partition_id())
+
+
+def pin(d: DataFrame) -> DataFrame:
+    """Reliable checkpoint (shared ``spark.checkpoint.dir``) of the
+    segmented, locally windowed rows: the segment assignment and the local
+    window values are computed in exactly one job, and both the rows and
+    their summary read the same materialisation (no second exchange, no
+    recomputation that could cut different ranges)."""
+    checkpoint_dir(d.sparkSession)
+    return d.checkpoint(eager=True)
+
+
+def segment(df: DataFrame, keys, order, strategy: str = "auto",
+            num_segments: int | None = None) -> DataFrame:
+    """Segment-tagged rows, pinned when ranged (for callers that window the
+    result themselves)."""
+    resolved, d = prepare(df, keys, order, strategy, num_segments)
+    return pin(d) if resolved == "ranged" else d
 
 
 def local_window(keys, order):
@@ -108,13 +125,16 @@ def attach(df: DataFrame, summary: DataFrame, keys) -> DataFrame:
 
 def carry_prev(df: DataFrame, keys, order, cols, strategy="auto", prefix="prev_") -> DataFrame:
     """``prev_<c>`` = value of ``c`` on the previous row of the same key in
-    (order); NULL on the first row.  Adds ``_seg``/``_rn`` (kept for reuse)."""
+    (order); NULL on the first row.  Adds ``_seg``/``_rn``."""
     keys, cols = list(keys), list(cols)
-    d = segment(df, keys, order, strategy)
+    resolved, d = prepare(df, keys, order, strategy)
     w = local_window(keys, order)
     d = d.withColumn(RN, F.row_number().over(w))
     for c in cols:
         d = d.withColumn(prefix + c, F.lag(c).over(w))
+    if resolved == "window":
+        return d
+    d = pin(d)
     last = d.groupBy(*keys, SEG).agg(F.max_by(F.struct(*cols), F.col(RN)).alias("_last"))
     last = last.withColumn("_carry", F.lag("_last").over(seg_window(keys))).drop("_last")
     d = attach(d, last, keys)
@@ -127,9 +147,13 @@ def carry_prev(df: DataFrame, keys, order, cols, strategy="auto", prefix="prev_"
 def position(df: DataFrame, keys, order, strategy="auto", pos="_pos", total="_n") -> DataFrame:
     """1-based row position within key in (order), and the key's row count."""
     keys = list(keys)
-    d = segment(df, keys, order, strategy)
+    resolved, d = prepare(df, keys, order, strategy)
     w = local_window(keys, order)
     d = d.withColumn(RN, F.row_number().over(w))
+    if resolved == "window":
+        return (d.withColumn(pos, F.col(RN).cast("long"))
+                 .withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys))))
+    d = pin(d)
     cnt = d.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_c"))
     ws = seg_window(keys)
     cnt = (cnt.withColumn("_off", F.coalesce(F.sum("_c").over(
@@ -146,9 +170,16 @@ def fill_forward_backward(df: DataFrame, keys, order, cols, strategy="auto") ->
     After a forward fill only leading NULLs remain, and their back-fill value
     is the first non-NULL of the key; both come from per-segment carries."""
     keys, cols = list(keys), list(cols)
-    d = segment(df, keys, order, strategy)
+    resolved, d = prepare(df, keys, order, strategy)
     w = local_window(keys, order)
     d = d.withColumn(RN, F.row_number().over(w))
+    d = d.withColumns({f"_ff_{c}": F.last(c, ignorenulls=True).over(running(w)) for c in cols})
+    if resolved == "window":
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        d = d.withColumns({c: F.coalesce(F.col(f"_ff_{c}"), F.first(c, ignorenulls=True).over(whole))
+                           for c in cols})
+        return d.drop(*[f"_ff_{c}" for c in cols])
+    d = pin(d)
     aggs = []
     for c in cols:
         nn = F.when(F.col(c).isNotNull(), F.col(RN))
@@ -165,9 +196,8 @@ def fill_forward_backward(df: DataFrame, keys, order, cols, strategy="auto") ->
     summ = summ.select(*sel)
     d = attach(d, summ, keys)
     for c in cols:
-        d = d.withColumn(c, F.coalesce(F.last(c, ignorenulls=True).over(running(w)),
-                                       F.col(f"_cf_{c}"), F.col(f"_cb_{c}")))
-    return d.drop(*[f"_cf_{c}" for c in cols], *[f"_cb_{c}" for c in cols])
+        d = d.withColumn(c, F.coalesce(F.col(f"_ff_{c}"), F.col(f"_cf_{c}"), F.col(f"_cb_{c}")))
+    return d.drop(*[f"_cf_{c}" for c in cols], *[f"_cb_{c}" for c in cols], *[f"_ff_{c}" for c in cols])
 
 
 def _start_rule(y, us, gap, py, pus, null_time_splits: bool) -> Column:
@@ -196,14 +226,18 @@ def islands(df: DataFrame, keys, ts: str, row_id: str, y: str, gap_us,
                                                F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                                F.col(ts).cast("timestamp_ntz")))
            .withColumn("_gap", gap.cast("double")))
-    d = segment(d, keys, order, strategy)
+    resolved, d = prepare(d, keys, order, strategy)
     w = local_window(keys, order)
     prev = F.lag(F.struct(F.col("_y").alias("y"), F.col("_us").alias("us"))).over(w)
     d = d.withColumn(RN, F.row_number().over(w)).withColumn("_p", prev)
-    inner = _start_rule(F.col("_y"), F.col("_us"), F.col("_gap"), F.col("_p.y"), F.col("_p.us"),
-                        null_time_splits)
-    d = d.withColumn("_inner", F.when(F.col(RN) > 1, inner).otherwise(F.lit(0)))
+    rule = _start_rule(F.col("_y"), F.col("_us"), F.col("_gap"), F.col("_p.y"), F.col("_p.us"), null_time_splits)
+    if resolved == "window":        # one segment per key: the lag is already complete
+        d = d.withColumn("_is_start", rule)
+        d = d.withColumn("_event_no", F.sum("_is_start").over(running(w)).cast("long"))
+        return d.drop("_p", "_gap")
+    d = d.withColumn("_inner", F.when(F.col(RN) > 1, rule).otherwise(F.lit(0)))
     d = d.withColumn("_cum", F.sum("_inner").over(running(w)))
+    d = pin(d)
     summ = d.groupBy(*keys, SEG).agg(
         F.min_by(F.struct(F.col("_y").alias("y"), F.col("_us").alias("us"),
                           F.col("_gap").alias("gap")), F.col(RN)).alias("_first"),
@@ -228,9 +262,12 @@ def running_sums(df: DataFrame, keys, order, cols, strategy="auto", prefix="cum_
     """Inclusive running sums of ``cols`` per key in (order) plus per-key
     totals, carried across segments through the per-segment summary."""
     keys, cols = list(keys), list(cols)
-    d = segment(df, keys, order, strategy)
+    resolved, d = prepare(df, keys, order, strategy)
     w = local_window(keys, order)
     d = d.withColumns({prefix + c: F.sum(c).over(running(w)) for c in cols})
+    if resolved == "window":
+        return d.withColumns({total_prefix + c: F.sum(c).over(Window.partitionBy(*keys)) for c in cols})
+    d = pin(d)
     summ = d.groupBy(*keys, SEG).agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
     ws = seg_window(keys)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
