@@ -131,6 +131,23 @@ def events_gap_per_day(df: DataFrame, y: str = "label_fault", ts: str = "ts", ro
     return ev.withColumn("duration_s", F.greatest(F.col("duration_s"), F.lit(0.0)))
 
 
+def event_summary_modes(events: DataFrame, mode: str, gap_seconds: float | None, quantile: float | None,
+                        global_gap: float | None, daily_days: int, fallback_sec: float) -> DataFrame:
+    """E7, extended form: gap mode and parameters used, number of events,
+    distinct event days, first start and last end."""
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    s = events.agg(F.count(F.lit(1)).alias("n_events"),
+                   F.countDistinct(day_key("start")).alias("span_days"),
+                   F.coalesce(F.date_format(F.min("start"), fmt), F.lit("")).alias("first_ts"),
+                   F.coalesce(F.date_format(F.max("end"), fmt), F.lit("")).alias("last_ts"))
+    return s.select(F.lit(mode).alias("gap_mode_used"), F.lit(gap_seconds).cast("double").alias("merge_gap_seconds_used"),
+                    F.lit(quantile).cast("double").alias("quantile_used"),
+                    F.lit(global_gap).cast("double").alias("global_quantile_gap_sec"),
+                    F.lit(int(daily_days)).cast("long").alias("daily_threshold_days"),
+                    F.lit(float(fallback_sec)).alias("fallback_sec"), "n_events",
+                    F.col("span_days").cast("long").alias("span_days"), "first_ts", "last_ts")
+
+
 def gap_merge(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
               gap_sec: float = 60.0, keys=(), strategy: str = "auto",
               id_col: str = "ticket_id") -> DataFrame:

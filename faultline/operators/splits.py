@@ -57,7 +57,8 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, ke
               small: int = 100000) -> dict:
     """Predicates selecting, within each stratum ``s``, the ``k`` lowest
     ranked rows for every ``k`` in ``wanted[s]``; all targets share the
-    histogram and fetch jobs."""
+    histogram and fetch jobs.  ``key`` must be unique: copies of one key
+    share a hash and cannot be told apart (refused, never collected)."""
     preds, state = {}, {}
     for s, ks in wanted.items():
         n = counts.get(s, 0)
@@ -100,6 +101,10 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, ke
                     v.update(lo=v["lo"] + (int(d) << shift), bits=shift, below=below, count=int(c))
                     break
                 below += c
+    for t, v in state.items():
+        if v["count"] > small:      # only identical (hash, md5, key) tuples remain: duplicated keys
+            raise ValueError(f"rank key {key!r} is not unique: {v['count']} rows share one hash; "
+                             "add a tie-breaking column to the key")
     if state:
         ids = intervals(list(state.items()))
         parts = [F.when(members(sv, lo, bits), F.struct(F.lit(i).alias("i"), F.col(H).alias("h"),

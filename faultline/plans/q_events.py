@@ -208,3 +208,34 @@ def q_event_duration_hist(spark, sf_dir):
     """30-bin duration histogram clipped at P99."""
     ev = E.fault_events(ev_labelled(spark, sf_dir), gap_sec=600.0)
     return finish(E.duration_histogram(ev))
+
+
+@register("event_summary_modes", f"""
+WITH {EV60_SQL},
+lab AS (SELECT * FROM ev_lab WHERE ts IS NOT NULL),
+f AS (SELECT ts, row_id, date_trunc('day', ts) AS day FROM lab WHERE label_fault = 1),
+dg AS (SELECT day, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY day ORDER BY ts, row_id)) / 1000000.0 AS gap_s FROM f),
+daily AS (SELECT day, quantile_cont(gap_s, 0.9) AS gap_s FROM dg WHERE gap_s IS NOT NULL AND gap_s < 86400
+          GROUP BY day HAVING count(*) >= 6),
+gg AS (SELECT (epoch_us(ts) - lag(epoch_us(ts)) OVER (ORDER BY ts, row_id)) / 1000000.0 AS gap_s FROM f),
+gfb AS (SELECT CASE WHEN count(*) >= 5 THEN quantile_cont(gap_s, 0.8) ELSE 3.0 END AS g
+        FROM gg WHERE gap_s IS NOT NULL AND gap_s < 86400),
+src AS (SELECT l.row_id, l.ts, l.label_fault, coalesce(d.gap_s, gfb.g) AS row_gap
+        FROM lab l LEFT JOIN daily d ON date_trunc('day', l.ts) = d.day CROSS JOIN gfb),
+{islands_sql("src", "row_gap * 1000000.0")},
+evs AS (SELECT event_no, min(ts) AS start, max(ts) AS "end" FROM isl WHERE label_fault = 1 GROUP BY event_no)
+SELECT 'quantile-per-day' AS gap_mode_used, CAST(NULL AS DOUBLE) AS merge_gap_seconds_used,
+       CAST(0.9 AS DOUBLE) AS quantile_used, round((SELECT g FROM gfb), 6) AS global_quantile_gap_sec,
+       (SELECT count(*) FROM daily) AS daily_threshold_days, CAST(3.0 AS DOUBLE) AS fallback_sec,
+       count(*) AS n_events, count(DISTINCT date_trunc('day', start)) AS span_days,
+       coalesce(strftime(min(start), '%Y-%m-%d %H:%M:%S.%f'), '') AS first_ts,
+       coalesce(strftime(max("end"), '%Y-%m-%d %H:%M:%S.%f'), '') AS last_ts
+FROM evs""")
+def q_event_summary_modes(spark, sf_dir):
+    """E7 extended summary of the per-day quantile mode (E5)."""
+    lab = ev60(spark, sf_dir)
+    ev = E.events_gap_per_day(lab, q=0.9, fallback_sec=3.0)
+    d = lab.where(F.col("ts").isNotNull())
+    glob = E.gap_quantile_global(d, q=0.8, min_gaps=5, fallback_sec=3.0, retry=False)
+    days = E.daily_gap_thresholds(d, q=0.9, min_gaps=6).count()
+    return finish(E.event_summary_modes(ev, "quantile-per-day", None, 0.9, glob, days, 3.0))

@@ -96,3 +96,10 @@ def test_rank_cuts_histogram_rounds_equal_direct_fetch(spark):
         sa = {r[0] for r in dfh.where((F.col("y") == t[0]) & a[t]).select("row_id").collect()}
         sb = {r[0] for r in dfh.where((F.col("y") == t[0]) & b[t]).select("row_id").collect()}
         assert sa == sb and len(sa) == t[1]
+
+
+def test_duplicate_keys_refused_not_collected(spark):
+    df = spark.createDataFrame([("same", i % 2) for i in range(300)], "row_id string, y int")
+    dfh = G.with_hash(df, "row_id", 42)
+    with pytest.raises(ValueError, match="not unique"):
+        G.rank_cuts(dfh, None, {None: 300}, {None: [100]}, small=50)
