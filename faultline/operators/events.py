@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import US_PER_S, day_key, epoch_us, month_key, to_ntz, week_key
 from ..plans.order import carry_prev, islands
-from ..plans.quantile import quantiles
+from ..plans.quantile import grouped_quantile, quantiles
 
 DAY_S = 24 * 3600.0
 
@@ -103,15 +103,14 @@ def gap_quantile_global(df: DataFrame, y: str = "label_fault", ts: str = "ts", r
 def daily_gap_thresholds(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
                          q: float = 0.95, min_gaps: int = 6) -> DataFrame:
     """E5 helper: per-day quantile of gaps between consecutive fault rows of
-    the same day (days with at least ``min_gaps`` gaps).  Keyed by day, so
-    the ordered scan runs per day; the per-day exact percentile holds one
-    day's gaps."""
+    the same day (days with at least ``min_gaps`` gaps).  Both the gaps and
+    the exact per-day quantile run on the segmented scan keyed by day, so a
+    day holding a third of the data is still split over many tasks."""
     f = df.where((F.col(y) == 1) & F.col(ts).isNotNull()).select(ts, row_id).withColumn("day", day_key(ts))
     g = fault_gaps(f.withColumn("_one", F.lit(1)), "_one", ts, row_id, keys=["day"])
     g = g.where(F.col("gap_s").isNotNull() & (F.col("gap_s") < DAY_S))
-    return (g.groupBy("day").agg(F.count(F.lit(1)).alias("n_gaps"),
-                                 F.percentile("gap_s", F.lit(q)).alias("gap_s"))
-             .where(F.col("n_gaps") >= min_gaps).select("day", "gap_s"))
+    qd = grouped_quantile(g, ["day"], "gap_s", q, row_id, out="gap_s")
+    return qd.where(F.col("n") >= min_gaps).select("day", "gap_s")
 
 
 def events_gap_per_day(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",

@@ -103,3 +103,16 @@ def test_duplicate_keys_refused_not_collected(spark):
     dfh = G.with_hash(df, "row_id", 42)
     with pytest.raises(ValueError, match="not unique"):
         G.rank_cuts(dfh, None, {None: 300}, {None: [100]}, small=50)
+
+
+@pytest.mark.parametrize("strategy", ["ranged", "window"])
+def test_grouped_quantile_matches_numpy(spark, strategy):
+    from faultline.plans.quantile import grouped_quantile
+    rnd = random.Random(9)
+    rows = [(i, 0 if rnd.random() < 0.5 else rnd.randint(1, 6), float(rnd.choice([rnd.random(), 0.5, 2.0])))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "row_id long, g long, x double")
+    got = {r["g"]: r["value"] for r in grouped_quantile(df, ["g"], "x", 0.9, "row_id", strategy=strategy).collect()}
+    for g in set(r[1] for r in rows):
+        v = [r[2] for r in rows if r[1] == g]
+        assert got[g] == pytest.approx(float(np.percentile(v, 90)), rel=1e-12)
