@@ -127,3 +127,27 @@ def test_first_difference_and_ffill(spark):
     assert [r["v"] for r in f] == [2.0, 2.0, 2.0, 5.0]
     d = D.first_difference(df.fillna(0.0, ["v"]), "v", "acc", per_second=True).orderBy("ts").collect()
     assert [r["acc"] for r in d] == [0.0, 0.2, -0.1, 0.5]
+
+
+def test_write_sorted_files_are_globally_ordered(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    from faultline.sources import tele_ev
+    from conftest import SF
+    t = tele_ev(spark, SF).select("row_id", "ts")
+    C.write_sorted(t.repartition(4), str(tmp_path / "sorted"))
+    files = sorted(glob.glob(str(tmp_path / "sorted" / "part-*.parquet")))
+    prev_max = None
+    total = 0
+    for f in files:
+        tab = pq.read_table(f).to_pandas()
+        if len(tab) == 0:
+            continue
+        keys = list(zip(tab["ts"], tab["row_id"]))
+        assert keys == sorted(keys)                        # sorted inside the file
+        if prev_max is not None:
+            assert keys[0] > prev_max                      # ranges never overlap
+        prev_max = keys[-1]
+        total += len(tab)
+    assert total == t.count()
