@@ -24,9 +24,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+FETCH_BUDGET = 4_000_000      # values brought to the driver per pass (~32 MB)
+
 
 def _interp(lo, hi, frac):
     if frac == 0.0 or lo == hi:
@@ -35,7 +38,7 @@ def _interp(lo, hi, frac):
 
 
 def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
-              small: int = 100000, max_rounds: int = 48, accuracy: int = 100000) -> dict:
+              small: int = 1_000_000, max_rounds: int = 48, accuracy: int = 100000) -> dict:
     """{(col, q): value or None}.  ``method``: refine (exact, scalable),
     percentile (Spark exact, one reducer per group), approx."""
     cols, qs = list(cols), [float(q) for q in qs]
@@ -91,8 +94,17 @@ def _select(df, cols, state, bins, small, max_rounds):
         pending = {k: v for k, v in pending.items() if v[4] is None}
         if not pending:
             return
-        fetch = {k: v for k, v in pending.items() if v[3] <= small}
-        refine = {k: v for k, v in pending.items() if v[3] > small}
+        # fetch the smallest intervals while the total stays within budget
+        # (intervals shared by several targets are counted once)
+        fetch, seen, used = {}, set(), 0
+        for k, v in sorted(pending.items(), key=lambda kv: kv[1][3]):
+            iv = (k[0], v[0], v[1])
+            cost = 0 if iv in seen else v[3]
+            if v[3] <= small and used + cost <= FETCH_BUDGET:
+                fetch[k] = v
+                seen.add(iv)
+                used += cost
+        refine = {k: v for k, v in pending.items() if k not in fetch}
         if fetch:
             _fetch_exact(df, cols, fetch)
         if refine:
@@ -105,7 +117,7 @@ def _select(df, cols, state, bins, small, max_rounds):
             v[4] = sub.agg(F.percentile(F.col(c), F.lit(frac))).first()[0]
 
 
-def order_statistics(df: DataFrame, col: str, ranks, bins: int = 4096, small: int = 100000,
+def order_statistics(df: DataFrame, col: str, ranks, bins: int = 4096, small: int = 1_000_000,
                      max_rounds: int = 48) -> dict:
     """{rank: value} for 0-based ranks among the non-NULL values of ``col``
     (ranks outside [0, n) map to None)."""
@@ -117,7 +129,7 @@ def order_statistics(df: DataFrame, col: str, ranks, bins: int = 4096, small: in
     return {int(r): (state[(0, int(r))][4] if (0, int(r)) in state else None) for r in ranks}
 
 
-def multi_order_statistics(df: DataFrame, wanted: dict, bins: int = 4096, small: int = 100000,
+def multi_order_statistics(df: DataFrame, wanted: dict, bins: int = 4096, small: int = 1_000_000,
                            max_rounds: int = 48) -> dict:
     """{(col, rank): value} for several columns at once (one statistics
     job and shared refinement rounds)."""
@@ -158,8 +170,8 @@ def _refine_once(df, cols, items, bins):
            .groupBy("x.t", "x.b").agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("lo"),
                                       F.max("x.v").alias("hi")))
     hist = {}
-    for r in h.collect():          # at most (#intervals x bins) rows
-        hist.setdefault(r["t"], []).append((r["b"], r["n"], r["lo"], r["hi"]))
+    for r in h.toPandas().itertuples(index=False):      # at most (#intervals x bins) rows
+        hist.setdefault(int(r.t), []).append((int(r.b), int(r.n), float(r.lo), float(r.hi)))
     for t, ks in members.items():
         buckets = sorted(hist.get(t, []))
         for k in ks:
@@ -178,16 +190,13 @@ def _fetch_exact(df, cols, items):
     for (i, a, b), t in ids.items():
         c = F.col(cols[i]).cast("double")
         parts.append(F.when(c.between(a, b), F.struct(F.lit(t).alias("t"), c.alias("v"))))
-    rows = (df.select(F.explode(F.array(*parts)).alias("x")).where(F.col("x").isNotNull())
-              .select("x.t", "x.v").collect())   # bounded by ``small`` per interval
-    vals = {}
-    for r in rows:
-        vals.setdefault(r["t"], []).append(r["v"])
+    pdf = (df.select(F.explode(F.array(*parts)).alias("x")).where(F.col("x").isNotNull())
+             .select("x.t", "x.v").toPandas())   # Arrow; bounded by FETCH_BUDGET values
     for t, ks in members.items():
-        s = sorted(vals.get(t, []))
+        s = np.sort(pdf["v"].to_numpy()[pdf["t"].to_numpy() == t])
         for k in ks:
             v = items[k]
-            v[4] = s[k[1] - v[2]]
+            v[4] = float(s[k[1] - v[2]])
 
 
 def quantile_map(df: DataFrame, cols, q: float, method: str = "refine", scale: float = 1.0) -> dict:
