@@ -65,13 +65,25 @@ def ticket_stream(labelled: DataFrame, gap_sec: float, ts: str = "ts", key: str
                     F.col("end").cast("timestamp_ntz").alias("end"), "n_rows")
 
 
-def run_available_now(stream: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> DataFrame:
+def run_available_now(stream: DataFrame, spark: SparkSession, name: str, mode: str = "append",
+                      state_partitions: int | None = None) -> DataFrame:
     """Run to completion into a fresh Parquet sink under the shared
-    checkpoint folder and return the sink as a batch DataFrame."""
+    checkpoint folder and return the sink as a batch DataFrame.
+
+    A streaming query fixes its number of state partitions when it first
+    starts (from ``spark.sql.shuffle.partitions``); it is set for this query
+    to ``state_partitions`` (default: the cluster's parallelism) and the
+    session value is restored afterwards."""
     run = uuid.uuid4().hex[:12]
     out = scratch_path(spark, f"faultline-stream-{name}-{run}")
-    q = (stream.writeStream.format("parquet").outputMode(mode)
-               .option("checkpointLocation", out + "-ckpt").option("path", out)
-               .trigger(availableNow=True).start())
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = (stream.writeStream.format("parquet").outputMode(mode)
+                   .option("checkpointLocation", out + "-ckpt").option("path", out)
+                   .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
