@@ -60,11 +60,15 @@ def rule_count(cols, thr: dict, op: str = ">", abs_cols=()) -> Column:
 
 def k_of_n(df: DataFrame, cols, q=0.95, k: int = 2, op: str = ">", abs_cols=(), scale: float = 1.0,
            thresholds: dict | None = None, label: str = "label_fault", keep_flags: bool = False,
-           flag_suffix: str = "_fault", method: str = "refine") -> DataFrame:
-    """label = (#columns passing their threshold) >= k."""
+           flag_suffix: str = "_fault", method: str = "refine", fit_on: DataFrame | None = None) -> DataFrame:
+    """label = (#columns passing their threshold) >= k.
+
+    Thresholds come from ``df`` itself (the reference's behaviour, which
+    lets test rows shape their own labels) unless ``fit_on`` -- e.g. the
+    training fold -- is given."""
     cols = list(cols)
     thr = thresholds if thresholds is not None else \
-        quantile_thresholds(df, cols, q, scale, abs_cols, method)
+        quantile_thresholds(fit_on if fit_on is not None else df, cols, q, scale, abs_cols, method)
     out = df
     if keep_flags:
         out = out.withColumns({f"{c}{flag_suffix}": flag(cmp(_src(c, abs_cols), op, F.lit(thr[c])))
