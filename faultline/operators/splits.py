@@ -53,13 +53,28 @@ def _tuple_le(h, m, k, key):
             ((F.col(MD5) == F.lit(m)) & (F.col(key) <= F.lit(k))))))
 
 
-def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, key: str = "row_id",
-              small: int = 100000) -> dict:
+def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict | None, wanted, key: str = "row_id",
+              small: int = 100000, with_counts: bool = False):
     """Predicates selecting, within each stratum ``s``, the ``k`` lowest
     ranked rows for every ``k`` in ``wanted[s]``; all targets share the
     histogram and fetch jobs.  ``key`` must be unique: copies of one key
-    share a hash and cannot be told apart (refused, never collected)."""
+    share a hash and cannot be told apart (refused, never collected).
+
+    With ``counts=None`` the first job is a full-range digit histogram per
+    stratum: it yields the stratum sizes (``wanted`` may then be a function
+    of them) and serves as the first refinement round."""
     preds, state = {}, {}
+    hist0 = None
+    if counts is None:
+        sv = F.col(strata) if strata is not None else F.lit(None).cast("int")
+        rows = (dfh.groupBy(sv.alias("s"), F.shiftright(F.col(H), HBITS - DIGIT).alias("d")).count()
+                   .collect())                                          # <= #strata x 4,096 rows
+        hist0, counts = {}, {}
+        for r in rows:
+            hist0.setdefault(r["s"], []).append((int(r["d"]), int(r["count"])))
+            counts[r["s"]] = counts.get(r["s"], 0) + int(r["count"])
+    if callable(wanted):
+        wanted = wanted(counts)
     for s, ks in wanted.items():
         n = counts.get(s, 0)
         for k in ks:
@@ -70,6 +85,19 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, ke
             else:          # interval [lo, lo + 2^bits), rows below it, rows inside
                 state[(s, k)] = {"lo": 0, "bits": HBITS, "below": 0, "count": n}
 
+    def narrow(v, rank, cells, shift):
+        below = v["below"]
+        for d, c in sorted(cells):
+            if rank < below + c:
+                v.update(lo=v["lo"] + (int(d) << shift), bits=shift, below=below, count=int(c))
+                return
+            below += c
+
+    if hist0 is not None:
+        for t, v in state.items():
+            if v["count"] > small:
+                narrow(v, t[1] - 1, hist0.get(t[0], []), HBITS - DIGIT)
+
     def intervals(items):
         ids = {}
         for t, v in items:
@@ -94,13 +122,8 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, ke
                    .groupBy("x.i", "x.d").count().toPandas())                  # <= 4,096 rows per interval
         for t, v in wide:
             i = ids[(t[0], v["lo"], v["bits"])]
-            shift = max(v["bits"] - DIGIT, 0)
-            rank, below = t[1] - 1, v["below"]
-            for d, c in hist[hist["i"] == i].sort_values("d")[["d", "count"]].itertuples(index=False):
-                if rank < below + c:
-                    v.update(lo=v["lo"] + (int(d) << shift), bits=shift, below=below, count=int(c))
-                    break
-                below += c
+            cells = [(int(d), int(c)) for d, c in hist[hist["i"] == i][["d", "count"]].itertuples(index=False)]
+            narrow(v, t[1] - 1, cells, max(v["bits"] - DIGIT, 0))
     for t, v in state.items():
         if v["count"] > small:      # only identical (hash, md5, key) tuples remain: duplicated keys
             raise ValueError(f"rank key {key!r} is not unique: {v['count']} rows share one hash; "
@@ -117,7 +140,7 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict, wanted: dict, ke
             got = sorted(rows[rows["i"] == i][["h", "m", "k"]].itertuples(index=False, name=None))
             h, m, k = got[t[1] - 1 - v["below"]]
             preds[t] = _tuple_le(int(h), m, k.item() if hasattr(k, "item") else k, key)
-    return preds
+    return (preds, counts) if with_counts else preds
 
 
 def rank_cut(dfh: DataFrame, k: int, n: int, key: str = "row_id"):
@@ -137,14 +160,21 @@ def _in_stratum(strata, value) -> Column:
     return F.col(strata).isNull() if value is None else (F.col(strata) == F.lit(value))
 
 
-def assign_folds(df: DataFrame, quotas: dict, names, key: str = "row_id", seed: int = 42,
+def assign_folds(df: DataFrame, quotas, names, key: str = "row_id", seed: int = 42,
                  strata: str | None = None, out: str = "fold") -> DataFrame:
     """Per stratum, the first quotas[s][0] rows in hash order get names[0],
-    the next quotas[s][1] names[1], ..., the rest names[-1]."""
+    the next quotas[s][1] names[1], ..., the rest names[-1].  ``quotas`` may
+    be a function of the stratum sizes (taken from the first histogram)."""
     dfh = with_hash(df, key, seed)
-    counts = _strata_counts(df, strata)
-    acc = {s: [sum(qs[:i + 1]) for i in range(len(qs))] for s, qs in quotas.items()}
-    preds = rank_cuts(dfh, strata, counts, acc, key)
+    box = {}
+
+    def cumulative(counts):
+        q = quotas(counts) if callable(quotas) else quotas
+        box["acc"] = {s: [sum(qs[:i + 1]) for i in range(len(qs))] for s, qs in q.items()}
+        return box["acc"]
+
+    preds = rank_cuts(dfh, strata, None, cumulative, key)
+    acc = box["acc"]
     expr = None
     for s, ks in acc.items():
         branch = None
@@ -160,24 +190,25 @@ def split_stratified(df: DataFrame, label: str, test_size: float = 0.30, second_
                      key: str = "row_id", seed: int = 42, out: str = "fold") -> DataFrame:
     """G1: stratified train / validation / test: ceil(30 %) out, then half
     of that (ceil) for test; class quotas by largest remainder."""
-    counts = _strata_counts(df, label)
-    n = sum(counts.values())
-    n_out = int(math.ceil(test_size * n))
-    train = largest_remainder(counts, n - n_out)
-    temp = {k: counts[k] - train[k] for k in counts}
-    n_test = int(math.ceil(second_test * n_out))
-    val = largest_remainder(temp, n_out - n_test)
-    quotas = {k: [train[k], val[k]] for k in counts}
+    def quotas(counts):
+        n = sum(counts.values())
+        n_out = int(math.ceil(test_size * n))
+        train = largest_remainder(counts, n - n_out)
+        temp = {k: counts[k] - train[k] for k in counts}
+        n_test = int(math.ceil(second_test * n_out))
+        val = largest_remainder(temp, n_out - n_test)
+        return {k: [train[k], val[k]] for k in counts}
     return assign_folds(df, quotas, ["train", "val", "test"], key, seed, label, out)
 
 
 def split_two_way(df: DataFrame, label: str, test_size: float = 0.30, key: str = "row_id",
                   seed: int = 42, out: str = "fold") -> DataFrame:
     """Stratified train / test (70/30, 75/25, ...)."""
-    counts = _strata_counts(df, label)
-    n = sum(counts.values())
-    train = largest_remainder(counts, n - int(math.ceil(test_size * n)))
-    return assign_folds(df, {k: [train[k]] for k in counts}, ["train", "test"], key, seed, label, out)
+    def quotas(counts):
+        n = sum(counts.values())
+        train = largest_remainder(counts, n - int(math.ceil(test_size * n)))
+        return {k: [train[k]] for k in counts}
+    return assign_folds(df, quotas, ["train", "test"], key, seed, label, out)
 
 
 def split_chronological(df: DataFrame, ts: str = "ts", row_id: str = "row_id", train: float = 0.70,
@@ -220,11 +251,15 @@ def sample_stratified(df: DataFrame, label: str | None, n_max: int = 5000, key:
                       seed: int = 42) -> DataFrame:
     """Stratified sample of min(n_max, n) rows without replacement
     (largest-remainder class allocation); plain sample when no label."""
-    counts = _strata_counts(df, label)
-    n = sum(counts.values())
-    take = largest_remainder(counts, min(n_max, n))
     dfh = with_hash(df, key, seed)
-    preds = rank_cuts(dfh, label, counts, {s: [k] for s, k in take.items()}, key)
+    box = {}
+
+    def wanted(counts):
+        box["take"] = largest_remainder(counts, min(n_max, sum(counts.values())))
+        return {s: [k] for s, k in box["take"].items()}
+
+    preds = rank_cuts(dfh, label, None, wanted, key)
+    take = box["take"]
     cond = None
     for s, k in take.items():
         c = _in_stratum(label, s) & preds[(s, k)]
