@@ -148,12 +148,6 @@ def rank_cut(dfh: DataFrame, k: int, n: int, key: str = "row_id"):
     return rank_cuts(dfh, None, {None: n}, {None: [k]}, key)[(None, k)]
 
 
-def _strata_counts(df: DataFrame, strata: str | None) -> dict:
-    if strata is None:
-        return {None: df.count()}
-    return {r[0]: int(r[1]) for r in df.groupBy(strata).count().collect()}   # one row per class
-
-
 def _in_stratum(strata, value) -> Column:
     if strata is None:
         return F.lit(True)
@@ -278,13 +272,17 @@ def balanced_subsample(df: DataFrame, label: str, cap: int = 6000, key: str = "r
                        seed: int = 42) -> DataFrame:
     """n = min(positives, negatives, cap // 2) rows of each class; all
     rows when a class is empty."""
-    counts = _strata_counts(df, label)
-    pos, neg = counts.get(1, 0), counts.get(0, 0)
-    k = min(pos, neg, cap // 2)
+    dfh = with_hash(df, key, seed)
+    box = {}
+
+    def wanted(counts):
+        box["k"] = min(counts.get(1, 0), counts.get(0, 0), cap // 2)
+        return {1: [box["k"]], 0: [box["k"]]}
+
+    preds = rank_cuts(dfh, label, None, wanted, key)
+    k = box["k"]
     if k <= 0:
         return df
-    dfh = with_hash(df, key, seed)
-    preds = rank_cuts(dfh, label, counts, {1: [k], 0: [k]}, key)
     c1 = (F.col(label) == 1) & preds[(1, k)]
     c0 = (F.col(label) == 0) & preds[(0, k)]
     return dfh.where(c1 | c0).drop(H, MD5)
