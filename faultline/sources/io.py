@@ -8,6 +8,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 
 from ..operators.schema import name_positional
 
+# Fixed values of the reference pipeline: raw and processed column layouts.
 RAW_SCHEMA = StructType([StructField("ID", LongType())] + [
     StructField(c, DoubleType()) for c in ["revolutions", "humidity", "vibration", "x1", "x2", "x3", "x4", "x5"]])
 
