@@ -39,7 +39,8 @@ def rolling_time_mean(df: DataFrame, cols, window_s: float = 300.0, ts: str = "t
     S(t) - S(t - window), joined back by row id.  That form counts only
     earlier rows among equal time stamps, as pandas does."""
     keys, cols = list(keys), list(cols)
-    if choose_strategy(df, keys, strategy) == "window":
+    strategy = choose_strategy(df, keys, strategy)      # resolved once, reused by the fill
+    if strategy == "window":
         us = epoch_us(ts)
         w = (Window.partitionBy(*keys).orderBy(us)
              .rangeBetween(-int(window_s * US_PER_S) + 1, 0))
@@ -86,7 +87,7 @@ def rolling_row_mean(df: DataFrame, cols, n: int = 5, ts: str = "ts", row_id: st
     if resolved == "window":
         out = d.withColumns({c: F.avg(c).over(frame) for c in cols}).drop(SEG)
         if fill:
-            out = fill_forward_backward(out, keys, order, cols, strategy).drop(SEG, RN)
+            out = fill_forward_backward(out, keys, order, cols, resolved).drop(SEG, RN)
         return out
     d = d.withColumn(RN, F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(
         Window.partitionBy(*keys, SEG)))
@@ -109,7 +110,7 @@ def rolling_row_mean(df: DataFrame, cols, n: int = 5, ts: str = "ts", row_id: st
                              / F.nullif((F.col(f"_lc_{c}") + cc).cast("double"), F.lit(0.0)))
     out = out.drop("_cnt", "_carry", *[f"_ls_{c}" for c in cols], *[f"_lc_{c}" for c in cols])
     if fill:
-        out = fill_forward_backward(out.drop(SEG, RN), keys, order, cols, strategy)
+        out = fill_forward_backward(out.drop(SEG, RN), keys, order, cols, resolved)
     return out.drop(SEG, RN)
 
 
