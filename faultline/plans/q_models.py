@@ -172,8 +172,9 @@ def q_stress_diagnostics(spark, sf_dir):
 
 @register("robustness_suite")
 def q_robustness_suite(spark, sf_dir):
-    """LR and RF under the random, leakage-guard, chronological and
-    event-grouped regimes; one metrics row per (model, regime)."""
+    """All four model kinds under the random, leakage-guard,
+    chronological and event-grouped regimes; one metrics row per
+    (model, regime)."""
     base = L.k_of_n(tele(spark, sf_dir), RULE4).select("row_id", "ts", *FEATS, "label_fault")
     base = M.class_weights(base, "label_fault").cache()
     guard_feats = S.leakage_guard(FEATS, RULE4)
@@ -188,7 +189,8 @@ def q_robustness_suite(spark, sf_dir):
     for tag, (df, feats) in regimes.items():
         df = df.cache()
         tr, _, te = _folds(df)
-        for kind, p in (("lr", {"C": 1.0}), ("rf", {"maxDepth": 12})):
+        for kind, p in (("lr", {"C": 1.0}), ("svm", {"C": 1.0, "gamma": "scale"}), ("rf", {"maxDepth": 12}),
+                        ("mlp", {"hidden": (64, 32)})):
             m = M.fit(tr, feats, "label_fault", kind, p, **FAST)
             outs.append(_test_metrics(m, te, kind, tag).toPandas())
         df.unpersist()
