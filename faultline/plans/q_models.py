@@ -231,3 +231,16 @@ def q_variant_separation(spark, sf_dir):
     t.unpersist(); den.unpersist()
     return finish(spark.createDataFrame(rows, "variant string, pc1_var double, pc2_var double, "
                                               "silhouette_sq_pc12 double, features string"))
+
+
+@register("grid_search_rf")
+def q_grid_search_rf(spark, sf_dir):
+    """I7 for the forest: depth grid (unlimited -> Spark's 30, 8, 12, 16) on
+    the fixed validation fold by macro-F1, refit on train + validation."""
+    df = prepared(spark, sf_dir).cache()
+    tr, va, te = _folds(df)
+    m, best_p, best = M.grid_search(tr, va, FEATS, "rf", **FAST)
+    out = _test_metrics(m, te, "rf").withColumn("best_params", F.lit(str(best_p))) \
+                                     .withColumn("val_f1_macro", F.lit(float(best))).toPandas()
+    df.unpersist()
+    return finish(spark.createDataFrame(out))
