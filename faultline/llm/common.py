@@ -50,3 +50,23 @@ def n_words(text: Column) -> Column:
 
 def n_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast(NUM)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package (once per application), however the driver came by it."""
+    import os
+    import tempfile
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "_shipped_package", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(), os.path.basename(root) + ".zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)  # Spark's own file service hands it out
+    sc._shipped_package = True

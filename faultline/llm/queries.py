@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, sharding
+from . import mixing, quality_rules, sharding, token_codes, token_counts
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -102,3 +102,18 @@ def op4_mix_sources(spark, sf_dir):
 def op7_hilbert_shards(spark, sf_dir):
     return sharding.shard(read(spark, sf_dir, "documents"), carry=False) \
         .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query("op2_token_codes")
+def op2_token_codes(spark, sf_dir):
+    return token_codes.encode_roundtrip(read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), end_id=2)
+
+
+@query("op5_token_counts")
+def op5_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
