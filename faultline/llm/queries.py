@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, sharding, token_codes, token_counts
+from . import html_extract, mixing, quality_rules, sharding, token_codes, token_counts
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -117,3 +117,8 @@ def op2_token_codes(spark, sf_dir):
 @query("op5_token_counts")
 def op5_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
+@query("op6_html_main_text")
+def op6_html_main_text(spark, sf_dir):
+    return html_extract.extract_main_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
