@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, mixing, quality_rules, sharding, token_codes, token_counts
+from . import html_extract, mixing, quality_pu, quality_rules, sharding, token_codes, token_counts, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -122,3 +122,15 @@ def op5_token_counts(spark, sf_dir):
 @query("op6_html_main_text")
 def op6_html_main_text(spark, sf_dir):
     return html_extract.extract_main_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op1_quality_pu")
+def op1_quality_pu(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return quality_pu.score(docs, quality_pu.fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
