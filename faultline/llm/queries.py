@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, mixing, quality_pu, quality_rules, sharding, token_codes, token_counts, toxicity
+from . import html_extract, mixing, near_dedup, quality_pu, quality_rules, sharding, token_codes, token_counts, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -134,3 +134,8 @@ def op1_quality_pu(spark, sf_dir):
 def op10_toxicity(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op9_minhash_near_dedup")
+def op9_minhash_near_dedup(spark, sf_dir):
+    return near_dedup.components(read(spark, sf_dir, "documents"))
