@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extract, mixing, near_dedup, quality_pu, quality_rules, sharding, token_codes, token_counts, toxicity
+from . import decontaminate, html_extract, mixing, near_dedup, quality_pu, quality_rules, sharding, token_codes, token_counts, toxicity
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -139,3 +139,8 @@ def op10_toxicity(spark, sf_dir):
 @query("op9_minhash_near_dedup")
 def op9_minhash_near_dedup(spark, sf_dir):
     return near_dedup.components(read(spark, sf_dir, "documents"))
+
+
+@query("op8_benchmark_leaks")
+def op8_benchmark_leaks(spark, sf_dir):
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
