@@ -53,12 +53,17 @@ def _tuple_le(h, m, k, key):
             ((F.col(MD5) == F.lit(m)) & (F.col(key) <= F.lit(k))))))
 
 
+def _copies(key):
+    return ValueError(f"a cut falls between rows of equal {key!r}; add a tie-breaking column to the key")
+
+
 def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict | None, wanted, key: str = "row_id",
               small: int = 100000, with_counts: bool = False):
     """Predicates selecting, within each stratum ``s``, the ``k`` lowest
     ranked rows for every ``k`` in ``wanted[s]``; all targets share the
-    histogram and fetch jobs.  ``key`` must be unique: copies of one key
-    share a hash and cannot be told apart (refused, never collected).
+    histogram and fetch jobs.  Copies of one key share a hash and can't be
+    told apart: a cut that would fall between two of them is refused,
+    whatever their number; any other cut keeps its exact quota.
 
     With ``counts=None`` the first job is a full-range digit histogram per
     stratum: it yields the stratum sizes (``wanted`` may then be a function
@@ -126,8 +131,7 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict | None, wanted, k
             narrow(v, t[1] - 1, cells, max(v["bits"] - DIGIT, 0))
     for t, v in state.items():
         if v["count"] > small:      # only identical (hash, md5, key) tuples remain: duplicated keys
-            raise ValueError(f"rank key {key!r} is not unique: {v['count']} rows share one hash; "
-                             "add a tie-breaking column to the key")
+            raise _copies(key)
     if state:
         ids = intervals(list(state.items()))
         parts = [F.when(members(sv, lo, bits), F.struct(F.lit(i).alias("i"), F.col(H).alias("h"),
@@ -138,7 +142,10 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict | None, wanted, k
         for t, v in state.items():
             i = ids[(t[0], v["lo"], v["bits"])]
             got = sorted(rows[rows["i"] == i][["h", "m", "k"]].itertuples(index=False, name=None))
-            h, m, k = got[t[1] - 1 - v["below"]]
+            at = t[1] - 1 - v["below"]
+            if at + 1 < len(got) and got[at] == got[at + 1]:
+                raise _copies(key)
+            h, m, k = got[at]
             preds[t] = _tuple_le(int(h), m, k.item() if hasattr(k, "item") else k, key)
     return (preds, counts) if with_counts else preds
 

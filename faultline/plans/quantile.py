@@ -3,17 +3,19 @@
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 hash map on one reducer: fine for millions of values, not for a 100 TB
 column.  ``method="refine"`` finds the exact order statistics instead by
-histogram refinement:
-
-* job 1: ``count/min/max`` per column (one scan, partial aggregation);
-* each further job: for every pending target interval ``[a, b]`` an
-  equal-width histogram of ``bins`` buckets (count, min, max per bucket,
-  map-side combined), so at most ``targets x bins`` rows reach the driver;
-  the bucket holding the wanted rank becomes the next interval, tightened to
-  the actual min/max inside it;
-* once an interval holds at most ``small`` values (or a single distinct
-  value) those values are fetched -- bounded by the parameter -- and the
-  rank is read off directly.
+narrowing intervals of *ranks*:
+
+* job 1: the number of values per column (one scan, partial aggregation);
+* each round, for every pending target, an approximate-percentile sketch of
+  its interval gives two values around the wanted rank, and one aggregate
+  counts the interval's values below, at, between and above them exactly.
+  The rank then lies on one of the two values -- which is the answer -- or
+  in one of the open intervals.  The one between them holds at most
+  ``4 / accuracy`` of the values whatever their distribution (infinities,
+  many decades, heavy ties), so n values need about log(n / small) /
+  log(accuracy / 4) rounds: two for 10^13;
+* once an interval holds at most ``small`` values those are fetched --
+  bounded by the parameter and a budget per pass -- and the rank is read off.
 
 The interpolation is ``x_lo + (x_hi - x_lo) * frac`` with
 ``h = (n - 1) * q`` -- the same arithmetic as DuckDB's ``quantile_cont``
@@ -37,8 +39,8 @@ def _interp(lo, hi, frac):
     return lo + (hi - lo) * frac
 
 
-def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
-              small: int = 1_000_000, max_rounds: int = 48, accuracy: int = 100000) -> dict:
+def quantiles(df: DataFrame, cols, qs, method: str = "refine", small: int = 1_000_000,
+              accuracy: int = 10_000) -> dict:
     """{(col, q): value or None}.  ``method``: refine (exact, scalable),
     percentile (Spark exact, one reducer per group), approx."""
     cols, qs = list(cols), [float(q) for q in qs]
@@ -55,11 +57,9 @@ def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
     if method != "refine":
         raise ValueError(method)
 
-    st = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                *[F.min(F.col(c)).cast("double").alias(f"a{i}") for i, c in enumerate(cols)],
-                *[F.max(F.col(c)).cast("double").alias(f"b{i}") for i, c in enumerate(cols)]).first()
+    st = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     plan = {}      # (col index, q) -> (lo rank, hi rank, frac)
-    state = {}     # (col index, rank) -> [a, b, below, count, value]
+    state = {}     # (col index, rank) -> its interval, see _start
     for i, c in enumerate(cols):
         n = int(st[f"n{i}"])
         for q in qs:
@@ -70,8 +70,8 @@ def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
             lo, hi = int(math.floor(h)), int(math.ceil(h))
             plan[(i, q)] = (lo, hi, h - lo)
             for r in (lo, hi):
-                state.setdefault((i, r), [st[f"a{i}"], st[f"b{i}"], 0, n, None])
-    _select(df, cols, state, bins, small, max_rounds)
+                state.setdefault((i, r), _start(n))
+    _select(df, cols, state, small, accuracy)
 
     out = {}
     for (i, q), p in plan.items():
@@ -79,124 +79,110 @@ def quantiles(df: DataFrame, cols, qs, method: str = "refine", bins: int = 4096,
             out[(cols[i], q)] = None
             continue
         lo, hi, frac = p
-        out[(cols[i], q)] = _interp(state[(i, lo)][4], state[(i, hi)][4], frac)
+        out[(cols[i], q)] = _interp(state[(i, lo)]["value"], state[(i, hi)]["value"], frac)
     return out
 
 
-def _select(df, cols, state, bins, small, max_rounds):
+def _start(n: int) -> dict:
+    """The open interval (above, under) that holds a rank: None is unbounded."""
+    return {"above": None, "under": None, "below": 0, "count": n, "value": None}
+
+
+def _inside(c, v):
+    x = F.col(c).cast("double")
+    ok = x.isNotNull()
+    if v["above"] is not None:
+        ok = ok & (x > F.lit(v["above"]))
+    if v["under"] is not None:
+        ok = ok & (x < F.lit(v["under"]))
+    return x, ok
+
+
+def _select(df, cols, state, small, accuracy):
     """Resolve every ``state[(col index, rank)]`` to the exact value of that
     0-based order statistic (NULLs excluded)."""
-    for _ in range(max_rounds):
-        pending = {k: v for k, v in state.items() if v[4] is None}
-        for k, v in pending.items():
-            if v[0] == v[1]:
-                v[4] = v[0]
-        pending = {k: v for k, v in pending.items() if v[4] is None}
-        if not pending:
-            return
+    while pending := {k: v for k, v in state.items() if v["value"] is None}:
         # fetch the smallest intervals while the total stays within budget
         # (intervals shared by several targets are counted once)
         fetch, seen, used = {}, set(), 0
-        for k, v in sorted(pending.items(), key=lambda kv: kv[1][3]):
-            iv = (k[0], v[0], v[1])
-            cost = 0 if iv in seen else v[3]
-            if v[3] <= small and used + cost <= FETCH_BUDGET:
+        for k, v in sorted(pending.items(), key=lambda kv: kv[1]["count"]):
+            iv = (k[0], v["above"], v["under"])
+            cost = 0 if iv in seen else v["count"]
+            if v["count"] <= small and used + cost <= FETCH_BUDGET:
                 fetch[k] = v
                 seen.add(iv)
                 used += cost
-        refine = {k: v for k, v in pending.items() if k not in fetch}
+        refine = {k: v for k, v in pending.items() if k not in fetch and v["count"] > small}
         if fetch:
             _fetch_exact(df, cols, fetch)
         if refine:
-            _refine_once(df, cols, refine, bins)
-    for k, v in state.items():     # pathological spreads: finish exactly
-        if v[4] is None:
-            c = cols[k[0]]
-            sub = df.where(F.col(c).between(v[0], v[1]))
-            frac = 0.0 if v[3] <= 1 else (k[1] - v[2]) / (v[3] - 1)
-            v[4] = sub.agg(F.percentile(F.col(c), F.lit(frac))).first()[0]
+            _narrow_once(df, cols, refine, accuracy)
 
 
-def order_statistics(df: DataFrame, col: str, ranks, bins: int = 4096, small: int = 1_000_000,
-                     max_rounds: int = 48) -> dict:
+def order_statistics(df: DataFrame, col: str, ranks, small: int = 1_000_000, accuracy: int = 10_000) -> dict:
     """{rank: value} for 0-based ranks among the non-NULL values of ``col``
     (ranks outside [0, n) map to None)."""
-    st = df.agg(F.count(F.col(col)).alias("n"), F.min(F.col(col)).cast("double").alias("a"),
-                F.max(F.col(col)).cast("double").alias("b")).first()
-    n = int(st["n"])
-    state = {(0, int(r)): [st["a"], st["b"], 0, n, None] for r in ranks if 0 <= int(r) < n}
-    _select(df, [col], state, bins, small, max_rounds)
-    return {int(r): (state[(0, int(r))][4] if (0, int(r)) in state else None) for r in ranks}
-
-
-def multi_order_statistics(df: DataFrame, wanted: dict, bins: int = 4096, small: int = 1_000_000,
-                           max_rounds: int = 48) -> dict:
-    """{(col, rank): value} for several columns at once (one statistics
-    job and shared refinement rounds)."""
+    got = multi_order_statistics(df, {col: list(ranks)}, small, accuracy)
+    return {int(r): got[(col, int(r))] for r in ranks}
+
+
+def multi_order_statistics(df: DataFrame, wanted: dict, small: int = 1_000_000, accuracy: int = 10_000) -> dict:
+    """{(col, rank): value} for several columns at once (one counting job
+    and shared rounds)."""
     cols = list(wanted)
-    st = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                *[F.min(F.col(c)).cast("double").alias(f"a{i}") for i, c in enumerate(cols)],
-                *[F.max(F.col(c)).cast("double").alias(f"b{i}") for i, c in enumerate(cols)]).first()
-    state = {}
-    for i, c in enumerate(cols):
-        n = int(st[f"n{i}"])
-        for r in wanted[c]:
-            if 0 <= int(r) < n:
-                state[(i, int(r))] = [st[f"a{i}"], st[f"b{i}"], 0, n, None]
-    _select(df, cols, state, bins, small, max_rounds)
-    return {(c, int(r)): (state[(i, int(r))][4] if (i, int(r)) in state else None)
+    st = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    state = {(i, int(r)): _start(int(st[f"n{i}"])) for i, c in enumerate(cols) for r in wanted[c]
+             if 0 <= int(r) < int(st[f"n{i}"])}
+    _select(df, cols, state, small, accuracy)
+    return {(c, int(r)): (state[(i, int(r))]["value"] if (i, int(r)) in state else None)
             for i, c in enumerate(cols) for r in wanted[c]}
 
 
-def _interval_ids(items):
-    """Share one histogram between targets with the same (col, interval)."""
-    ids, members = {}, {}
-    for k, v in items.items():
-        key = (k[0], v[0], v[1])
-        t = ids.setdefault(key, len(ids))
-        members.setdefault(t, []).append(k)
-    return ids, members
-
-
-def _refine_once(df, cols, items, bins):
-    ids, members = _interval_ids(items)
-    parts = []
-    for (i, a, b), t in ids.items():
-        c = F.col(cols[i]).cast("double")
-        bucket = F.least(F.floor((c - F.lit(a)) / F.lit(b - a) * F.lit(bins)), F.lit(bins - 1))
-        parts.append(F.when(c.between(a, b), F.struct(F.lit(t).alias("t"), bucket.cast("int").alias("b"),
-                                                       c.alias("v"))))
-    h = (df.select(F.explode(F.array(*parts)).alias("x")).where(F.col("x").isNotNull())
-           .groupBy("x.t", "x.b").agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("lo"),
-                                      F.max("x.v").alias("hi")))
-    hist = {}
-    for r in h.toPandas().itertuples(index=False):      # at most (#intervals x bins) rows
-        hist.setdefault(int(r.t), []).append((int(r.b), int(r.n), float(r.lo), float(r.hi)))
-    for t, ks in members.items():
-        buckets = sorted(hist.get(t, []))
-        for k in ks:
-            v = items[k]
-            rank, below = k[1], v[2]
-            for b, n, lo, hi in buckets:
-                if rank < below + n:
-                    v[0], v[1], v[2], v[3] = lo, hi, below, n
-                    break
-                below += n
+def _narrow_once(df, cols, items, accuracy):
+    """One round: two values around each rank, then exact counts about them."""
+    keys, aggs = list(items), []
+    for t, k in enumerate(keys):
+        v = items[k]
+        x, ok = _inside(cols[k[0]], v)
+        f = (k[1] - v["below"]) / max(1, v["count"] - 1)
+        ends = [min(1.0, max(0.0, f + d / accuracy)) for d in (-1.5, 1.5)]
+        aggs.append(F.percentile_approx(F.when(ok, x), ends, 2 * accuracy).alias(f"t{t}"))
+    cuts = df.agg(*aggs).first()                        # two values per target
+    aggs = []
+    for t, k in enumerate(keys):
+        x, ok = _inside(cols[k[0]], items[k])
+        lo, hi = (F.lit(float(e)) for e in cuts[f"t{t}"])
+        aggs += [F.count_if(ok & (x < lo)).alias(f"l{t}"), F.count_if(ok & (x == lo)).alias(f"a{t}"),
+                 F.count_if(ok & (x > lo) & (x < hi)).alias(f"m{t}"),
+                 F.count_if(ok & (x == hi) & (hi > lo)).alias(f"b{t}")]
+    n = df.agg(*aggs).first()                           # four counts per target
+    for t, k in enumerate(keys):
+        v, (lo, hi) = items[k], cuts[f"t{t}"]
+        left = k[1] - v["below"]
+        for count, above, under, value in ((n[f"l{t}"], v["above"], lo, None), (n[f"a{t}"], None, None, lo),
+                                           (n[f"m{t}"], lo, hi, None), (n[f"b{t}"], None, None, hi),
+                                           (math.inf, hi, v["under"], None)):
+            if left < count:
+                inside = min(count, v["count"] - (k[1] - v["below"] - left))
+                v.update(above=above, under=under, below=k[1] - left, count=int(inside),
+                         value=None if value is None else float(value))
+                break
+            left -= count
 
 
 def _fetch_exact(df, cols, items):
-    ids, members = _interval_ids(items)
-    parts = []
-    for (i, a, b), t in ids.items():
-        c = F.col(cols[i]).cast("double")
-        parts.append(F.when(c.between(a, b), F.struct(F.lit(t).alias("t"), c.alias("v"))))
+    ids, parts = {}, []
+    for k, v in items.items():          # one fetch for all targets of an interval
+        iv = (k[0], v["above"], v["under"])
+        if iv not in ids:
+            ids[iv] = len(ids)
+            x, ok = _inside(cols[k[0]], v)
+            parts.append(F.when(ok, F.struct(F.lit(ids[iv]).alias("t"), x.alias("v"))))
     pdf = (df.select(F.explode(F.array(*parts)).alias("x")).where(F.col("x").isNotNull())
              .select("x.t", "x.v").toPandas())   # Arrow; bounded by FETCH_BUDGET values
-    for t, ks in members.items():
-        s = np.sort(pdf["v"].to_numpy()[pdf["t"].to_numpy() == t])
-        for k in ks:
-            v = items[k]
-            v[4] = float(s[k[1] - v[2]])
+    held = {t: np.sort(g.to_numpy()) for t, g in pdf.groupby("t")["v"]}
+    for k, v in items.items():
+        v["value"] = float(held[ids[k[0], v["above"], v["under"]]][k[1] - v["below"]])
 
 
 def quantile_map(df: DataFrame, cols, q: float, method: str = "refine", scale: float = 1.0) -> dict:
