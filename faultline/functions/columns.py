@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "col", "EPOCH", "to_ntz", "epoch_us", "us_to_ts", "nan_to_null", "flag", "cmp",
-    "day_key", "week_key", "month_key", "hash_key", "r6", "safe_div", "US_PER_S",
+    "day_key", "week_key", "month_key", "safe_div", "US_PER_S",
 ]
 
 US_PER_S = 1_000_000
@@ -65,15 +65,6 @@ def month_key(c) -> Column:
     return F.date_trunc("month", to_ntz(c)).cast("timestamp_ntz")
 
 
-def hash_key(row_id, seed: int) -> Column:
-    """Reproducible random order: md5 of '<row_id>-<seed>' (DuckDB has md5 too)."""
-    return F.md5(F.concat(col(row_id).cast("string"), F.lit(f"-{seed}")))
-
-
-def r6(c) -> Column:
-    return F.round(col(c).cast("double"), 6)
-
-
 def safe_div(a, b) -> Column:
     """a / b, 0 on zero division (sklearn ``zero_division=0``)."""
     return F.coalesce(F.try_divide(col(a).cast("double"), col(b).cast("double")), F.lit(0.0))

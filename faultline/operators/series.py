@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import US_PER_S, day_key, epoch_us, month_key, to_ntz, week_key
+from ..functions import US_PER_S, day_key, epoch_us, month_key, to_ntz, us_to_ts, week_key
 from ..plans.order import (RN, SEG, attach, carry_prev, choose_strategy, fill_forward_backward,
                            local_window, pin, prepare, running_sums, seg_window)
 
@@ -27,51 +27,71 @@ def first_difference(df: DataFrame, col: str, out: str = "acceleration", ts: str
 
 def rolling_time_mean(df: DataFrame, cols, window_s: float = 300.0, ts: str = "ts", row_id: str = "row_id",
                       keys=(), fill: bool = True, strategy: str = "auto") -> DataFrame:
-    """Trailing mean over the time window (t - window, t], at least one
-    row, then forward/backward fill.
-
-    Without a hot key this is a per-key range window (left-open like pandas:
-    the frame starts one microsecond after t - window; rows sharing a time
-    stamp are peers).  With a hot key -- or no key at all -- it becomes a
-    prefix-sum difference on the segmented scan: exact DECIMAL running sums
-    over the rows and one *probe* row per row at t - window (ordered after
-    data rows of the same instant) give sum and count of the window as
-    S(t) - S(t - window), joined back by row id.  That form counts only
-    earlier rows among equal time stamps, as pandas does."""
+    """Trailing mean over the time window (t - window, t], then
+    forward/backward fill.
+
+    One meaning in both plans: of the rows that share a time only the row
+    itself and those before it in (time, row id) order count; a row without
+    a time has a window of its own; NULL keys are one group; no row is lost
+    or repeated, whatever its id.  Sums are exact decimals.
+
+    Without a hot key the window is a per-key range frame, less the later
+    rows of the same time.  With a hot key -- or no key at all -- it is a
+    difference of running sums on the segmented scan: each row is split into
+    itself and a *probe* at t - window (after the data rows of that time),
+    and the two meet again in one aggregation by a row number."""
     keys, cols = list(keys), list(cols)
     strategy = choose_strategy(df, keys, strategy)      # resolved once, reused by the fill
-    if strategy == "window":
-        us = epoch_us(ts)
-        w = (Window.partitionBy(*keys).orderBy(us)
-             .rangeBetween(-int(window_s * US_PER_S) + 1, 0))
-        out = df.withColumns({c: F.avg(c).over(w) for c in cols})
-    else:
-        out = _rolling_time_mean_prefix(df, cols, window_s, ts, row_id, keys)
+    means = _range_means if strategy == "window" else _prefix_means
+    out = means(df, cols, int(window_s * US_PER_S), ts, row_id, keys)
     if fill:
         out = fill_forward_backward(out, keys, [ts, row_id], cols, strategy).drop(SEG, RN)
     return out
 
 
-def _rolling_time_mean_prefix(df, cols, window_s, ts, row_id, keys):
-    dec = "decimal(38,12)"
-    base = df.select(*keys, row_id, epoch_us(ts).alias("_t"), *[F.col(c) for c in cols])
-    data = base.select(*keys, row_id, "_t", F.lit(0).alias("_kind"),
-                       *[F.coalesce(F.col(c).cast(dec), F.lit(0).cast(dec)).alias(f"_s_{c}") for c in cols],
-                       *[F.col(c).isNotNull().cast("long").alias(f"_c_{c}") for c in cols])
-    probe = base.select(*keys, row_id, (F.col("_t") - F.lit(int(window_s * US_PER_S))).alias("_t"),
-                        F.lit(1).alias("_kind"), *[F.lit(0).cast(dec).alias(f"_s_{c}") for c in cols],
-                        *[F.lit(0).cast("long").alias(f"_c_{c}") for c in cols])
-    sums = [f"_s_{c}" for c in cols] + [f"_c_{c}" for c in cols]
-    r = running_sums(data.unionByName(probe), keys, ["_t", "_kind", row_id], sums, strategy="ranged")
-    r = r.select(*keys, row_id, "_kind", *[F.col(f"cum_{x}").alias(x) for x in sums])
-    at = r.where(F.col("_kind") == 0).drop("_kind")
-    before = r.where(F.col("_kind") == 1).select(*keys, row_id, *[F.col(x).alias(f"b{x}") for x in sums])
-    j = at.join(before, [*keys, row_id])
-    means = {c: (F.col(f"_s_{c}") - F.col(f"b_s_{c}")).cast("double")
-             / F.nullif((F.col(f"_c_{c}") - F.col(f"b_c_{c}")).cast("double"), F.lit(0.0)) for c in cols}
-    m = j.select(*keys, row_id, *[v.alias(f"__m_{c}") for c, v in means.items()])
-    out = df.join(m, [*keys, row_id])
-    return out.withColumns({c: F.col(f"__m_{c}") for c in cols}).drop(*[f"__m_{c}" for c in cols])
+_DEC = "decimal(38,12)"
+
+
+def _mean(total, count):
+    return total.cast("double") / F.nullif(count.cast("double"), F.lit(0.0))
+
+
+def _range_means(df, cols, width_us, ts, row_id, keys):
+    us = epoch_us(ts)
+    part = keys or [F.lit(0)]
+    upto = Window.partitionBy(*part).orderBy(us).rangeBetween(-width_us + 1, 0)
+    later = Window.partitionBy(*part, us).orderBy(F.col(row_id).asc_nulls_last()).rowsBetween(
+        1, Window.unboundedFollowing)
+    out = {}
+    for c in cols:
+        dec, n = F.coalesce(F.col(c).cast(_DEC), F.lit(0).cast(_DEC)), F.col(c).isNotNull().cast("long")
+        total = F.sum(dec).over(upto) - F.coalesce(F.sum(dec).over(later), F.lit(0).cast(_DEC))
+        count = F.sum(n).over(upto) - F.coalesce(F.sum(n).over(later), F.lit(0))
+        out[c] = F.when(F.col(ts).isNull(), F.col(c).cast("double")).otherwise(_mean(total, count))
+    return df.withColumns(out)
+
+
+def _prefix_means(df, cols, width_us, ts, row_id, keys):
+    zero, none = F.lit(0).cast(_DEC), F.lit(0).cast("long")
+    d = df.select(*[F.col(k) for k in keys], F.monotonically_increasing_id().alias("_u"),
+                  F.col(row_id).alias("_rid"), epoch_us(ts).alias("_t"), F.struct("*").alias("_row"))
+    val = lambda c: F.col("_row")[c]
+    point = F.struct(F.lit(0).alias("_kind"), F.col("_t"), F.col("_row"),
+                     *[F.coalesce(val(c).cast(_DEC), zero).alias(f"_s_{i}") for i, c in enumerate(cols)],
+                     *[val(c).isNotNull().cast("long").alias(f"_c_{i}") for i, c in enumerate(cols)])
+    probe = F.struct(F.lit(1).alias("_kind"), (F.col("_t") - F.lit(width_us)).alias("_t"),
+                     F.when(F.lit(False), F.col("_row")).alias("_row"),
+                     *[zero.alias(f"_s_{i}") for i in range(len(cols))],
+                     *[none.alias(f"_c_{i}") for i in range(len(cols))])
+    d = d.select(*keys, "_u", "_rid", F.inline(F.array(point, probe)))
+    sums = [f"_{k}_{i}" for k in "sc" for i in range(len(cols))]
+    r = running_sums(d, keys, ["_t", "_kind", "_rid"], sums, strategy="ranged")
+    at = F.col("_kind") == 0
+    diff = [(F.max(F.when(at, F.col(f"cum_{x}"))) - F.max(F.when(~at, F.col(f"cum_{x}")))).alias(x) for x in sums]
+    g = r.groupBy("_u").agg(F.any_value("_row", F.lit(True)).alias("_row"), *diff)
+    out = {c: F.when(F.col(ts).isNull(), F.col(c).cast("double")).otherwise(
+        _mean(F.col(f"_s_{i}"), F.col(f"_c_{i}"))) for i, c in enumerate(cols)}
+    return g.select("_row.*", *sums).withColumns(out).drop(*sums)
 
 
 def rolling_row_mean(df: DataFrame, cols, n: int = 5, ts: str = "ts", row_id: str = "row_id", keys=(),
@@ -129,12 +149,15 @@ def faults_by_hour(df: DataFrame, y: str, ts: str = "ts") -> DataFrame:
 
 def _filled_grid(df: DataFrame, y: str, ts: str, unit: str) -> DataFrame:
     """Sums per ``unit`` bucket over the whole span, empty buckets 0.  The
-    grid is generated from the data's min/max (size = span / unit)."""
+    grid runs from the data's least to its greatest bucket as a distributed
+    range, so a stray time makes many rows but no large array."""
     key = day_key(ts) if unit == "day" else F.date_trunc("hour", to_ntz(ts)).cast("timestamp_ntz")
+    step = (24 if unit == "day" else 1) * 3600 * US_PER_S
     sums = df.groupBy(key.alias("bucket")).agg(F.sum(F.col(y).cast("long")).alias("faults"))
-    step = F.expr("INTERVAL 1 DAY") if unit == "day" else F.expr("INTERVAL 1 HOUR")
-    grid = (sums.agg(F.min("bucket").alias("a"), F.max("bucket").alias("b"))
-                .select(F.explode(F.sequence("a", "b", step)).alias("bucket")))
+    ends = sums.agg(F.min(epoch_us("bucket")).alias("a"), F.max(epoch_us("bucket")).alias("b")).first()
+    if ends["a"] is None:
+        return sums.where(F.col("bucket").isNotNull())
+    grid = df.sparkSession.range(ends["a"], ends["b"] + 1, step).select(us_to_ts("id").alias("bucket"))
     return grid.join(sums, "bucket", "left").select(
         "bucket", F.coalesce("faults", F.lit(0)).cast("long").alias("faults"))
 
