@@ -15,6 +15,7 @@ way to run a stream, restartable from its checkpoint after a failure.
 """
 from __future__ import annotations
 
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,27 +24,37 @@ from pyspark.sql import functions as F
 from ..functions import cmp, flag
 from ..session import scratch_path
 
+_starting = threading.Lock()
+
 
 def write_stream_source(df: DataFrame, path: str, ts: str = "ts", chunks: int = 4) -> None:
     """Write ``df`` as ``chunks`` time-ordered batches of files, one write
-    after the other, so a file stream sees them in time order."""
+    after the other, so a file stream sees them in time order.  Rows without
+    a time go with the first batch."""
     edges = df.select(F.percentile_approx(F.col(ts).cast("timestamp"),
                                           [i / chunks for i in range(1, chunks)], 10000).alias("e")).first()["e"]
+    if edges is None:           # no row has a time
+        chunks = 1
     lo = None
     for i in range(chunks):
         hi = edges[i] if i < chunks - 1 else None
-        part = df
-        if lo is not None:
-            part = part.where(F.col(ts).cast("timestamp") > F.lit(lo))
+        t = F.col(ts).cast("timestamp")
+        part = df if lo is None else df.where(t > F.lit(lo))
         if hi is not None:
-            part = part.where(F.col(ts).cast("timestamp") <= F.lit(hi))
+            part = part.where((t <= F.lit(hi)) | t.isNull()) if lo is None else part.where(t <= F.lit(hi))
         part.write.mode("append").parquet(path)
         lo = hi
 
 
-def read_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-                 .parquet(path))
+def read_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+    """File stream.  Without ``max_files_per_trigger`` a trigger takes all
+    files that are there, so files that cover the same time never end up on
+    two sides of a watermark; with it, the tickets' ``watermark`` must be at
+    least the time that files of different triggers overlap."""
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(path)
 
 
 def label_stream(stream: DataFrame, cols, thresholds: dict, k: int = 1, op: str = ">",
@@ -55,11 +66,13 @@ def label_stream(stream: DataFrame, cols, thresholds: dict, k: int = 1, op: str
 
 def ticket_stream(labelled: DataFrame, gap_sec: float, ts: str = "ts", key: str = "asset",
                   label: str = "label_fault", watermark: str = "0 seconds") -> DataFrame:
-    """K2: streaming gap-merge tickets per key (append mode)."""
+    """K2: streaming gap-merge tickets per key (append mode).  ``watermark``
+    is the lateness allowed between triggers: rows older than the latest
+    time of earlier triggers less this are dropped by the stream."""
     t = F.col(ts).cast("timestamp")
     s = (labelled.withColumn("_t", t).withWatermark("_t", watermark)
                  .where(F.col(label) == 1)
-                 .groupBy(key, F.session_window("_t", f"{int(gap_sec)} seconds").alias("sw"))
+                 .groupBy(key, F.session_window("_t", f"{round(gap_sec * 1_000_000)} microseconds").alias("sw"))
                  .agg(F.min("_t").alias("start"), F.max("_t").alias("end"), F.count(F.lit(1)).alias("n_rows")))
     return s.select(key, F.col("start").cast("timestamp_ntz").alias("start"),
                     F.col("end").cast("timestamp_ntz").alias("end"), "n_rows")
@@ -77,13 +90,14 @@ def run_available_now(stream: DataFrame, spark: SparkSession, name: str, mode: s
     run = uuid.uuid4().hex[:12]
     out = scratch_path(spark, f"faultline-stream-{name}-{run}")
     key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
-    try:
-        q = (stream.writeStream.format("parquet").outputMode(mode)
-                   .option("checkpointLocation", out + "-ckpt").option("path", out)
-                   .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, old)
+    with _starting:             # the setting belongs to one start at a time
+        old = spark.conf.get(key)
+        spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+        try:
+            q = (stream.writeStream.format("parquet").outputMode(mode)
+                       .option("checkpointLocation", out + "-ckpt").option("path", out)
+                       .trigger(availableNow=True).start())
+        finally:
+            spark.conf.set(key, old)
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
