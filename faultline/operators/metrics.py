@@ -122,7 +122,9 @@ def auc_ap(df: DataFrame, y: str = "y", score: str = "score", keys=()) -> DataFr
     keys = list(keys)
     p = score_points(df, y, score, keys)
     one_class = (F.max("tot_pos") == 0) | (F.max("tot_neg") == 0)
-    auc = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)) / (F.max("tot_pos") * F.max("tot_neg"))
+    # doubles before multiplying: the product of two counts can pass a bigint
+    pairs = F.max("tot_pos").cast("double") * F.max("tot_neg").cast("double")
+    auc = F.sum(F.col("neg").cast("double") * (F.col("cum_pos") - F.col("pos") / 2.0)) / pairs
     ap = F.sum(F.col("pos") * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))) / F.max("tot_pos")
     return p.groupBy(*keys).agg(F.when(one_class, F.lit(None)).otherwise(auc).cast("double").alias("auc_roc"),
                                 F.when(one_class, F.lit(None)).otherwise(ap).cast("double").alias("avg_precision"))
