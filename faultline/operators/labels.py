@@ -34,14 +34,10 @@ def quantile_thresholds(df: DataFrame, cols, q=0.95, scale: float = 1.0, abs_col
     cols = list(cols)
     qd = q if isinstance(q, dict) else {c: q for c in cols}
     src = df.select(*[_src(c, abs_cols).alias(f"_q{i}") for i, c in enumerate(cols)])
-    out = {}
-    for qq in sorted(set(qd.values())):
-        these = [i for i, c in enumerate(cols) if qd[c] == qq]
-        res = quantiles(src, [f"_q{i}" for i in these], [qq], method=method)
-        for i in these:
-            v = res[(f"_q{i}", float(qq))]
-            out[cols[i]] = None if v is None else v * scale
-    return out
+    # one set of jobs for all columns and quantiles
+    res = quantiles(src, src.columns, sorted(set(qd.values())), method=method)
+    got = {c: res[(f"_q{i}", float(qd[c]))] for i, c in enumerate(cols)}
+    return {c: None if v is None else v * scale for c, v in got.items()}
 
 
 def thresholds_frame(spark, thr: dict, q=None) -> DataFrame:
@@ -90,38 +86,33 @@ def autotune(df: DataFrame, vib="vibration", rev="revolutions", spd="speed",
              method: str = "refine") -> DataFrame:
     """The percentile triple whose 2-of-3 fault rate is closest to ``target``.
 
-    Single pass over the rows: every row gets three *grades* (how many grid
-    thresholds of each column it meets; thresholds grow with the percentile,
-    so ``x >= thr_i`` iff ``grade > i``), the rows collapse to a histogram of
-    at most 6^3 grade cells, and the 125 combinations are rated from that
-    histogram (bounded by the grid, collected).  Ties keep the first
-    combination in grid order (vibration, revolutions, speed), like a
-    strict ``<`` search."""
-    grids = {vib: list(vib_grid), rev: list(rev_grid), spd: list(spd_grid)}
-    cols = [vib, rev, spd]
+    Every row gets three *grades* (how many grid thresholds of a column it
+    meets; thresholds grow with the percentile, so it meets the i-th iff its
+    grade is at least i), and the rows collapse to a histogram of at most
+    6^3 grade cells in one aggregation.  Each cell is then credited to the
+    grid points whose rule it passes, and the grid point with the least
+    (distance from ``target``, place in the grid) is chosen, all in Spark.
+    A table without rows has rate 0 everywhere."""
+    spark, cols = df.sparkSession, [vib, rev, spd]
+    grids = [list(vib_grid), list(rev_grid), list(spd_grid)]
     src = df.select(*[_src(c, abs_cols).alias(c) for c in cols])
-    thr = {}
-    allq = sorted({q for g in grids.values() for q in g})
-    res = quantiles(src, cols, allq, method=method)
-    for c in cols:
-        thr[c] = [res[(c, float(q))] for q in grids[c]]
-    grades = [sum([flag(cmp(c, op, F.lit(t))) for t in thr[c]][1:],
-                  flag(cmp(c, op, F.lit(thr[c][0])))).alias(f"g_{i}") for i, c in enumerate(cols)]
-    hist = src.select(*grades).groupBy("g_0", "g_1", "g_2").agg(F.count(F.lit(1)).alias("n"))
-    cells = [(r["g_0"], r["g_1"], r["g_2"], r["n"]) for r in hist.collect()]   # at most (grid + 1)^3 cells
-    total = sum(c[3] for c in cells)
-    best = None
-    for i, pv in enumerate(grids[vib]):
-        for j, pr in enumerate(grids[rev]):
-            for m, ps in enumerate(grids[spd]):
-                hit = sum(n for a, b, c, n in cells if (a > i) + (b > j) + (c > m) >= k)
-                rate = hit / total if total else 0.0
-                cand = (abs(rate - target), pv, pr, ps, rate, thr[vib][i], thr[rev][j], thr[spd][m])
-                if best is None or cand[0] < best[0]:            # strict: first best wins
-                    best = cand
-    return df.sparkSession.createDataFrame(
-        [best[1:]], "vib_p double, rev_p double, spd_p double, rate double, thr_vibration double, "
-                    "thr_revolutions double, thr_speed_abs double")
+    res = quantiles(src, cols, sorted({q for g in grids for q in g}), method=method)
+    thr = [[res[(c, float(q))] for q in g] for c, g in zip(cols, grids)]
+    grade = [sum((flag(cmp(c, op, F.lit(t))) for t in ts[1:]), flag(cmp(c, op, F.lit(ts[0])))).alias(f"g{i}")
+             for i, (c, ts) in enumerate(zip(cols, thr))]
+    cells = src.select(*grade).groupBy("g0", "g1", "g2").agg(F.count(F.lit(1)).alias("n"))
+    points = [F.explode(F.sequence(F.lit(1), F.lit(len(g)))) for g in grids]
+    met = cells
+    for i, p in enumerate(points):          # bounded by the grid, not by the rows
+        met = met.select("*", p.alias(f"p{i}"))
+    hits = sum((F.when(F.col(f"g{i}") >= F.col(f"p{i}"), 1).otherwise(0) for i in range(3)), F.lit(0))
+    rated = met.groupBy("p0", "p1", "p2").agg((F.sum(F.when(hits >= k, F.col("n")).otherwise(0)) / F.sum("n")).alias("rate"))
+    place = F.struct(F.abs(F.col("rate") - F.lit(target)).alias("off"), "p0", "p1", "p2")
+    best = rated.agg(F.min_by(F.struct("p0", "p1", "p2", "rate"), place).alias("b")).select("b.*").first()
+    at = [0, 0, 0] if best["p0"] is None else [best[f"p{i}"] - 1 for i in range(3)]
+    row = [g[j] for g, j in zip(grids, at)] + [best["rate"] or 0.0] + [t[j] for t, j in zip(thr, at)]
+    return spark.createDataFrame([tuple(row)], "vib_p double, rev_p double, spd_p double, rate double, "
+                                 "thr_vibration double, thr_revolutions double, thr_speed_abs double")
 
 
 def apply_autotune(df: DataFrame, best_row, vib="vibration", rev="revolutions", spd="speed",
@@ -138,7 +129,7 @@ def threshold_stress(df: DataFrame, cols, q: float = 0.95, factors=STRESS_FACTOR
     base = thresholds or quantile_thresholds(df, cols, q, method=method)
     aggs = []
     for i, f in enumerate(factors):
-        thr = {c: base[c] * f for c in cols}
+        thr = {c: None if base[c] is None else base[c] * f for c in cols}
         aggs.append(F.avg((rule_count(cols, thr, op) >= k).cast("double")).alias(f"r{i}"))
     one = df.agg(*aggs)
     return one.select(F.inline(F.array(*[F.struct(F.lit(float(f)).alias("factor"),

@@ -30,7 +30,7 @@ def test_pick_label_and_features(spark):
     df = spark.createDataFrame([(1, 0.5, 1, 1, "x")], "asset long, vibration double, label_fault int, FAULT_900 int, s string")
     assert S.numeric_features(df) == ["asset", "vibration"]
     assert S.leakage_guard(["asset", "vibration"], ["vibration"]) == ["asset"]
-    with pytest.raises(ValueError, match="No expected fault label"):
+    with pytest.raises(ValueError, match="none of the label columns"):
         S.pick_label(df)
     shape = C.shape_profile(df, "label_fault").first()
     assert (shape["n_rows"], shape["n_cols"], shape["n_positive"]) == (1, 5, 1)
