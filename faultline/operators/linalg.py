@@ -9,9 +9,7 @@ with literal loadings.
 
 Silhouette: the squared-Euclidean form decomposes into per-class sums, so
 it is exact over all rows in O(n) (``silhouette_sq``).  The Euclidean form
-needs every pairwise distance; ``silhouette_exact`` computes it only for a
-bounded point set (checked), each task comparing its block of points
-against the broadcast set with numpy -- no pair is ever a row.
+needs every pairwise distance and is not built.
 """
 from __future__ import annotations
 
@@ -150,38 +148,3 @@ def silhouette_sq(df: DataFrame, cols, label: str, min_count: int = 10):
             F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
         s_expr = F.when(F.col(label) == F.lit(c), s) if s_expr is None else s_expr.when(F.col(label) == F.lit(c), s)
     return d.select(s_expr.alias("s")).agg(F.avg("s")).first()[0]
-
-
-def silhouette_exact(df: DataFrame, cols, label: str, min_count: int = 10, max_points: int = 20000):
-    """H7 (exact, Euclidean) for a bounded point set: each task compares its
-    rows against the broadcast points with numpy and emits one (a, b) per
-    row; the mean is a Spark aggregate."""
-    cols = list(cols)
-    d = df.dropna(subset=cols + [label]).select(*cols, F.col(label).cast("int").alias("_y"))
-    pts = d.collect() if d.count() <= max_points else None      # size proven before collecting
-    if pts is None:
-        raise ValueError(f"silhouette_exact needs at most {max_points} points; sample first")
-    X = np.array([[r[c] for c in cols] for r in pts], dtype=float)
-    Y = np.array([r["_y"] for r in pts])
-    classes, counts = np.unique(Y, return_counts=True)
-    if len(classes) < 2 or counts.min() < min_count:
-        return None
-    bx = df.sparkSession.sparkContext.broadcast((X, Y))
-
-    def block(it):
-        import pandas as pd
-        Xa, Ya = bx.value
-        for pdf in it:
-            P = pdf[cols].to_numpy(dtype=float)
-            lab = pdf["_y"].to_numpy()
-            D = np.sqrt(((P[:, None, :] - Xa[None, :, :]) ** 2).sum(-1))
-            out = np.zeros(len(P))
-            for i in range(len(P)):
-                same = Ya == lab[i]
-                n_same = same.sum()
-                a = D[i, same].sum() / (n_same - 1) if n_same > 1 else 0.0
-                b = min(D[i, Ya == c].mean() for c in np.unique(Ya) if c != lab[i])
-                out[i] = 0.0 if n_same <= 1 else (b - a) / max(a, b) if max(a, b) > 0 else 0.0
-            yield pd.DataFrame({"s": out})
-
-    return d.mapInPandas(block, "s double").agg(F.avg("s")).first()[0]

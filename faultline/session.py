@@ -49,12 +49,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised intermediates.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system
-    every executor can reach).  Only when it is unset -- as in local tests
-    -- a scratch folder is created and registered.
+    every executor can reach); without it a cluster is refused, since each
+    executor would write to its own disk.  Only in local mode -- as in tests
+    -- a scratch folder is created and registered when it is unset.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="faultline-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

@@ -15,33 +15,12 @@ from ..functions import nan_to_null, to_ntz
 from ..session import pin_utc
 
 TELE_FEATURES = ["vibration", "revolutions", "speed", "energy", "humidity"]
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of a path from file-system metadata (no data read)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = False) -> DataFrame:
-    """Parquet scan of a driver table.
-
-    A Parquet split cannot be smaller than a row group, so a small table
-    written as one row group is read by a single task however many cores
-    there are.  With ``spread_small`` such inputs (under
-    ``SMALL_INPUT_BYTES``) are spread round-robin over the default
-    parallelism right after the scan; large inputs -- many files and row
-    groups -- never are.  Off by default: measured locally, the extra
-    shuffle costs more than the single-task scan of a small table saves."""
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of a driver table."""
     pin_utc(spark)
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if spread_small and input_bytes(spark, path) < SMALL_INPUT_BYTES:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _maybe_null(c, row_key, null_every):
