@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -95,13 +96,26 @@ def _estimator(kind: str, params: dict, n_features: int, label: str, weight: str
     raise ValueError(kind)
 
 
+def fit_sample(train: DataFrame, label: str, rows: int | None, key: str = "row_id", seed: int = 42) -> DataFrame:
+    """At most ``rows`` training rows, drawn by hash within each class; all without a bound."""
+    from .splits import sample_stratified
+    if rows is None:
+        return train
+    # a bounded sample in few partitions: iterations cost per-task overhead, not data
+    return sample_stratified(train, label, rows, key, seed).coalesce(max(1, rows // 10_000))
+
+
 def fit(train: DataFrame, features, label: str = "label_fault", kind: str = "rf", params: dict | None = None,
-        weight: str | None = "weight", seed: int = 42, num_trees: int = 20, max_iter: int = 100,
+        weighted: bool = True, seed: int = 42, num_trees: int = 20, max_iter: int = 100,
         rff_components: int = 100) -> PipelineModel:
-    """Scale -> (RFF) -> assemble -> classifier, as one PipelineModel."""
+    """Scale -> (RFF) -> assemble -> classifier, as one PipelineModel.
+    The class weights are those of the rows it is fitted on."""
     params = dict(params or {})
     features = list(features)
+    weight = "_weight" if weighted else None
     n = train.count()
+    if weighted:
+        train = class_weights(train, label, weight)
     if kind == "tree":          # scale-invariant: keep raw units so rules read as the data
         stages, cols = [], list(features)
     else:
@@ -116,6 +130,7 @@ def fit(train: DataFrame, features, label: str = "label_fault", kind: str = "rf"
     if kind == "svm":
         svc = LinearSVC(featuresCol="features", labelCol=label, weightCol=weight or "",
                         regParam=1.0 / (params.get("C", 1.0) * max(n, 1)), maxIter=max_iter,
+                        standardization=False,      # else C would not be the kernel machine's C
                         rawPredictionCol="svm_raw", predictionCol="svm_pred")
         margin = VectorSlicer(inputCol="svm_raw", outputCol="platt_features", indices=[1])
         platt = LogisticRegression(featuresCol="platt_features", labelCol=label, maxIter=max_iter,
@@ -135,24 +150,33 @@ def score_rows(model: PipelineModel, df: DataFrame, keep=()) -> DataFrame:
                       vector_to_array("probability")[1].alias("p_fault"))
 
 
+def rate_settings(models, val: DataFrame, label: str = "label_fault", scorer: str = "f1_macro") -> list:
+    """Validation score of each model: all predictions in one frame, one grouped metric."""
+    parts = [score_rows(m, val, keep=[label]).withColumn("_setting", F.lit(i)) for i, m in enumerate(models)]
+    scored = reduce(DataFrame.unionByName, parts)
+    if scorer == "f1_macro":
+        table = J.binary_metrics(scored, label, "yhat", keys=["_setting"]).select("_setting", F.col("f1_macro").alias("v"))
+    else:
+        table = J.auc_ap(scored, label, "p_fault", keys=["_setting"]).select("_setting", F.col("avg_precision").alias("v"))
+    got = {r["_setting"]: r["v"] for r in table.collect()}         # one row per setting
+    return [got.get(i) or 0.0 for i in range(len(models))]
+
+
 def grid_search(train: DataFrame, val: DataFrame, features, kind: str, grid=None, label: str = "label_fault",
-                scorer: str = "f1_macro", **kw):
-    """Fit every parameter map on the fixed training fold, score the
-    validation fold (macro-F1 or AP), keep the first strictly best, refit
-    on train + validation.  Returns (model, best params, best score)."""
-    grid = grid if grid is not None else GRIDS[kind]
-    best, best_p = -1.0, None
-    for p in grid:
-        m = fit(train, features, label, kind, p, **kw)
-        s = score_rows(m, val, keep=[label])
-        if scorer == "f1_macro":
-            v = J.binary_metrics(s, label, "yhat").first()["f1_macro"]
-        else:
-            v = J.auc_ap(s, label, "p_fault").first()["avg_precision"] or 0.0
-        if v > best:
-            best, best_p = v, p
-    final = fit(train.unionByName(val), features, label, kind, best_p, **kw)
-    return final, best_p, best
+                scorer: str = "f1_macro", fit_rows: int | None = None, **kw):
+    """Every setting is fitted on the training fold and rated on the
+    whole validation fold (macro-F1 or AP); the best one -- of equals the
+    first in the grid -- is fitted again on both folds.  ``fit_rows`` bounds
+    the rows of each fit.  Returns (model, setting, score)."""
+    grid = list(GRIDS[kind] if grid is None else grid)
+    sample = fit_sample(train, label, fit_rows).cache()
+    ratings = rate_settings([fit(sample, features, label, kind, g, **kw) for g in grid], val, label, scorer)
+    sample.unpersist()
+    chosen = max(range(len(grid)), key=lambda i: (ratings[i], -i))
+    both = fit_sample(train.unionByName(val), label, fit_rows).cache()
+    final = fit(both, features, label, kind, grid[chosen], **kw)
+    both.unpersist()
+    return final, grid[chosen], ratings[chosen]
 
 
 def impurity_importance(model: PipelineModel, features) -> list:
@@ -180,22 +204,30 @@ def tree_rules(model: PipelineModel, features) -> list:
     return rules
 
 
-def _permuted_copies(df: DataFrame, features, repeats: int, seed: int, row_id: str) -> DataFrame:
+def _permuted_copies(df: DataFrame, features, repeats: int, seed: int, row_id: str, label: str) -> DataFrame:
     """Stack one copy of ``df`` per (feature, repeat) in which that feature
     is permuted: rows are put in a random order (hash of id and copy) and
-    each row takes the feature value of its predecessor in that order (a
-    random cyclic permutation; computed by one segmented scan keyed by
-    copy, no join)."""
+    each row takes the feature value of its predecessor in that order, the
+    first row that of the last -- a random cyclic permutation, by one
+    segmented scan keyed by copy.  Only id, features and label are copied."""
     copies = [(j, r) for j in range(len(features)) for r in range(repeats)]
     arr = F.array(*[F.struct(F.lit(i).alias("copy"), F.lit(j).alias("fj")) for i, (j, r) in enumerate(copies)])
-    st = df.select("*", F.inline(arr))
-    st = st.withColumn("_ph", F.xxhash64(F.col(row_id), F.col("copy"), F.lit(seed)))
-    st = st.withColumn("_vals", F.array(*[F.col(c).cast("double") for c in features]))
-    st = carry_prev(st, ["copy"], ["_ph", row_id], ["_vals"], prefix="_p")
+    st = df.select(row_id, label, *features, F.inline(arr))
+    own = F.lit(None).cast("double")
+    for j, c in enumerate(features):
+        own = F.when(F.col("fj") == j, F.col(c).cast("double")).otherwise(own)
+    st = st.withColumn("_ph", F.xxhash64(F.col(row_id), F.col("copy"), F.lit(seed))) \
+           .withColumn("_own", F.struct(own.alias("v")))        # a struct: a NULL value is not a missing row
+    last = {r["copy"]: r["v"] for r in st.groupBy("copy").agg(
+        F.max_by("_own.v", F.struct("_ph", row_id)).alias("v")).collect()}     # one row per copy
+    st = carry_prev(st, ["copy"], ["_ph", row_id], ["_own"], prefix="_p")
+    wrap = F.lit(None).cast("double")
+    for k, v in last.items():
+        wrap = F.when(F.col("copy") == k, F.lit(v).cast("double")).otherwise(wrap)
+    new = F.when(F.col("_p_own").isNull(), wrap).otherwise(F.col("_p_own")["v"])
     for j, c in enumerate(features):
-        st = st.withColumn(c, F.when((F.col("fj") == j) & F.col("_p_vals").isNotNull(),
-                                     F.col("_p_vals")[j]).otherwise(F.col(c)))
-    return st.drop("_ph", "_vals", "_p_vals", "_seg", "_rn")
+        st = st.withColumn(c, F.when(F.col("fj") == j, new).otherwise(F.col(c)))
+    return st.drop("_ph", "_own", "_p_own", "_seg", "_rn")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features, label: str = "label_fault",
@@ -205,7 +237,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features, label:
     repeats; all copies are scored by one ``transform`` and one grouped
     metric."""
     base = score_rows(model, df, keep=[label])
-    copies = _permuted_copies(df, features, repeats, seed, row_id)
+    copies = _permuted_copies(df, features, repeats, seed, row_id, label)
     sc = score_rows(model, copies, keep=[label, "copy", "fj"])
     if scoring == "accuracy":
         b = base.agg(F.avg((F.col("yhat") == F.col(label)).cast("double"))).first()[0]
@@ -221,13 +253,17 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features, label:
 
 
 def select_topk(df: DataFrame, features, label: str = "label_fault", k: int = 4, cap: int = 6000,
-                seed: int = 42, repeats: int = 8, num_trees: int = 20) -> list:
-    """Balanced sample -> forest -> permutation importance -> first k."""
+                seed: int = 42, repeats: int = 8, num_trees: int = 20, row_id: str = "row_id") -> list:
+    """A forest on a balanced sample (at most ``cap`` rows, a bound on
+    the fit), permutation importance on all rows outside it, first k."""
     from .splits import balanced_subsample
-    small = class_weights(balanced_subsample(df, label, cap, seed=seed), label)
+    small = balanced_subsample(df, label, cap, key=row_id, seed=seed).cache()
     m = fit(small, features, label, "rf", {"maxDepth": None}, num_trees=num_trees, seed=seed)
-    pi = permutation_importance(m, small, features, label, repeats=repeats, seed=seed)
-    return [r["feature"] for r in pi.orderBy(F.desc("importance_mean"), "feature").limit(k).collect()]
+    rest = df.join(small.select(row_id), row_id, "left_anti")
+    pi = permutation_importance(m, rest, features, label, repeats=repeats, seed=seed, row_id=row_id)
+    top = [r["feature"] for r in pi.orderBy(F.desc("importance_mean"), "feature").limit(k).collect()]
+    small.unpersist()
+    return top
 
 
 def partial_dependence(model: PipelineModel, background: DataFrame, feature: str, n_grid: int = 20,

@@ -1,6 +1,8 @@
 """Sources, sinks, schema and cleaning queries."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
@@ -15,16 +17,16 @@ RULE4 = ["vibration", "speed", "energy", "revolutions"]
 TELE_COLS = ["row_id", "ts", "asset", "vibration", "revolutions", "speed", "energy", "humidity"]
 
 
-def _scratch(spark, sf_dir, name):
-    tag = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
-    return scratch_path(spark, f"faultline-{name}-{tag}")
+def _scratch(spark, name):
+    """A path of this run alone: the returned frame reads it lazily."""
+    return scratch_path(spark, f"faultline-{name}-{uuid.uuid4().hex[:12]}")
 
 
 @register("scan_telemetry", f"WITH {TELE_SQL} SELECT * FROM tele")
 def q_scan_telemetry(spark, sf_dir):
     """A1: header CSV with an explicit schema (written from tele, read back)."""
     t = tele(spark, sf_dir)
-    path = _scratch(spark, sf_dir, "scan_csv")
+    path = _scratch(spark, "scan_csv")
     IO.write_table(t, path, fmt="csv")
     back = IO.read_telemetry(spark, path, schema=t.schema, fmt="csv")
     return finish(back)
@@ -44,7 +46,7 @@ def q_scan_positional(spark, sf_dir):
                     (F.col("l_quantity") * F.col("l_tax")).alias("c2"), F.col("l_quantity").alias("c3"),
                     (F.col("l_tax") * 100.0).alias("c4"), F.col("l_discount").alias("c5"),
                     F.col("l_partkey").alias("c6"), F.col("l_tax").alias("c7"), F.col("l_suppkey").alias("c8"))
-    path = _scratch(spark, sf_dir, "raw9")
+    path = _scratch(spark, "raw9")
     IO.write_table(raw, path, fmt="csv")
     df = S.semantic_rename(IO.read_raw_positional(spark, path))
     return finish(df)
@@ -54,7 +56,7 @@ def q_scan_positional(spark, sf_dir):
 def q_roundtrip_write(spark, sf_dir):
     """A3: write in a fixed column order, read back."""
     order = ["ts", "asset", "speed", "humidity", "vibration", "revolutions", "energy", "row_id"]
-    path = _scratch(spark, sf_dir, "roundtrip")
+    path = _scratch(spark, "roundtrip")
     IO.write_table(tele(spark, sf_dir), path, cols=order)
     back = spark.read.parquet(path)
     assert back.columns == order
@@ -64,7 +66,7 @@ def q_roundtrip_write(spark, sf_dir):
 @register("shuffle_rows", f"WITH {TELE_EV_SQL} SELECT * FROM tele_ev")
 def q_shuffle_rows(spark, sf_dir):
     """A4: seeded permutation written and read back (same multiset)."""
-    path = _scratch(spark, sf_dir, "shuffled")
+    path = _scratch(spark, "shuffled")
     IO.write_shuffled(tele_ev(spark, sf_dir), path, seed=42)
     return finish(spark.read.parquet(path))
 
@@ -84,7 +86,7 @@ def q_run_metadata(spark, sf_dir):
     thr = L.quantile_thresholds(t, RULE4, 0.95)
     feats = S.leakage_guard(S.numeric_features(t), RULE4)
     meta = IO.metadata_frame(spark, thr, feats, "random", "ts", None, False)
-    path = _scratch(spark, sf_dir, "meta")
+    path = _scratch(spark, "meta")
     IO.write_metadata(meta, path)
     back = spark.read.schema(meta.schema).json(path)
     out = back.select(F.explode("thresholds").alias("feature", "threshold"), "split", "time_col",

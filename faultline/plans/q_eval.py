@@ -8,6 +8,8 @@ the data; the formulas are plain SQL, identical on both sides.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import compare as FC
@@ -253,7 +255,7 @@ SELECT model, tag, {_r(METRIC_COLS)} FROM m_processed
 UNION ALL SELECT model, tag, {_r(METRIC_COLS)} FROM m_original""")
 def q_metrics_optional_read(spark, sf_dir):
     """Write two metric tables, read back the tags that exist of four."""
-    tag = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
+    tag = uuid.uuid4().hex[:12]
     paths = {}
     for t in ["processed", "processed_guard", "original", "processed_event"]:
         paths[t] = scratch_path(spark, f"faultline-metrics-{tag}-{t}")

@@ -2,8 +2,11 @@
 reference is approximate by design; tests check invariants instead."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import compare as FC
 from ..operators import events as E
 from ..operators import labels as L
 from ..operators import linalg as H
@@ -22,9 +25,8 @@ FAST = dict(num_trees=20, max_iter=50, rff_components=50)
 
 
 def prepared(spark, sf_dir):
-    """tele -> 2-of-4 label -> balanced weights -> stratified 70/15/15 folds."""
+    """tele -> 2-of-4 label -> stratified 70/15/15 folds (weights belong to each fit)."""
     t = L.k_of_n(tele(spark, sf_dir), RULE4).select("row_id", "ts", "asset", *FEATS, "label_fault")
-    t = M.class_weights(t, "label_fault")
     return G.split_stratified(t, "label_fault")
 
 
@@ -75,7 +77,7 @@ register("train_mlp")(_train_one("mlp", {"hidden": (64, 32)}))
 @register("tree_rules")
 def q_tree_rules(spark, sf_dir):
     """Depth-3 weighted tree as rules."""
-    tr, _, _ = _folds(prepared(spark, sf_dir))
+    tr, _, _ = _folds(prepared(spark, sf_dir).cache())
     m = M.fit(tr, FEATS, "label_fault", "tree", {"maxDepth": 3})
     rules = M.tree_rules(m, FEATS)
     return spark.createDataFrame([(i, r, p) for i, (r, p) in enumerate(rules)], "rule_id int, rule string, prediction int")
@@ -96,7 +98,7 @@ def q_grid_search(spark, sf_dir):
 @register("score_rows")
 def q_score_rows(spark, sf_dir):
     """I8: class and P(fault) for every test row."""
-    df = prepared(spark, sf_dir)
+    df = prepared(spark, sf_dir).cache()
     tr, _, te = _folds(df)
     m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 12}, **FAST)
     return finish(M.score_rows(m, te, keep=["row_id", "label_fault"]))
@@ -116,7 +118,7 @@ def q_permutation_importance(spark, sf_dir):
 @register("impurity_importance")
 def q_impurity_importance(spark, sf_dir):
     """I10."""
-    tr, _, _ = _folds(prepared(spark, sf_dir))
+    tr, _, _ = _folds(prepared(spark, sf_dir).cache())
     m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 12}, **FAST)
     return finish(spark.createDataFrame(M.impurity_importance(m, FEATS), "feature string, importance double"))
 
@@ -131,82 +133,110 @@ def q_select_topk(spark, sf_dir):
 
 @register("partial_dependence")
 def q_partial_dependence(spark, sf_dir):
-    """20-point PDP of vibration over a 2,500-row background sample."""
+    """20-point PDP of vibration, averaged over the whole test fold."""
     df = prepared(spark, sf_dir).cache()
     tr, _, te = _folds(df)
     m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 12}, **FAST)
-    bg = G.sample_n(te, 2500)
-    out = M.partial_dependence(m, bg, "vibration").toPandas()
+    out = M.partial_dependence(m, te, "vibration").toPandas()
     df.unpersist()
     return finish(spark.createDataFrame(out))
 
 
 @register("stress_diagnostics")
 def q_stress_diagnostics(spark, sf_dir):
-    """Per factor, the fault rate and RF fault recall on a stratified
-    5,000-row sample, and the silhouette of the relabelled rows on the fixed
-    PCA embedding of all rows."""
+    """Per factor, the fault rate of all rows, the silhouette of the
+    relabelled rows on the fixed PCA embedding, and the fault recall on the
+    whole test fold of a forest fitted on at most 5,000 training rows."""
     t = L.k_of_n(tele(spark, sf_dir), RULE4).select("row_id", *FEATS, "label_fault").cache()
     thr = L.quantile_thresholds(t, RULE4, 0.95)
     emb = H.pca_project(t, FEATS, keep=["row_id", *RULE4]).cache()
-    sub = G.sample_stratified(t, "label_fault", 5000).cache()
+    rates = {r["factor"]: r["fault_rate"] for r in L.threshold_stress(t, RULE4, thresholds=thr).collect()}
     rows = []
     for f in L.STRESS_FACTORS:
-        tf = {c: thr[c] * f for c in RULE4}
-        lab = (L.rule_count(RULE4, tf) >= 2).cast("int")
-        s = sub.withColumn("y_f", lab)
-        rate = s.agg(F.avg("y_f")).first()[0]
+        lab = (L.rule_count(RULE4, {c: thr[c] * f for c in RULE4}) >= 2).cast("int")
         sil = H.silhouette_sq(emb.withColumn("y_f", lab), ["PC1", "PC2"], "y_f")
-        sp = M.class_weights(G.split_two_way(s, "y_f", 0.3), "y_f")
+        sp = G.split_two_way(t.withColumn("y_f", lab), "y_f", 0.3)
         tr, te = sp.where(F.col("fold") == "train"), sp.where(F.col("fold") == "test")
+        part = M.fit_sample(tr, "y_f", 5000).cache()
         rec = None
-        if tr.where(F.col("y_f") == 1).count() > 0:
-            mdl = M.fit(tr, FEATS, "y_f", "rf", {"maxDepth": None}, weight="weight", **FAST)
+        if part.where(F.col("y_f") == 1).count() > 0:
+            mdl = M.fit(part, FEATS, "y_f", "rf", {"maxDepth": None}, **FAST)
             rec = J.binary_metrics(M.score_rows(mdl, te, keep=["y_f"]), "y_f", "yhat").first()["recall_fault"]
-        rows.append((float(f), float(rate), sil, rec))
-    for d in (t, emb, sub):
+        part.unpersist()
+        rows.append((float(f), float(rates[float(f)]), sil, rec))
+    for d in (t, emb):
         d.unpersist()
     return finish(spark.createDataFrame(rows, "factor double, fault_rate double, silhouette_sq_pc12 double, "
                                               "rf_fault_recall double"))
 
 
+SUITE = dict(num_trees=10, max_iter=20, rff_components=30)
+SUITE_FIT_ROWS = 4000
+_suites: dict = {}
+
+
+def suite_rows(spark, sf_dir):
+    """Per regime (random, leakage guard, chronological, event-grouped)
+    and model kind, the grid is searched on the validation fold and the
+    choice refitted on train + validation (each fit on at most
+    ``SUITE_FIT_ROWS`` rows), then rated on the whole test fold.  One row per
+    (model, regime), kept for the session since two queries read it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _suites:
+        base = L.k_of_n(tele(spark, sf_dir), RULE4).select("row_id", "ts", *FEATS, "label_fault").cache()
+        guard_feats = S.leakage_guard(FEATS, RULE4)
+        ids = E.event_ids(base, "label_fault", gap_min=5.0)
+        regimes = {
+            "processed": (G.split_stratified(base, "label_fault"), FEATS),
+            "processed_guard": (G.split_stratified(base, "label_fault"), guard_feats),
+            "processed_time": (G.split_chronological(base), FEATS),
+            "processed_event": (G.split_event_group(ids), FEATS),
+        }
+        outs = []
+        for tag, (df, feats) in regimes.items():
+            df = df.select("row_id", *FEATS, "label_fault", "fold").cache()
+            tr, va, te = _folds(df)
+            n, faults = te.agg(F.count("*"), F.sum("label_fault").cast("long")).first()
+            for kind in M.GRIDS:
+                m, best_p, best = M.grid_search(tr, va, feats, kind, fit_rows=SUITE_FIT_ROWS, **SUITE)
+                row = _test_metrics(m, te, kind, tag).first().asDict()
+                outs.append({**row, "best_params": str(best_p), "val_f1_macro": float(best),
+                             "n_test": int(n), "n_test_faults": int(faults or 0)})
+            df.unpersist()
+        base.unpersist()
+        _suites[key] = outs
+    return _suites[key]
+
+
+def suite_frame(spark, sf_dir):
+    cols = ["model", "tag", "accuracy", "precision_macro", "recall_macro", "f1_macro", "recall_fault", "auc_roc",
+            "avg_precision", "val_f1_macro", "best_params", "n_test", "n_test_faults"]
+    kinds = {"model": "string", "tag": "string", "best_params": "string", "n_test": "bigint", "n_test_faults": "bigint"}
+    return spark.createDataFrame([tuple(r[c] for c in cols) for r in suite_rows(spark, sf_dir)],
+                                 ", ".join(f"{c} {kinds.get(c, 'double')}" for c in cols))
+
+
 @register("robustness_suite")
 def q_robustness_suite(spark, sf_dir):
-    """All four model kinds under the random, leakage-guard,
-    chronological and event-grouped regimes; one metrics row per
-    (model, regime)."""
-    base = L.k_of_n(tele(spark, sf_dir), RULE4).select("row_id", "ts", *FEATS, "label_fault")
-    base = M.class_weights(base, "label_fault").cache()
-    guard_feats = S.leakage_guard(FEATS, RULE4)
-    ids = E.event_ids(base, "label_fault", gap_min=5.0)
-    regimes = {
-        "processed": (G.split_stratified(base, "label_fault"), FEATS),
-        "processed_guard": (G.split_stratified(base, "label_fault"), guard_feats),
-        "processed_time": (G.split_chronological(base), FEATS),
-        "processed_event": (G.split_event_group(ids), FEATS),
-    }
-    outs = []
-    for tag, (df, feats) in regimes.items():
-        df = df.cache()
-        tr, _, te = _folds(df)
-        for kind, p in (("lr", {"C": 1.0}), ("svm", {"C": 1.0, "gamma": "scale"}), ("rf", {"maxDepth": 12}),
-                        ("mlp", {"hidden": (64, 32)})):
-            m = M.fit(tr, feats, "label_fault", kind, p, **FAST)
-            outs.append(_test_metrics(m, te, kind, tag).toPandas())
-        df.unpersist()
-    base.unpersist()
-    import pandas as pd
-    return finish(spark.createDataFrame(pd.concat(outs, ignore_index=True)))
+    """The four model kinds under the four regimes."""
+    return finish(suite_frame(spark, sf_dir))
+
+
+@register("robustness_overview_suite")
+def q_robustness_overview_suite(spark, sf_dir):
+    """F3 over the suite's regime tables."""
+    s = suite_frame(spark, sf_dir)
+    tags = [r["tag"] for r in s.select("tag").distinct().collect()]
+    return finish(FC.robustness_overview({t: s.where(F.col("tag") == t) for t in tags}))
 
 
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
     """Save, reload, and score again; scores must be identical."""
-    df = prepared(spark, sf_dir)
+    df = prepared(spark, sf_dir).cache()
     tr, _, te = _folds(df)
     m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 8}, **FAST)
-    tag = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
-    path = scratch_path(spark, f"faultline-model-rf-{tag}")
+    path = scratch_path(spark, f"faultline-model-rf-{uuid.uuid4().hex[:12]}")
     M.save_model(m, path)
     m2 = M.load_model(path)
     a = M.score_rows(m, te, keep=["row_id"])
@@ -244,3 +274,20 @@ def q_grid_search_rf(spark, sf_dir):
                                      .withColumn("val_f1_macro", F.lit(float(best))).toPandas()
     df.unpersist()
     return finish(spark.createDataFrame(out))
+
+
+def _grid_query(kind):
+    def q(spark, sf_dir):
+        df = prepared(spark, sf_dir).cache()
+        tr, va, te = _folds(df)
+        m, best_p, best = M.grid_search(tr, va, FEATS, kind, fit_rows=20_000, **FAST)
+        out = _test_metrics(m, te, kind).withColumn("best_params", F.lit(str(best_p))) \
+                                        .withColumn("val_f1_macro", F.lit(float(best))).toPandas()
+        df.unpersist()
+        return finish(spark.createDataFrame(out))
+    return q
+
+
+# I7 for the kernel machine (9 settings) and the network (3); each fit on at most 20,000 rows
+register("grid_search_svm")(_grid_query("svm"))
+register("grid_search_mlp")(_grid_query("mlp"))
