@@ -64,7 +64,10 @@ def q_label_2of3(spark, sf_dir):
     return t.select("row_id", "label_fault")
 
 
-def _autotune_sql():
+def _autotune_sql(exact: bool = False):
+    """The 125 combinations rated by SQL; ``exact``: over an outer view
+    ``tele`` and unrounded, for use inside another query."""
+    six = (lambda e: e) if exact else (lambda e: f"round({e}, 6)")
     rows, idx = [], 0
     for i, pv in enumerate(L.TUNE_VIB_GRID):
         for j, pr in enumerate(L.TUNE_REV_GRID):
@@ -73,7 +76,7 @@ def _autotune_sql():
                 idx += 1
     lst = lambda g: "[" + ", ".join(str(x) for x in g) + "]"
     return f"""
-WITH {TELE_SQL},
+WITH {"" if exact else TELE_SQL + ","}
 thr AS (SELECT quantile_cont(vibration, {lst(L.TUNE_VIB_GRID)}) AS tv,
                quantile_cont(revolutions, {lst(L.TUNE_REV_GRID)}) AS tr,
                quantile_cont(abs(speed), {lst(L.TUNE_SPD_GRID)}) AS tsp FROM tele),
@@ -85,8 +88,8 @@ rated AS (SELECT c.*, (SELECT CAST(sum(CASE WHEN ({_flag('x.vibration >= c.thr_v
                               + {_flag('x.revolutions >= c.thr_revolutions')}
                               + {_flag('abs(x.speed) >= c.thr_speed_abs')}) >= 2 THEN 1 ELSE 0 END) AS DOUBLE)
                               / count(*) FROM tele x) AS rate FROM cand c)
-SELECT vib_p, rev_p, spd_p, round(rate, 6) AS rate, round(thr_vibration, 6) AS thr_vibration,
-       round(thr_revolutions, 6) AS thr_revolutions, round(thr_speed_abs, 6) AS thr_speed_abs
+SELECT vib_p, rev_p, spd_p, {six("rate")} AS rate, {six("thr_vibration")} AS thr_vibration,
+       {six("thr_revolutions")} AS thr_revolutions, {six("thr_speed_abs")} AS thr_speed_abs
 FROM rated ORDER BY abs(rate - CAST(0.08 AS DOUBLE)), combo LIMIT 1"""
 
 
