@@ -113,6 +113,30 @@ def daily_gap_thresholds(df: DataFrame, y: str = "label_fault", ts: str = "ts",
     return qd.where(F.col("n") >= min_gaps).select("day", "gap_s")
 
 
+MAX_DAYS = 4096
+
+
+def _with_day_gap(d: DataFrame, daily: DataFrame) -> DataFrame:
+    """Add each row's day threshold.  When the days with one span at most
+    ``MAX_DAYS`` (eleven years), they are a literal array indexed by the day,
+    so rows are not moved; beyond that the day table is joined with the rows'
+    days dealt out over a salt, so that no day is one task."""
+    day_us = 86_400 * US_PER_S
+    few = daily.select(epoch_us("day").alias("us"), "gap_s").limit(MAX_DAYS + 1).collect()
+    if not few:
+        return d.withColumn("_day_gap", F.lit(None).cast("double"))
+    first, last = min(r["us"] for r in few), max(r["us"] for r in few)
+    if len(few) <= MAX_DAYS and (last - first) // day_us < MAX_DAYS:
+        gap = {(r["us"] - first) // day_us: float(r["gap_s"]) for r in few}
+        arr = F.array(*[F.lit(gap.get(i)).cast("double") for i in range(max(gap) + 1)])
+        at = ((epoch_us("day") - F.lit(first)) / F.lit(float(day_us))).cast("int")
+        return d.withColumn("_day_gap", F.when(epoch_us("day") >= F.lit(first), F.get(arr, at)))
+    n = 32
+    side = daily.select("day", F.col("gap_s").alias("_day_gap"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt"))
+    return d.withColumn("_salt", F.pmod(F.xxhash64(*d.columns), F.lit(n)).cast("int")) \
+        .join(side, ["day", "_salt"], "left").drop("_salt")
+
+
 def events_gap_per_day(df: DataFrame, y: str = "label_fault", ts: str = "ts", row_id: str = "row_id",
                        q: float = 0.95, min_gaps_daily: int = 6, min_gaps_global: int = 10,
                        fallback_sec: float = 10.0, strategy: str = "auto") -> DataFrame:
@@ -124,7 +148,7 @@ def events_gap_per_day(df: DataFrame, y: str = "label_fault", ts: str = "ts", ro
     glob = gap_quantile_global(d, y, ts, row_id, q=min(0.8, q), min_gaps=min_gaps_global // 2,
                                fallback_sec=fallback_sec, retry=False, strategy=strategy)
     daily = daily_gap_thresholds(d, y, ts, row_id, q, min_gaps_daily)
-    d = d.withColumn("day", day_key(ts)).join(daily.withColumnRenamed("gap_s", "_day_gap"), "day", "left")
+    d = _with_day_gap(d.withColumn("day", day_key(ts)), daily)
     d = d.withColumn("_row_gap", F.coalesce(F.col("_day_gap"), F.lit(glob)))
     ev = fault_events(d, y, ts, row_id, gap_sec=F.col("_row_gap"), strategy=strategy)
     return ev.withColumn("duration_s", F.greatest(F.col("duration_s"), F.lit(0.0)))

@@ -40,6 +40,15 @@ def metrics_table(spark, sf_dir, tag="processed", keys=("asset", "model")):
     return J.model_metrics(scored(spark, sf_dir, tag), keys=list(keys), tag=tag)
 
 
+def tagged_metrics(spark, sf_dir, keys=("asset", "model")):
+    """Metrics of both variants from one scan: every reading is scored by
+    every (tag, model) formula and the metrics are taken per key and tag."""
+    arr = F.array(*[F.struct(F.lit(t).alias("tag"), F.lit(m).alias("model"), F.expr(e).cast("double").alias("score"))
+                    for t, by in SCORERS.items() for m, e in by.items()])
+    s = tele_ev(spark, sf_dir).select("asset", F.col("is_error").alias("y"), F.inline(arr))
+    return J.model_metrics(s.withColumn("yhat", (F.col("score") >= 0.5).cast("int")), keys=[*keys, "tag"])
+
+
 def scored_sql(tag):
     parts = [f"SELECT row_id, asset, '{m}' AS model, is_error AS y, CAST({e} AS DOUBLE) AS score FROM tele_ev"
              for m, e in SCORERS[tag].items()]
@@ -200,8 +209,8 @@ SELECT p.asset, p.model, round(o.f1_macro, 6) AS f1_macro_orig, round(o.auc_roc,
 FROM m_processed p JOIN m_original o USING (asset, model)""")
 def q_metrics_delta(spark, sf_dir):
     """processed vs original per (asset, model)."""
-    return finish(FC.metrics_delta(metrics_table(spark, sf_dir, "processed"),
-                                   metrics_table(spark, sf_dir, "original"), keys=["asset", "model"]))
+    pair = FC.tag_pair(tagged_metrics(spark, sf_dir), "original", "processed", ["asset", "model"])
+    return finish(FC.delta_of(pair, ["asset", "model"]))
 
 
 def _wide_sql():
@@ -218,8 +227,8 @@ FROM m_processed b JOIN m_original c USING (asset, model)"""
 @register("metrics_delta_wide", _wide_sql())
 def q_metrics_delta_wide(spark, sf_dir):
     """base (processed) vs current (original), six metrics."""
-    return finish(FC.metrics_delta_wide(metrics_table(spark, sf_dir, "processed"),
-                                        metrics_table(spark, sf_dir, "original"), keys=["asset", "model"]))
+    pair = FC.tag_pair(tagged_metrics(spark, sf_dir), "processed", "original", ["asset", "model"])
+    return finish(FC.delta_wide_of(pair, ["asset", "model"]))
 
 
 @register("robustness_overview", f"""
@@ -234,9 +243,7 @@ SELECT asset, round(accuracy, 6) AS accuracy, round(f1_macro, 6) AS f1_macro, ro
 FROM u WHERE model IN ('rf', 'mlp')""")
 def q_robustness_overview(spark, sf_dir):
     """tagged union, RF and MLP, display names, tag order."""
-    tagged = {"processed": metrics_table(spark, sf_dir, "processed"),
-              "original": metrics_table(spark, sf_dir, "original")}
-    return finish(FC.robustness_overview(tagged, keys=["asset"]))
+    return finish(FC.robustness_overview(tagged_metrics(spark, sf_dir), keys=["asset"]))
 
 
 @register("interpretable_vs_nn", f"""
