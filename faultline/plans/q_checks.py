@@ -287,3 +287,25 @@ _TIED_SQL = f"""WITH {_TIED}
 SELECT row_id, coalesce(asset, -1) AS asset, round(CAST(s - coalesce(ls, 0) AS DOUBLE) / nullif(n - coalesce(ln, 0), 0), 6) AS mean_v FROM w"""
 register("rolling_time_mean_tied", _TIED_SQL)(_tied("window"))
 register("rolling_time_mean_tied_ranged", _TIED_SQL)(_tied("ranged"))
+
+
+# ------------------------------------------------------------ H6 on the PC1/PC2 embedding
+@register("class_ellipse_pca", f"""
+WITH {PAIR_SQL},
+q4 AS (SELECT quantile_cont(vibration, 0.95) AS v, quantile_cont(speed, 0.95) AS s,
+              quantile_cont(energy, 0.95) AS e, quantile_cont(revolutions, 0.95) AS rv FROM tele),
+p AS (SELECT (a + b) * sqrt(CAST(0.5 AS DOUBLE)) AS p1, (a - b) * sqrt(CAST(0.5 AS DOUBLE)) AS p2, label_fault
+      FROM (SELECT (vibration - mv) / sv AS a, CASE WHEN r > 0 THEN 1 ELSE -1 END * (humidity - mh) / sh AS b,
+                   CAST((CAST(coalesce(vibration > v, false) AS INTEGER) + CAST(coalesce(speed > s, false) AS INTEGER)
+                   + CAST(coalesce(energy > e, false) AS INTEGER) + CAST(coalesce(revolutions > rv, false) AS INTEGER)) >= 2
+                   AS INTEGER) AS label_fault FROM tele, st, q4)),
+c AS (SELECT label_fault, count(*) AS n, var_samp(p1) AS a, covar_samp(p1, p2) AS b, var_samp(p2) AS c
+      FROM p GROUP BY label_fault)
+SELECT label_fault, n, round(2 * 1.96 * sqrt((a + c) / 2.0 + sqrt(pow((a - c) / 2.0, 2) + pow(b, 2))), 6) AS width,
+       round(2 * 1.96 * sqrt((a + c) / 2.0 - sqrt(pow((a - c) / 2.0, 2) + pow(b, 2))), 6) AS height
+FROM c WHERE n >= 3 AND a * c - b * b > 0""")
+def q_class_ellipse_pca(spark, sf_dir):
+    """H6 drawn on H5: axes of the class ellipses in the PC1/PC2 plane of two features."""
+    t = L.k_of_n(tele(spark, sf_dir), RULE4)
+    emb = H.pca_project(t, PAIR, keep=["label_fault"])
+    return finish(H.class_ellipse(emb, "PC1", "PC2", "label_fault").select("label_fault", "n", "width", "height"))

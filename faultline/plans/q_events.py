@@ -68,6 +68,20 @@ def q_gap_quantile_global(spark, sf_dir):
     return finish(spark.range(1).select(F.lit(g).cast("double").alias("gap_seconds")))
 
 
+@register("events_gap_quantile", f"""
+WITH {EV60_SQL}, {FAULT_GAPS_SQL},
+gs AS (SELECT gap_s FROM fg WHERE gap_s IS NOT NULL AND gap_s < 86400),
+gq AS (SELECT CASE WHEN count(*) >= 10 THEN quantile_cont(gap_s, 0.8)
+                   WHEN count(*) >= 5 THEN quantile_cont(gap_s, 0.8) ELSE 10.0 END AS gap FROM gs),
+src AS (SELECT l.row_id, l.ts, l.label_fault, gq.gap AS row_gap FROM ev_lab l CROSS JOIN gq),
+{islands_sql("src", "row_gap * 1000000.0")}
+{events_agg_sql("isl")}""")
+def q_events_gap_quantile(spark, sf_dir):
+    """E4 fed to E1: run-based events merged at the global gap quantile."""
+    lab = ev60(spark, sf_dir)
+    return finish(E.fault_events(lab, gap_sec=E.gap_quantile_global(lab, q=0.8)))
+
+
 @register("events_gap_per_day", f"""
 WITH {EV60_SQL},
 lab AS (SELECT * FROM ev_lab WHERE ts IS NOT NULL),

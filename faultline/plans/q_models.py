@@ -291,3 +291,19 @@ def _grid_query(kind):
 # I7 for the kernel machine (9 settings) and the network (3); each fit on at most 20,000 rows
 register("grid_search_svm")(_grid_query("svm"))
 register("grid_search_mlp")(_grid_query("mlp"))
+
+
+@register("pdp_by_importance")
+def q_pdp_by_importance(spark, sf_dir):
+    """I9 -> I12: the two features whose permutation costs most average
+    precision get the partial dependence, over the whole test fold."""
+    df = prepared(spark, sf_dir).cache()
+    tr, _, te = _folds(df)
+    m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 12}, **FAST)
+    imp = M.permutation_importance(m, te, FEATS, "label_fault", repeats=2, scoring="average_precision")
+    top = [r["feature"] for r in imp.orderBy(F.desc("importance_mean"), "feature").limit(2).collect()]
+    outs = [M.partial_dependence(m, te, f).withColumn("feature", F.lit(f)).withColumn("rank", F.lit(i + 1)).toPandas()
+            for i, f in enumerate(top)]
+    df.unpersist()
+    import pandas as pd
+    return finish(spark.createDataFrame(pd.concat(outs, ignore_index=True)))
