@@ -11,6 +11,9 @@ followed the other way, which keeps a flexible model from overfitting it.
 The prior is the smallest ratio, over score thresholds, of the share of
 held-back unlabelled text to the share of held-back positives above it.
 
+The scores are then shifted so that all but ``KEEP_OUT`` of the positives get
+0.5 or more.
+
 Inputs of a score are statistics of the text alone (character classes, word
 shapes, repetition, lines).  Each is cut at quantiles into bins and every
 bin has a weight, so heavy tails and one-sided evils need no scaling.
@@ -37,6 +40,7 @@ from .common import held_out, ship, stored
 
 FIT_ROWS = 40_000
 THRESHOLD = 0.3
+KEEP_OUT = 0.003
 _PUNCT = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 FEATURES = [
     "log_words", "word_len", "upper", "digit", "space", "wide", "punct", "unique", "adjacent", "top_word",
@@ -146,6 +150,8 @@ class PUModel:
             return g_plus + g_minus if minus >= 0 else -g_minus
 
         self._descend(grad, steps)
+        # the decision border goes where trusted positives end: all but KEEP_OUT of them score 0.5 or more
+        self.bias -= float(np.quantile(self.logit(bp), KEEP_OUT))
         return self
 
 
