@@ -1,6 +1,8 @@
-"""faultline: telemetry fault analytics as lazy Spark DataFrame operators.
+"""faultline: telemetry fault analytics as Spark DataFrame operators.
 
 Every operator takes a DataFrame (plus parameters) and returns a DataFrame.
+Plans are lazy except for what must be known to build them: thresholds, cut
+points, key skew, model fits and pinned segments run jobs when called.
 Sub-packages:
 
 * ``sources``   - table readers, fixture views, writers (A1-A8)
