@@ -12,6 +12,8 @@ base rule; other columns of the input pass through untouched or, for
 windows of one text agree by chance with probability below n^2/2^65)."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,8 @@ STOP_WORDS = {
 }
 
 #: The threshold table: metric, comparison a kept text must meet, threshold.
-#: ``ratio:a/b`` is a divided by b, 0 where b is 0.
+#: ``ratio:a/b`` is a divided by b, 0 where b is 0; ``a+1`` adds one, so that
+#: a few words without a stop word pass.
 RULES = [
     ("n_words", ">=", 10),
     ("n_words", "<=", 1_000_000),
@@ -36,8 +39,9 @@ RULES = [
     ("ratio:n_bangs/n_words", "<=", 0.3),
     ("ratio:n_bullet_lines/n_lines", "<=", 0.9),
     ("ratio:n_ellipsis_lines/n_lines", "<=", 0.3),
-    ("ratio:n_dup_lines/n_lines", "<=", 0.3),
-    ("ratio:n_stop_words/n_words", ">=", 0.01),
+    ("ratio:n_dup_lines/n_lines", "<=", 0.5),
+    ("ratio:n_adjacent/n_words", "<=", 0.2),
+    ("ratio:n_stop_words+1/n_words", ">=", 0.02),
 ]
 BASE_MIN_WORDS = 10
 BASE_MAX_REPEAT_PCT = 20
@@ -46,7 +50,8 @@ BASE_MAX_REPEAT_PCT = 20
 def _metric(name: str):
     if name.startswith("ratio:"):
         a, b = name[6:].split("/")
-        return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
+        a, _, more = a.partition("+")
+        return F.when(F.col(b) > 0, (F.col(a) + int(more or 0)) / F.col(b)).otherwise(F.lit(0.0))
     return F.col(name)
 
 
@@ -84,7 +89,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sto
         F.transform("__q", lambda q, k: F.least(F.coalesce(F.get(F.col("__q"), k + 1) - q, F.lit(5)), F.lit(5))),
         F.lit(0), lambda a, x: a + x)
     count = lambda pattern: F.regexp_count("__t", F.lit(pattern)).cast(NUM)
-    return t.select(
+    out = t.select(
         "doc_id",
         F.size("__w").cast(NUM).alias("n_words"),
         F.length(F.array_join("__w", "")).cast(NUM).alias("word_chars"),
@@ -95,8 +100,12 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sto
         F.size("__l").cast(NUM).alias("n_lines"),
         F.size(F.filter("__l", lambda x: x.rlike(r"^[\x20\x09-\x0D]*[-*•]"))).cast(NUM).alias("n_bullet_lines"),
         F.size(F.filter("__l", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))).cast(NUM).alias("n_ellipsis_lines"),
+        F.size(F.filter("__h", lambda h, i: h == at(i - 1))).cast(NUM).alias("n_adjacent"),
         F.size(F.filter("__w", lambda w: F.lower(w).isin(stops))).cast(NUM).alias("n_stop_words"),
     )
+    # a row count that the optimizer doesn't push filters through: a later
+    # filter on a metric would else repeat the array expressions inside lambdas
+    return out.observe(f"quality-rules-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
 
 
 def apply_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

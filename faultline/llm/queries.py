@@ -40,6 +40,7 @@ m AS (SELECT w.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word
              length(t) - length(replace(t, '!', '')) AS n_bangs, len(l) AS n_lines,
              len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullet_lines,
              len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines,
+             len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_adjacent,
              len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS n_stop_words
       FROM w LEFT JOIN v USING (doc_id)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
@@ -49,8 +50,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND n_symbols / n_words <= 0.1 AND n_bangs / n_words <= 0.3
        AND (n_lines = 0 OR n_bullet_lines / n_lines <= 0.9)
        AND (n_lines = 0 OR n_ellipsis_lines / n_lines <= 0.3)
-       AND (n_lines = 0 OR n_dup_lines / n_lines <= 0.3)
-       AND n_stop_words / n_words >= 0.01 AS kept
+       AND (n_lines = 0 OR n_dup_lines / n_lines <= 0.5)
+       AND n_adjacent / n_words <= 0.2 AND (n_stop_words + 1) / n_words >= 0.02 AS kept
 FROM b"""
 
 
