@@ -5,13 +5,15 @@
    give the minima.  A band's minima make one key.  Texts with the same
    shingle set (128-bit fingerprint) are one class with its least id as node.
 2. Star pairs: in each bucket (band key) the least node leads; every node is
-   paired with the leader it shares most buckets with, and pairs are
-   confirmed on the full shingle sets of both texts.
+   paired with the leader it shares most buckets with, if they share at
+   least ``STAR_SHARED``, and pairs are confirmed on the full shingle sets of
+   both texts.  This only saves work: what it leaves out step 4 tests.
 3. Components of the confirmed links by large-star and small-star.
 4. Rest: buckets that still hold several components are compared node by
-   node across components, in blocks bounded in rows and bytes: signature
-   agreement first, then the sets.  New pairs are confirmed on the full sets
-   again and the components are taken anew.  So each pair that shares a
+   node across components, in blocks bounded in rows and bytes: by signature
+   agreement first, then, for the nodes that have a partner left, by their
+   sets.  New pairs are confirmed on the full sets again and the components
+   are taken anew.  So each pair that shares a
    bucket has been tested unless it is already in one component; nothing is
    capped and no group's pairs are written out.
 
@@ -38,6 +40,7 @@ from .components import connected_components
 SHINGLE = 5
 BANDS, ROWS = 48, 6
 PERCENT = 75
+STAR_SHARED = 3
 BLOCK_ROWS, BLOCK_BYTES = 512, 8 << 20
 SLICE = 16_384
 MEMO = 400_000
@@ -161,16 +164,33 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col, text_col) -> DataFrame:
     return stored(got.mapInArrow(run, "u bigint, v bigint"), "links")
 
 
-def _close_size(a, b):
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def block_pairs(comp, size, side, sig):
+    """(i, partners) of one block: members of the other components (and
+    sides, if there are two) with a close size and signature.  One component,
+    the largest, is only met as partner, so each pair comes once."""
+    values, counts = np.unique(comp, return_counts=True)
+    largest = values[counts.argmax()]
+    two = side.min() != side.max()
+    p = PERCENT / 100
+    least = p - 5 * np.sqrt(p * (1 - p) / sig.shape[1])
+    done = np.zeros(len(comp), bool)
+    for i in np.flatnonzero(comp != largest):
+        done[i] = True
+        ok = (comp != comp[i]) & ~done
+        if two:
+            ok &= side != side[i]
+        ok &= 100 * np.minimum(size, size[i]) >= PERCENT * np.maximum(size, size[i])
+        at = np.flatnonzero(ok)
+        if len(at):
+            at = at[(sig[at] == sig[i]).mean(1) >= least]
+            if len(at):
+                yield int(i), at
 
 
 def block_links(comp, size, side, sig, sets) -> list[tuple[int, int]]:
-    """Index pairs of one block: across components (and sides, if there are
-    two) with enough signature agreement and set overlap.  Pairs that earlier
+    """Index pairs of one block with enough set overlap.  Pairs that earlier
     pairs of this block connect for certain are left out."""
-    n, out = len(comp), []
-    root = list(range(n))
+    root, first, out = list(range(len(comp))), {}, []
 
     def find(i):
         while root[i] != i:
@@ -178,93 +198,103 @@ def block_links(comp, size, side, sig, sets) -> list[tuple[int, int]]:
             i = root[i]
         return i
 
-    first: dict = {}
-    for i, c in enumerate(comp):
+    for i, c in enumerate(comp.tolist()):
         root[i] = first.setdefault(c, i)
-    counts = np.unique(comp, return_counts=True)
-    largest = counts[0][counts[1].argmax()]
-    two = len(set(side.tolist())) == 2
-    p = PERCENT / 100
-    least = p - 5 * np.sqrt(p * (1 - p) / sig.shape[1])
-    order = [i for i in range(n) if comp[i] != largest]
-    done = np.zeros(n, bool)
-    for i in order:
-        done[i] = True
-        ok = (comp != comp[i]) & ~done
-        if two:
-            ok &= side != side[i]
-        ok &= 100 * np.minimum(size, size[i]) >= PERCENT * np.maximum(size, size[i])
-        at = np.flatnonzero(ok)
-        if not len(at):
-            continue
-        at = at[(sig[at] == sig[i]).mean(1) >= least]
-        for j in at:
+    for i, at in block_pairs(comp, size, side, sig):
+        for j in at.tolist():
             if find(i) == find(j):
                 continue
             a, b = sets[i], sets[j]
             inter = len(np.intersect1d(a, b, assume_unique=True))
             share = 100 * inter / (len(a) + len(b) - inter)
             if share >= PERCENT - 0.5:  # 32-bit shingles: the full sets decide
-                out.append((i, int(j)))
+                out.append((i, j))
                 if share >= PERCENT + 0.5:
                     root[find(i)] = find(j)
     return out
 
 
-def _rest(buckets: DataFrame, comps: DataFrame, reps: DataFrame, docs, id_col, text_col) -> DataFrame:
-    """Pairs across components in buckets that hold several of them."""
-    def small_sets(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                s = [np.unique((shingles(t) >> np.uint64(32)).astype(np.uint32)).tobytes()
-                     for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.binary())], names=["node", "set"])
+def _blocks(rows: DataFrame, weight) -> DataFrame:
+    """Rows (key, node, ...) dealt into block pairs: columns key, pair, side
+    are added.  Blocks of a key are equal by hash and bounded by
+    ``BLOCK_ROWS`` rows and ``BLOCK_BYTES`` of ``weight``."""
+    count = rows.groupBy("key").agg(F.count("*").alias("m"), F.sum(weight).alias("w"))
+    nb = F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("w") / BLOCK_BYTES)).cast("int")
+    b = rows.join(count.select("key", nb.alias("nb")), "key")
+    b = b.withColumn("i", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")) \
+        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    pair = F.least("i", "j") * F.lit(1 << 20).cast("bigint") + F.greatest("i", "j")
+    return b.withColumn("pair", pair).withColumn("side", F.when(F.col("i") <= F.col("j"), 0).otherwise(1)) \
+        .drop("i", "j", "nb")
+
 
-    def compare(batches):
+def _by_block(compare, names):
+    """An Arrow map over rows sorted by (key, pair): ``compare`` gets the rows of one block as lists."""
+    def run(batches):
         key, rows = None, []
 
         def flush():
-            if len(rows) < 2:
-                return None
-            comp = np.array([r[4] for r in rows])
-            if (comp == comp[0]).all():
-                return None
-            sig = np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1)
-            got = block_links(comp, np.array([r[5] for r in rows]), np.array([r[2] for r in rows]), sig,
-                              [np.frombuffer(r[7], np.uint32) for r in rows])
-            if not got:
-                return None
-            return pa.RecordBatch.from_arrays(
-                [pa.array([max(rows[i][3], rows[j][3]) for i, j in got], pa.int64()),
-                 pa.array([min(rows[i][3], rows[j][3]) for i, j in got], pa.int64())], names=["v", "u"])
+            if len(rows) > 1 and any(r[4] != rows[0][4] for r in rows):
+                got = compare(rows)
+                if got:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*got, strict=True)],
+                                                     names=names)
 
         for b in batches:
             for r in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if r[:2] != key:
-                    if (out := flush()) is not None:
-                        yield out
+                    yield from flush()
                     key, rows = r[:2], []
                 rows.append(r)
-        if (out := flush()) is not None:
-            yield out
+        yield from flush()
+    return run
+
+
+def _arrays(rows):
+    """component, size, side, signature of rows (key, pair, side, node, component, n, sig, ...)."""
+    return (np.array([r[4] for r in rows]), np.array([r[5] for r in rows]), np.array([r[2] for r in rows]),
+            np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1))
+
+
+def _close(rows):
+    """(key, node) of the rows that have a partner by signature."""
+    hit = set()
+    for i, at in block_pairs(*_arrays(rows)):
+        hit.add(i)
+        hit.update(at.tolist())
+    return [(rows[i][0], rows[i][3]) for i in sorted(hit)]
+
+
+def _linked(rows):
+    """(u, v) of the rows whose sets overlap enough."""
+    got = block_links(*_arrays(rows), [np.frombuffer(r[7], np.uint32) for r in rows])
+    return [tuple(sorted((rows[i][3], rows[j][3]))) for i, j in got]
+
+
+def _rest(buckets: DataFrame, comps: DataFrame, reps: DataFrame, docs, id_col, text_col) -> DataFrame:
+    """Pairs across components in buckets that hold several of them."""
+    def small_sets(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                s = [np.unique((shingles(t) >> np.uint64(32)).astype(np.uint32)).tobytes()
+                     for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s, pa.binary())], names=["node", "set"])
+
+    def dealt(rows, *more):
+        return rows.select("key", "pair", "side", "node", "component", "n", "sig", *more) \
+            .repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
 
     b = buckets.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    by_key = b.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                  F.count("*").alias("m"), F.sum("n").alias("total")).where("lo <> hi")
-    blocks = F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(4 * F.col("total") / BLOCK_BYTES)).cast("int")
-    b = stored(b.join(by_key.select("key", blocks.alias("nb")), "key"), "open-buckets")
-    nodes = b.select("node").distinct()
-    sets = stored(_texts(docs, nodes, id_col, text_col).mapInArrow(small_sets, "node bigint, set binary"), "small-sets")
-    full = sets.join(reps.select("node", "sig"), "node")
-    mine = F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")
-    # block pairs (i <= j): a row of block i meets every other block; side tells the two apart
-    b = b.withColumn("i", mine).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    b = b.select("key", (F.least("i", "j") * F.lit(1 << 20).cast("bigint") + F.greatest("i", "j")).alias("pair"),
-                 F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), "node", "component", "n") \
-        .join(full, "node").select("key", "pair", "side", "node", "component", "n", "sig", "set")
-    return b.repartition("key", "pair").sortWithinPartitions("key", "pair", "node") \
-        .mapInArrow(compare, "v bigint, u bigint")
+    several = b.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    b = b.join(several.select("key"), "key", "left_semi")
+    b = stored(b.join(reps.select("node", "n", "sig"), "node"), "open-buckets")
+    close = dealt(_blocks(b, F.lit(320))).mapInArrow(_by_block(_close, ["key", "node"]), "key bigint, node bigint")
+    close = stored(close.distinct(), "close")
+    b = stored(b.join(close, ["key", "node"], "left_semi"), "close-buckets")
+    sets = stored(_texts(docs, close, id_col, text_col).mapInArrow(small_sets, "node bigint, set binary"), "small-sets")
+    full = _blocks(b, 4 * F.col("n")).join(sets, "node")
+    return dealt(full, "set").mapInArrow(_by_block(_linked, ["u", "v"]), "u bigint, v bigint")
 
 
 def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
@@ -276,17 +306,17 @@ def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     reps = some.join(classes.select(F.col("node").alias("doc_id"), "fp"), ["doc_id", "fp"], "left_semi") \
         .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "n", "bands", "sig")
     reps = stored(reps, "representatives")
-    rows = reps.select("node", "n", F.explode("bands").alias("key"))
-    lead = rows.groupBy("key").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("m")).where("m > 1")
-    buckets = stored(rows.join(lead, "key"), "buckets")
-    stars = buckets.where((F.col("node") != F.col("lead.node")) & _close_size(F.col("n"), F.col("lead.n"))) \
-        .groupBy("node", F.col("lead.node").alias("leader")).agg(F.count("*").alias("shared")) \
-        .groupBy("node").agg(F.max(F.struct("shared", -F.col("leader"))).alias("best")) \
-        .select((-F.col("best.col2")).alias("u"), F.col("node").alias("v"))
+    # one exchange by key serves the leaders and the join back to them
+    rows = reps.select("node", F.explode("bands").alias("key")).repartition("key")
+    lead = rows.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("m")).where("m > 1")
+    buckets = stored(rows.join(lead.select("key", "leader"), "key"), "buckets")
+    stars = buckets.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared")) \
+        .where(F.col("shared") >= STAR_SHARED) \
+        .groupBy("node").agg(F.max(F.struct("shared", (-F.col("leader")).alias("minus"))).alias("best")) \
+        .select((-F.col("best.minus")).alias("u"), F.col("node").alias("v"))
     links = confirm(stars, docs, id_col, text_col)
     comps = stored(connected_components(links), "components")
-    more = confirm(_rest(buckets.select("key", "node", "n"), comps, reps, docs, id_col, text_col),
-                   docs, id_col, text_col)
+    more = confirm(_rest(buckets.select("key", "node"), comps, reps, docs, id_col, text_col), docs, id_col, text_col)
     comps = connected_components(links.union(more))
     whole = classes.join(comps, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     got = sk.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("fp")).alias("fp")) \
