@@ -70,3 +70,24 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(archive)  # Spark's own file service hands it out
     sc._shipped_package = True
+
+
+FILTER_WORDS = 1 << 18
+
+
+def maybe_in(docs: DataFrame, key: Column, ids: DataFrame, out: str = "__maybe") -> DataFrame:
+    """Add a boolean: false only if ``key`` is surely not among ``ids`` (one column).
+
+    A bitmap of hashed ids, about sixteen bits an id and at most
+    ``FILTER_WORDS`` 64-bit words whatever their number, is broadcast; so a
+    join with few ids moves few rows, and with very many ids merely all."""
+    node = F.col(ids.columns[0])
+    n = max(1, min(FILTER_WORDS, ids.count() // 4 + 1))
+    h = lambda c: F.xxhash64(F.lit("filter"), c.cast("bigint"))
+    word = lambda c: F.pmod(F.shiftright(h(c), 6), F.lit(n))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                                    h(c).bitwiseAND(F.lit(63)).cast("int"))
+    bits = ids.groupBy(word(node).alias("__word")).agg(F.bit_or(bit(node)).alias("__bits"))
+    got = docs.withColumn("__at", word(key)).join(F.broadcast(bits), F.col("__at") == F.col("__word"), "left")
+    return got.withColumn(out, F.coalesce(F.col("__bits").bitwiseAND(bit(key)) != 0, F.lit(False))) \
+        .drop("__at", "__word", "__bits")

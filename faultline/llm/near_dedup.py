@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import maybe_in, ship, stored
 from .components import connected_components
 
 SHINGLE = 5
@@ -135,9 +135,11 @@ def sketch(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
 
 
 def _texts(docs, nodes, id_col, text_col):
-    """One text per node id."""
+    """One text per node id; texts of other ids mostly stay where they are."""
+    ids = stored(nodes.select("node").distinct(), "text-nodes")
     t = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
-    return t.join(nodes.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    t = maybe_in(t, F.col("node"), ids).where("__maybe").drop("__maybe")
+    return t.join(ids, "node", "left_semi").dropDuplicates(["node"])
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, id_col, text_col) -> DataFrame:
@@ -329,5 +331,8 @@ def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
 def keep_first(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """Rows of ``docs`` that stay: one document of each component, columns unchanged.
     Repeated rows of the kept id stay too."""
-    gone = components(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")
+    gone = components(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__gone"))
+    gone = stored(gone.distinct(), "dropped")
+    d = maybe_in(docs, F.col(id_col), gone)
+    rest = d.where("__maybe").join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")
+    return d.where("not __maybe").union(rest).drop("__maybe")
