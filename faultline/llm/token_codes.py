@@ -21,6 +21,7 @@ and an empty result; other columns are not read."""
 from __future__ import annotations
 
 import io
+import itertools
 import json
 import os
 import struct
@@ -38,7 +39,7 @@ from .common import scratch, ship, stored
 SEGMENT = 1 << 20
 RANK_BITS = 512
 MAGIC = b"DAC1"
-CACHE_WORDS = 500_000
+CACHE_WORDS = 700_000
 
 _cache: dict = {}
 
@@ -60,6 +61,11 @@ class WordEncoder:
         pre = json.dumps(spec.get("pre_tokenizer"))
         if "\\\\s" not in pre or '"Lowercase"' not in json.dumps(spec.get("normalizer")):
             raise ValueError("the word memo needs a lower-casing tokenizer that splits at white space")
+        suffix = spec["model"].get("end_of_word_suffix")
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
         self.memo: dict[bytes, bytes] = {}
         self.memo.update({p: self._raw([p])[0] for p in (b".", b",")})
 
@@ -68,6 +74,23 @@ class WordEncoder:
         return [np.asarray(e.ids, "<u4").tobytes()
                 for e in enc([w.decode() for w in words], add_special_tokens=False)]
 
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of ASCII letters: each is one pre-token and ends with
+        an end-of-word piece, so many are encoded as one text and cut there."""
+        groups = [words[i:i + 64] for i in range(0, len(words), 64)]
+        enc = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
+        out = []
+        for g, e in zip(groups, enc([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
+            ids = np.asarray(e.ids, "<u4")
+            cuts, raw, lo = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), ids.tobytes(), 0
+            if len(cuts) != len(g):
+                out += self._raw(g)
+                continue
+            for c in cuts:
+                out.append(raw[lo:c])
+                lo = c
+        return out
+
     def _learn(self, missing: list[bytes]) -> None:
         memo, direct, ends = self.memo, set(), []
         for w in missing:
@@ -78,8 +101,10 @@ class WordEncoder:
             else:
                 direct.add(w)
         todo = [w for w in direct if w not in memo]
-        for w, ids in zip(todo, self._raw(todo) if todo else [], strict=True):
-            memo[w] = ids
+        plain = [w for w in todo if w.isalpha()]
+        other = [w for w in todo if not w.isalpha()]
+        memo.update(zip(plain, self._plain(plain), strict=True))
+        memo.update(zip(other, self._raw(other), strict=True))
         for w in ends:
             memo[w] = memo[w[:-1]] + memo[w[-1:]]
 
@@ -89,8 +114,8 @@ class WordEncoder:
         for t in texts:
             raw = (t or "").encode("utf-8", "surrogatepass")
             rows.append(raw.split() if b"<|" in raw else raw.lower().split())
-        if len(self.memo) > CACHE_WORDS:
-            self.memo = {p: self.memo[p] for p in (b".", b",")}
+        if len(self.memo) > CACHE_WORDS:  # the words met first are the frequent ones
+            self.memo = dict(itertools.islice(self.memo.items(), CACHE_WORDS // 2))
         missing = set().union(*rows).difference(self.memo) if rows else set()
         if missing:
             self._learn(list(missing))
