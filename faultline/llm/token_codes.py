@@ -75,9 +75,10 @@ class WordEncoder:
                 for e in enc([w.decode() for w in words], add_special_tokens=False)]
 
     def _plain(self, words: list[bytes]) -> list[bytes]:
-        """Ids of words of ASCII letters: each is one pre-token and ends with
-        an end-of-word piece, so many are encoded as one text and cut there."""
-        groups = [words[i:i + 64] for i in range(0, len(words), 64)]
+        """Ids of words of letters alone: each is one pre-token and ends with
+        an end-of-word piece, so many are encoded as one text and cut there
+        (where the cuts don't add up, word by word)."""
+        groups = [words[i:i + 128] for i in range(0, len(words), 128)]
         enc = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
         out = []
         for g, e in zip(groups, enc([b" ".join(g).decode() for g in groups], add_special_tokens=False), strict=True):
@@ -101,8 +102,9 @@ class WordEncoder:
             else:
                 direct.add(w)
         todo = [w for w in direct if w not in memo]
-        plain = [w for w in todo if w.isalpha()]
-        other = [w for w in todo if not w.isalpha()]
+        plain, other = [], []
+        for w in todo:
+            (plain if w.isalpha() or w.decode().isalpha() else other).append(w)
         memo.update(zip(plain, self._plain(plain), strict=True))
         memo.update(zip(other, self._raw(other), strict=True))
         for w in ends:
