@@ -200,3 +200,19 @@ def test_pipeline_stages(spark, sf):
     assert ids(f) == ids(e)
     sizes = Counter(r["shard"] for r in rows)
     assert max(sizes.values()) - min(sizes.get(k, 0) for k in range(24)) <= 1
+
+
+def test_bitmap_never_loses_a_member(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from faultline.llm import common
+    docs = spark.range(6000).withColumn("text", F.lit("x"))
+    ids = spark.range(0, 6000, 13).withColumnRenamed("id", "node")
+    for words in (common.FILTER_WORDS, 2):
+        monkeypatch.setattr(common, "FILTER_WORDS", words)
+        got = common.maybe_in(docs, F.col("id"), ids)
+        assert got.columns == ["id", "text", "__maybe"] and got.count() == 6000
+        assert got.where("id % 13 = 0 and not __maybe").count() == 0
+        if words > 2:
+            assert got.where("id % 13 <> 0 and __maybe").count() < 1200
+    assert common.maybe_in(docs, F.col("id"), ids.limit(0)).where("__maybe").count() == 0
