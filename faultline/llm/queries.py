@@ -3,7 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, mixing, near_dedup, quality_pu, quality_rules, sharding, token_codes, token_counts, toxicity
+from . import (decontaminate, hard_negatives, html_extract, katz, mixing, near_dedup, prefix_trie, quality_pu, quality_rules,
+               sharding, token_codes, token_counts, toxicity)
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -145,3 +146,62 @@ def op9_minhash_near_dedup(spark, sf_dir):
 @query("op8_benchmark_leaks")
 def op8_benchmark_leaks(spark, sf_dir):
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op11_katz_backoff")
+def op11_katz_backoff(spark, sf_dir):
+    return katz.fit_and_score(read(spark, sf_dir, "documents"))
+
+
+NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS al, b.vec_id, b.label, list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM v AS a, v AS b WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = al AND vec_id <> anchor_id
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, s.vec_id AS negative_id, positive_score,
+       s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.al
+     AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+QUALIFY row_number() OVER w <= 5"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
+#: crc32 bit by bit, since DuckDB has no such function.
+TRIE_SQL = """
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                  coalesce(text, '')) AS at, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x
+           FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list(x ORDER BY at) AS x FROM t GROUP BY c),
+h AS (SELECT c, x, xor(list_reduce(list_concat([4294967295::UBIGINT],
+        list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::UBIGINT)),
+        lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+          lambda y, z: xor(y >> 1, (y & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT) % 6 AS h FROM o),
+r AS (SELECT h.c, list_concat(coalesce(l.x[1:h.h], []), h.x[h.h + 1:]) AS x
+      FROM h LEFT JOIN o AS l ON l.c = h.c - h.c % 100),
+m AS (SELECT c, unnest(range(0, len(x) + 1)) AS d, x FROM r),
+k AS (SELECT c, d, len(x) AS n, x[1:d] AS p, CASE WHEN d = 0 THEN 0 ELSE length(x[d].t) END AS len FROM m),
+node AS (SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(len) AS saved,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+         FROM k GROUP BY p, d),
+up AS (SELECT node.*, par.conv_id AS parent_conv_id FROM node LEFT JOIN node AS par
+       ON par.d = node.d - 1 AND par.p = node.p[1:node.d - 1]),
+kid AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n_children FROM up WHERE d > 0 GROUP BY ALL),
+f AS (SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN kid USING (conv_id, d)),
+sub AS (SELECT a.conv_id, a.d, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum(b.saved) AS saved_tokens
+        FROM f AS a JOIN f AS b ON b.d >= a.d AND b.p[1:a.d] = a.p GROUP BY ALL)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM f JOIN sub USING (conv_id, d)"""
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
