@@ -38,6 +38,7 @@ texts every token is unknown with probability 1; words are told apart by
 ignored, extra columns too."""
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,8 +52,8 @@ from .common import ship, stored
 
 START, END, FIRST = 0, 1, 2
 CUT = 5
-FREQUENT = 1 << 20
-FREQUENT_PAIRS = 1 << 19
+FREQUENT = 1 << 19
+FREQUENT_PAIRS = 1 << 18
 CHUNK_TOKENS, CHUNK_TEXTS = 3_000_000, 60_000
 BUCKET_TOKENS = 4_000_000
 LEAST_BUCKETS = 40
@@ -79,14 +80,6 @@ def discounts(n: list[int]) -> list[float]:
 
 # ---- words and codes -------------------------------------------------------
 
-class _Hashes(dict):
-    def __missing__(self, word):
-        if len(self) > MEMO:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word) >> 1
-        return h
-
-
 class Codes(dict):
     """word -> code, by the sorted hashes of the frequent words."""
 
@@ -103,9 +96,6 @@ class Codes(dict):
         return c
 
 
-_word_hash = _Hashes()
-
-
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
@@ -146,12 +136,68 @@ def bucket_at(b, salt, n):
     return (_mixed(_mixed(b.view(np.uint64) + np.uint64(1)) + salt.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
-def runs(b: np.ndarray, w: np.ndarray):
-    """(order, starts): the sorting order by (b, w) and where each distinct pair starts in it."""
-    order = np.lexsort((w, b))
-    sb, sw = b[order], w[order]
-    new = np.append(True, (sb[1:] != sb[:-1]) | (sw[1:] != sw[:-1])) if len(sb) else np.zeros(0, bool)
-    return order, np.flatnonzero(new)
+class Keys:
+    """Pairs of codes as one sortable integer each: frequent codes stand for
+    themselves, the rare ones at hand are numbered behind them in the order
+    of their unsigned codes.  So keys sort like (b, w) taken as unsigned."""
+
+    def __init__(self, *codes: np.ndarray):
+        every = np.concatenate(codes)
+        self.rare = np.unique(every[every < 0])
+        most = max(int(every.max(initial=0)) + 1, FIRST)
+        self.base = most
+        self.width = (most + len(self.rare)).bit_length()
+
+    def local(self, c: np.ndarray) -> np.ndarray:
+        out = c.copy()
+        i = np.flatnonzero(c < 0)
+        out[i] = self.base + np.searchsorted(self.rare, c[i])
+        return out
+
+    def pack(self, b: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return self.local(b) << self.width | self.local(w)
+
+    def _code(self, x):
+        far = x >= self.base
+        out = x.copy()
+        out[far] = self.rare[x[far] - self.base]
+        return out
+
+    def unpack(self, key: np.ndarray):
+        return self._code(key >> self.width), self._code(key & ((1 << self.width) - 1))
+
+
+def _starts(key: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+
+
+def counted(b: np.ndarray, w: np.ndarray, c: np.ndarray | None = None):
+    """Distinct pairs in order with their counts (sums of ``c``)."""
+    keys = Keys(b, w)
+    key = keys.pack(b, w)
+    if c is None:
+        key.sort()
+        at = _starts(key)
+        return *keys.unpack(key[at]), np.diff(np.append(at, len(key)))
+    order = np.argsort(key)
+    key = key[order]
+    at = _starts(key)
+    return *keys.unpack(key[at]), np.add.reduceat(c[order], at)
+
+
+def grouped(b: np.ndarray, w: np.ndarray, i: np.ndarray, n: int):
+    """(b, w, starts, i in order): distinct pairs in order and the text numbers (below ``n``) of each."""
+    keys, bits = Keys(b, w), max(0, n - 1).bit_length()
+    if 2 * keys.width + bits <= 63:
+        key = keys.pack(b, w) << bits | i
+        key.sort()
+        i, key = key & ((1 << bits) - 1), key >> bits
+    else:
+        key = keys.pack(b, w)
+        order = np.argsort(key, kind="stable")
+        i, key = i[order], key[order]
+    at = _starts(key)
+    return *keys.unpack(key[at]), at, i
 
 
 def _chunks(batches, tokens: int = CHUNK_TOKENS):
@@ -197,12 +243,26 @@ class Model:
     train_tokens: int
 
 
+def unigrams(m: dict) -> np.ndarray:
+    """Discounted probability of each frequent word, by code."""
+    c = m["counts"]
+    return np.where(c <= CUT, np.array([0.0, *m["d1"]])[np.minimum(c, CUT)], 1.0) * c / max(m["n1"], 1)
+
+
+def salts(m: dict) -> np.ndarray:
+    """Number of buckets of each frequent context, by code: twice its share of tokens in buckets."""
+    return np.maximum(1, -(-2 * m["counts"] * m["buckets"] // max(m["n"], 1))).astype(np.int64)
+
+
 def _word_counts(train: DataFrame) -> DataFrame:
     def run(batches):
         for rows in _chunks(batches):
-            h = [np.fromiter(map(_word_hash.__getitem__, found), np.int64, len(found))
-                 for found in (words(r[0]) for r in rows)]
-            h, c = np.unique(np.concatenate([*h, np.full(len(rows), -END, np.int64)]), return_counts=True)
+            found = Counter()
+            for r in rows:
+                found.update(words(r[0]))
+            h = np.fromiter(map(xxhash.xxh64_intdigest, found), np.uint64, len(found)) >> np.uint64(1)
+            h = np.append(h.astype(np.int64), -END)
+            c = np.append(np.fromiter(found.values(), np.int64, len(found)), len(rows))
             for lo in range(0, len(h), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(h[lo:lo + 100_000]), pa.array(c[lo:lo + 100_000])],
                                                  names=["h", "c"])
@@ -241,10 +301,8 @@ def _pair_blobs(train: DataFrame, shared) -> DataFrame:
         codes = Codes(m["hashes"], m["ranks"])
         for rows in _chunks(batches, m["chunk"]):
             b, w, _ = _sequence([r[0] for r in rows], codes)
-            order, at = runs(b, w)
-            c = np.diff(np.append(at, len(order)))
-            b, w = b[order][at], w[order][at]
-            k = bucket_of(b, w, m["salts"], m["buckets"])
+            b, w, c = counted(b, w)
+            k = bucket_of(b, w, salts(m), m["buckets"])
             yield from _dealt(k, m["buckets"], lambda i, b=b, w=w, c=c: (rising(b[i]), squeeze(w[i]),
                                                                           squeeze(c[i].astype(np.uint32))), ["b", "w", "c"])
     return train.mapInArrow(run, "bucket int, b binary, w binary, c binary")
@@ -252,6 +310,7 @@ def _pair_blobs(train: DataFrame, shared) -> DataFrame:
 
 def _dealt(bucket: np.ndarray, n: int, columns, names):
     """Record batches with one row per bucket; ``columns(positions)`` gives its values."""
+    bucket = bucket.astype(np.uint16 if n <= 1 << 16 else np.int64)  # a short key sorts by radix
     order = np.argsort(bucket, kind="stable")
     ends = np.searchsorted(bucket[order], np.arange(n + 1))
     rows = [(k, *columns(order[ends[k]:ends[k + 1]])) for k in range(n) if ends[k] < ends[k + 1]]
@@ -266,9 +325,7 @@ def _merged(table: pa.Table) -> pa.Table:
     get = lambda name, f: np.concatenate([f(x.as_py()) for x in table.column(name)])
     b, w = get("b", unrising), get("w", lambda x: unsqueeze(x, np.int64))
     c = get("c", lambda x: unsqueeze(x, np.uint32)).astype(np.int64)
-    order, at = runs(b, w)
-    c = np.add.reduceat(c[order], at)
-    b, w = b[order][at], w[order][at]
+    b, w, c = counted(b, w, c)
     return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "b": [rising(b)],
                      "w": [squeeze(w)], "c": [squeeze(c)]})
 
@@ -284,7 +341,7 @@ _SEEN = [f"m{r}" for r in range(1, CUT + 2)]
 def _context_parts(pairs: DataFrame, shared) -> DataFrame:
     """(b, c, m1.., s): totals, types by count and frequent successors' unigram mass, per context and bucket."""
     def run(batches):
-        p1 = shared.value["p1"]
+        p1 = unigrams(shared.value)
         for batch in batches:
             for b, w, c in _read_pairs(batch):
                 at = np.flatnonzero(np.append(True, b[1:] != b[:-1]))
@@ -354,11 +411,9 @@ def fit(docs: DataFrame, text_col="text", frequent: int = FREQUENT, frequent_pai
     d1 = discounts(low)
     left = sum(r * x * (1 - d) for r, (x, d) in enumerate(zip(low, d1), 1))
     n1, unknown = (n, left / n) if left else (n + 1, 1 / (n + 1))
-    factor = np.array([0.0, *d1])
-    known = np.where(counts <= CUT, factor[np.minimum(counts, CUT)], 1.0) * counts / max(n1, 1)
     buckets = max(least_buckets, -(-n // BUCKET_TOKENS))
-    m = {"hashes": hashes, "ranks": ranks, "counts": counts, "p1": known, "d1": d1, "n1": n1, "unknown": unknown,
-         "n": n, "v": v, "chunk": chunk, "buckets": buckets, "salts": np.maximum(1, -(-2 * counts * buckets // max(n, 1))).astype(np.int64)}
+    m = {"hashes": hashes, "ranks": ranks, "counts": counts, "d1": d1, "n1": n1, "unknown": unknown,
+         "n": n, "v": v, "chunk": chunk, "buckets": buckets}
     shared = spark.sparkContext.broadcast(m)
     pairs = stored(_pair_blobs(train, shared).groupBy("bucket")
                    .applyInArrow(_merged, "bucket int, b binary, w binary, c binary"), "katz-pairs")
@@ -375,9 +430,9 @@ def fit(docs: DataFrame, text_col="text", frequent: int = FREQUENT, frequent_pai
                           F.log10((kept + more) / (F.col("c") + more) / spare).alias("back"))
     cut = _least_count(_pair_sizes(pairs), frequent_pairs)
     keys, sizes = _top_pairs(pairs, cut)
-    by_code = contexts.where(F.col("b") >= 0).toPandas()  # at most FREQUENT and the start
-    totals = np.zeros(len(counts))
-    totals[by_code["b"].to_numpy(np.int64)] = by_code["total"].to_numpy()
+    totals = np.log10(np.maximum(counts, 1))  # a frequent context occurs as often as its word
+    spared = ctx.where((F.col("b") >= 0) & (kept == 0)).select("b").toPandas()["b"].to_numpy(np.int64)
+    totals[spared] = np.log10(counts[spared] + 1)
     m = m | {"d2": d2, "keys": keys, "log_keys": _log_discounted(sizes, d2) - totals[keys >> _SHIFT]}
     return Model(table, pairs, contexts, m, n)
 
@@ -429,19 +484,15 @@ def _read_texts(docs: DataFrame, shared) -> DataFrame:
             yield _part(k, _TEXT, schema, chunk=pa.array(np.full(k, chunk)), i=pa.array(np.arange(k, dtype=np.int32)),
                         h1=pa.array(h[:, 0]), h2=pa.array(h[:, 1]), n=pa.array(np.bincount(at, minlength=k).astype(np.int64)),
                         known=pa.array(seen), base=pa.array(plain), score=pa.array(score))
-            r = np.flatnonzero(~often)
-            order, starts = runs(at[r], w[r])
-            count = np.diff(np.append(starts, len(order)))
-            r = r[order][starts]
-            for lo in range(0, len(r), 50_000):
-                j = r[lo:lo + 50_000]
-                yield _part(len(j), _RARE, schema, chunk=pa.array(np.full(len(j), chunk)), i=pa.array(at[j].astype(np.int32)),
-                            h=pa.array(-(w[j] + 1)), k=pa.array(count[lo:lo + 50_000].astype(np.int64)))
-            b, w, at = b[~hit], w[~hit], at[~hit].astype(np.uint16)
-            order, starts = runs(b, w)
-            ends = np.append(starts, len(order))
-            at, b, w, c = at[order], b[order][starts], w[order][starts], np.diff(ends)
-            bucket = bucket_of(b, w, m["salts"], m["buckets"])
+            rare, i, count = counted(w[~often], at[~often])
+            for lo in range(0, len(rare), 50_000):
+                part = slice(lo, lo + 50_000)
+                yield _part(len(rare[part]), _RARE, schema, chunk=pa.array(np.full(len(rare[part]), chunk)),
+                            i=pa.array(i[part].astype(np.int32)), h=pa.array(-(rare[part] + 1)),
+                            k=pa.array(count[part].astype(np.int64)))
+            b, w, starts, at = grouped(b[~hit], w[~hit], at[~hit], k)
+            at, c = at.astype(np.uint16), np.diff(np.append(starts, len(at)))
+            bucket = bucket_of(b, w, salts(m), m["buckets"])
 
             def blob(i, b=b, w=w, c=c, at=at, starts=starts):
                 n = c[i]
@@ -461,7 +512,7 @@ def _by_bucket(contexts: DataFrame, shared) -> DataFrame:
         m = shared.value
         for batch in batches:
             b = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            s = np.where(b >= 0, m["salts"][np.maximum(b, 0)], 1)
+            s = np.where(b >= 0, salts(m)[np.maximum(b, 0)], 1)
             i = np.repeat(np.arange(len(b)), s)
             salt = np.arange(len(i)) - np.repeat(np.cumsum(s) - s, s)
             yield pa.RecordBatch.from_arrays(
@@ -483,29 +534,31 @@ def _look_up(shared):
         total, back = (ctx.column(x).to_numpy()[first] for x in ("total", "back"))
         have = [(unrising(r["b"]), unsqueeze(r["w"], np.int64), unsqueeze(r["c"], np.int64)) for r in of(0).to_pylist()]
         tb, tw, tc = have[0] if have else (np.zeros(0, np.int64),) * 3
-        tables, log_c = of(2), _log_discounted(tc, m["d2"])
+        log_c = _log_discounted(tc, m["d2"])
+        asked = [(r["chunk"], unrising(r["b"]), unsqueeze(r["w"], np.int64), unsqueeze(r["c"], np.uint32).astype(np.int64),
+                  unsqueeze(r["at"], np.uint16).astype(np.int64)) for r in of(2).to_pylist()]
         out = [[], [], [], [], []]
-        for r in range(tables.num_rows):
-            b, w = unrising(tables.column("b")[r].as_py()), unsqueeze(tables.column("w")[r].as_py(), np.int64)
-            n = unsqueeze(tables.column("c")[r].as_py(), np.uint32).astype(np.int64)
-            at = unsqueeze(tables.column("at")[r].as_py(), np.uint16).astype(np.int64)
-            # both sides are sorted: equal pairs are neighbours when merged
-            where = _find(tb, tw, b, w)
+        if asked:
+            keys = Keys(tb, tw, *[x for a in asked for x in a[1:3]])
+            held = keys.pack(tb, tw)  # sorted as the table is
+        p1 = unigrams(m)
+        for chunk, b, w, n, at in asked:
+            key = keys.pack(b, w)
+            pos = np.minimum(np.searchsorted(held, key), max(0, len(held) - 1))
+            seen = held[pos] == key if len(held) else np.zeros(len(key), bool)
             c = np.minimum(np.searchsorted(code, b), max(0, len(code) - 1))
             known = code[c] == b if len(code) else np.zeros(len(b), bool)
             value = np.zeros(len(b))
-            if len(tb):
-                value = np.where(where >= 0, log_c[where] - total[c], 0.0)
-            miss = where < 0
+            if len(held):
+                value = np.where(seen, log_c[pos] - total[c], 0.0)
             if len(code):
-                value = value + np.where(miss & known, back[c], 0.0)
-            often = miss & (w >= 0)
-            value = value + np.where(often, np.log10(np.where(often, np.maximum(m["p1"][np.maximum(w, 0)], 1e-300), 1.0)), 0.0)
+                value = value + np.where(~seen & known, back[c], 0.0)
+            often = ~seen & (w >= 0)
+            value[often] += np.log10(np.maximum(p1[w[often]], 1e-300))
             k = int(at.max()) + 1
             sums = np.bincount(at, np.repeat(value, n), k)
             texts = np.flatnonzero(np.bincount(at, minlength=k))
-            chunk = tables.column("chunk")[r].as_py()
-            rare = np.repeat(miss & (w < 0), n)
+            rare = np.repeat(~seen & (w < 0), n)
             hashes = np.repeat(-(w + 1), n)[rare]
             out[0].append(np.full(len(texts) + len(hashes), chunk, np.int64))
             out[1].append(np.concatenate([texts, at[rare]]).astype(np.int32))
@@ -518,20 +571,6 @@ def _look_up(shared):
     return run
 
 
-def _find(tb, tw, b, w) -> np.ndarray:
-    """Position of each pair (b, w) among the sorted pairs (tb, tw), -1 if absent."""
-    if not len(tb):
-        return np.full(len(b), -1)
-    order = np.lexsort((np.append(np.zeros(len(tb), np.int8), np.ones(len(b), np.int8)),
-                        np.append(tw, w), np.append(tb, b)))
-    mine = order >= len(tb)
-    last = np.maximum.accumulate(np.where(mine, -1, order))  # the table's pair at or before
-    at = np.empty(len(b), np.int64)
-    at[order[mine] - len(tb)] = last[mine]
-    ok = (at >= 0) & (tb[at] == b) & (tw[at] == w)
-    return np.where(ok, at, -1)
-
-
 def score(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark, m = docs.sparkSession, model.shared

@@ -178,9 +178,9 @@ def op12_hard_negatives(spark, sf_dir):
 #: crc32 bit by bit, since DuckDB has no such function.
 TRIE_SQL = """
 WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
-                  coalesce(text, '')) AS at, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x
+                  coalesce(text, '')) AS pos, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x
            FROM conversations WHERE conv_id IS NOT NULL),
-o AS (SELECT c, list(x ORDER BY at) AS x FROM t GROUP BY c),
+o AS (SELECT c, list(x ORDER BY pos) AS x FROM t GROUP BY c),
 h AS (SELECT c, x, xor(list_reduce(list_concat([4294967295::UBIGINT],
         list_transform(string_split(c::VARCHAR, ''), lambda d: ascii(d)::UBIGINT)),
         lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
