@@ -13,9 +13,12 @@ from __future__ import annotations
 
 import math
 import re
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -37,11 +40,47 @@ GRIDS = {
     "mlp": [{"hidden": h} for h in [(64, 32), (128, 64), (128, 64, 32)]],
 }
 SPARK_MAX_DEPTH = 30
+SIDE_BY_SIDE = 8
 
 
-def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+def side_by_side(spark, calls, width: int = SIDE_BY_SIDE) -> list:
+    """Results, in order, of independent driver-side calls that each run
+    their own jobs: at most ``width`` at a time, each thread in a scheduler
+    pool of its own (fair shares where the cluster schedules fairly) and with
+    the caller's job group and other local properties.  The first error is
+    raised after the running calls have ended."""
+    def run(i, call):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"side-{i % width}")
+        return call()
+
+    with ThreadPoolExecutor(max_workers=width) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(run), i, c) for i, c in enumerate(calls)]
+        return [w.result() for w in waiting]
+
+
+@dataclass(frozen=True)
+class FitStats:
+    """What every fit on the same rows needs: class sizes and feature moments."""
+    classes: dict
+    moments: dict
+
+    @property
+    def rows(self) -> int:
+        return sum(self.classes.values())
+
+
+def fit_stats(train: DataFrame, features, label: str) -> FitStats:
+    """Two small aggregates, shared by all settings that are fitted on ``train``."""
+    return FitStats(_class_sizes(train, label), moments(train, features))
+
+
+def _class_sizes(df: DataFrame, label: str) -> dict:
+    return {r[0]: r[1] for r in df.groupBy(label).count().collect()}     # one row per class
+
+
+def class_weights(df: DataFrame, label: str, out: str = "weight", counts: dict | None = None) -> DataFrame:
     """Balanced weights n / (2 n_c) (one count per class, as literals)."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}     # one row per class
+    counts = _class_sizes(df, label) if counts is None else counts
     n, k = sum(counts.values()), len(counts)
     expr = None
     for c, nc in counts.items():
@@ -50,9 +89,8 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     return df.withColumn(out, expr if expr is not None else F.lit(1.0))
 
 
-def scaler_stage(df: DataFrame, features) -> SQLTransformer:
-    """Population z-scores with the statistics of ``df`` frozen into SQL."""
-    st = moments(df, features)
+def scaler_stage(st: dict, features) -> SQLTransformer:
+    """Population z-scores with the moments ``st`` frozen into SQL."""
     parts = []
     for c in features:
         m, s = st[c]
@@ -107,19 +145,21 @@ def fit_sample(train: DataFrame, label: str, rows: int | None, key: str = "row_i
 
 def fit(train: DataFrame, features, label: str = "label_fault", kind: str = "rf", params: dict | None = None,
         weighted: bool = True, seed: int = 42, num_trees: int = 20, max_iter: int = 100,
-        rff_components: int = 100) -> PipelineModel:
+        rff_components: int = 100, stats: FitStats | None = None) -> PipelineModel:
     """Scale -> (RFF) -> assemble -> classifier, as one PipelineModel.
-    The class weights are those of the rows it is fitted on."""
+    The class weights are those of the rows it is fitted on; ``stats`` of
+    these rows, if known, save their aggregates."""
     params = dict(params or {})
     features = list(features)
     weight = "_weight" if weighted else None
-    n = train.count()
+    stats = stats or fit_stats(train, features, label)
+    n = stats.rows
     if weighted:
-        train = class_weights(train, label, weight)
+        train = class_weights(train, label, weight, stats.classes)
     if kind == "tree":          # scale-invariant: keep raw units so rules read as the data
         stages, cols = [], list(features)
     else:
-        stages = [scaler_stage(train, features)]
+        stages = [scaler_stage(stats.moments, features)]
         cols = [f"{c}__z" for c in features]
     if kind == "svm":
         g = params.get("gamma", "scale")
@@ -162,23 +202,96 @@ def rate_settings(models, val: DataFrame, label: str = "label_fault", scorer: st
     return [got.get(i) or 0.0 for i in range(len(models))]
 
 
+def fit_settings(sample: DataFrame, features, settings, label: str = "label_fault", **kw) -> list:
+    """Models of several (kind, setting) on the same rows, fitted side by side."""
+    stats = fit_stats(sample, features, label)
+    return side_by_side(sample.sparkSession, [
+        lambda k=k, g=g: fit(sample, features, label, k, g, stats=stats, **kw) for k, g in settings])
+
+
+def best_setting(grid, ratings) -> int:
+    """Position of the best rating; of equals the first in the grid."""
+    return max(range(len(grid)), key=lambda i: (ratings[i], -i))
+
+
 def grid_search(train: DataFrame, val: DataFrame, features, kind: str, grid=None, label: str = "label_fault",
                 scorer: str = "f1_macro", fit_rows: int | None = None, **kw):
-    """Every setting is fitted on the training fold and rated on the
-    whole validation fold (macro-F1 or AP); the best one -- of equals the
-    first in the grid -- is fitted again on both folds.  ``fit_rows`` bounds
-    the rows of each fit.  Returns (model, setting, score)."""
+    """Every setting is fitted on the training fold, side by side, and
+    rated on the whole validation fold (macro-F1 or AP); the best one -- of
+    equals the first in the grid -- is fitted again on both folds.
+    ``fit_rows`` bounds the rows of each fit.  Returns (model, setting, score)."""
     grid = list(GRIDS[kind] if grid is None else grid)
     sample = fit_sample(train, label, fit_rows).cache()
-    ratings = rate_settings([fit(sample, features, label, kind, g, **kw) for g in grid], val, label, scorer)
+    ratings = rate_settings(fit_settings(sample, features, [(kind, g) for g in grid], label, **kw), val, label, scorer)
     sample.unpersist()
-    chosen = max(range(len(grid)), key=lambda i: (ratings[i], -i))
+    chosen = best_setting(grid, ratings)
     both = fit_sample(train.unionByName(val), label, fit_rows).cache()
     final = fit(both, features, label, kind, grid[chosen], **kw)
     both.unpersist()
     return final, grid[chosen], ratings[chosen]
 
 
+def regime_suite(regimes: dict, label: str = "label_fault", fit_rows: int | None = None, **kw) -> list[dict]:
+    """The four model kinds under several regimes.
+
+    ``regimes``: tag -> (rows with a ``fold`` column, features).  Each
+    regime's rows are cached once and its two fit samples (training fold;
+    training and validation) are drawn once for all kinds.  The searches of
+    all regimes, then the final fits, then the ratings of whole test folds
+    run side by side, so the time is that of the longest chain and not of
+    the sum of some hundred fits.  One dict per (tag, model)."""
+    spark = next(iter(regimes.values()))[0].sparkSession
+    settings = [(k, g) for k, grid in GRIDS.items() for g in grid]
+    held, distinct = {}, {}
+
+    def folds(df, features):
+        at = id(df)
+        if at not in distinct:      # regimes may share their split
+            d = df.cache()
+            f = {x: d.where(F.col("fold") == x) for x in ("train", "val", "test")}
+            parts = [fit_sample(f["train"], label, fit_rows).cache(),
+                     fit_sample(f["train"].unionByName(f["val"]), label, fit_rows).cache()]
+            n, faults = f["test"].agg(F.count("*"), F.sum(label).cast("long")).first()
+            distinct[at] = (d, f, parts, int(n), int(faults or 0))
+        return distinct[at]
+
+    for tag, (df, features) in regimes.items():
+        held[tag] = folds(df, features)
+    stats = {(tag, i): None for tag in regimes for i in (0, 1)}
+    got = side_by_side(spark, [lambda t=t, i=i: fit_stats(held[t][2][i], regimes[t][1], label) for t, i in stats])
+    stats = dict(zip(stats, got, strict=True))
+    tasks = [(tag, k, g) for tag in regimes for k, g in settings]
+    fitted = side_by_side(spark, [lambda t=t, k=k, g=g: fit(held[t][2][0], regimes[t][1], label, k, g,
+                                                            stats=stats[t, 0], **kw) for t, k, g in tasks])
+    by = {}
+    for (tag, k, _), m in zip(tasks, fitted, strict=True):
+        by.setdefault((tag, k), []).append(m)
+    rated = dict(zip(by, side_by_side(spark, [lambda t=t, ms=ms: rate_settings(ms, held[t][1]["val"], label)
+                                              for (t, _), ms in by.items()]), strict=True))
+    chosen = {(t, k): best_setting(GRIDS[k], r) for (t, k), r in rated.items()}
+    final = dict(zip(chosen, side_by_side(spark, [
+        lambda t=t, k=k, i=i: fit(held[t][2][1], regimes[t][1], label, k, GRIDS[k][i], stats=stats[t, 1], **kw)
+        for (t, k), i in chosen.items()]), strict=True))
+
+    def test_metrics(tag):
+        scored = [score_rows(final[tag, k], held[tag][1]["test"], keep=[label]).withColumn("model", F.lit(k))
+                  for k in GRIDS]
+        s = reduce(DataFrame.unionByName, scored).cache()      # read by both tables below
+        out = {r["model"]: r.asDict() for r in J.binary_metrics(s, label, "yhat", keys=["model"]).collect()}
+        for r in J.auc_ap(s, label, "p_fault", keys=["model"]).collect():
+            out[r["model"]] |= r.asDict()
+        s.unpersist()
+        return out
+
+    tested = dict(zip(regimes, side_by_side(spark, [lambda t=t: test_metrics(t) for t in regimes]), strict=True))
+    for d, _, parts, _, _ in distinct.values():
+        for x in (*parts, d):
+            x.unpersist()
+    return [{**tested[t].get(k, {"model": k}), "tag": t, "best_params": str(GRIDS[k][i]),
+             "val_f1_macro": float(rated[t, k][i]), "n_test": held[t][3], "n_test_faults": held[t][4]}
+            for (t, k), i in chosen.items()]
+
+
 def impurity_importance(model: PipelineModel, features) -> list:
     """(feature, importance) sorted descending (sums to 1)."""
     imp = model.stages[-1].featureImportances.toArray()

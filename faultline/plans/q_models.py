@@ -172,7 +172,6 @@ def q_stress_diagnostics(spark, sf_dir):
 
 SUITE = dict(num_trees=10, max_iter=20, rff_components=30)
 SUITE_FIT_ROWS = 4000
-_suites: dict = {}
 
 
 def suite_rows(spark, sf_dir):
@@ -180,39 +179,25 @@ def suite_rows(spark, sf_dir):
     and model kind, the grid is searched on the validation fold and the
     choice refitted on train + validation (each fit on at most
     ``SUITE_FIT_ROWS`` rows), then rated on the whole test fold.  One row per
-    (model, regime), kept for the session since two queries read it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _suites:
-        base = L.k_of_n(tele(spark, sf_dir), RULE4).select("row_id", "ts", *FEATS, "label_fault").cache()
-        guard_feats = S.leakage_guard(FEATS, RULE4)
-        ids = E.event_ids(base, "label_fault", gap_min=5.0)
-        regimes = {
-            "processed": (G.split_stratified(base, "label_fault"), FEATS),
-            "processed_guard": (G.split_stratified(base, "label_fault"), guard_feats),
-            "processed_time": (G.split_chronological(base), FEATS),
-            "processed_event": (G.split_event_group(ids), FEATS),
-        }
-        outs = []
-        for tag, (df, feats) in regimes.items():
-            df = df.select("row_id", *FEATS, "label_fault", "fold").cache()
-            tr, va, te = _folds(df)
-            n, faults = te.agg(F.count("*"), F.sum("label_fault").cast("long")).first()
-            for kind in M.GRIDS:
-                m, best_p, best = M.grid_search(tr, va, feats, kind, fit_rows=SUITE_FIT_ROWS, **SUITE)
-                row = _test_metrics(m, te, kind, tag).first().asDict()
-                outs.append({**row, "best_params": str(best_p), "val_f1_macro": float(best),
-                             "n_test": int(n), "n_test_faults": int(faults or 0)})
-            df.unpersist()
-        base.unpersist()
-        _suites[key] = outs
-    return _suites[key]
+    (model, regime)."""
+    base = L.k_of_n(tele(spark, sf_dir), RULE4).select("row_id", "ts", *FEATS, "label_fault").cache()
+    keep = ["row_id", *FEATS, "label_fault", "fold"]
+    random = G.split_stratified(base, "label_fault").select(*keep)
+    rows = M.regime_suite({
+        "processed": (random, FEATS),
+        "processed_guard": (random, S.leakage_guard(FEATS, RULE4)),
+        "processed_time": (G.split_chronological(base).select(*keep), FEATS),
+        "processed_event": (G.split_event_group(E.event_ids(base, "label_fault", gap_min=5.0)).select(*keep), FEATS),
+    }, fit_rows=SUITE_FIT_ROWS, **SUITE)
+    base.unpersist()
+    return rows
 
 
 def suite_frame(spark, sf_dir):
     cols = ["model", "tag", "accuracy", "precision_macro", "recall_macro", "f1_macro", "recall_fault", "auc_roc",
             "avg_precision", "val_f1_macro", "best_params", "n_test", "n_test_faults"]
     kinds = {"model": "string", "tag": "string", "best_params": "string", "n_test": "bigint", "n_test_faults": "bigint"}
-    return spark.createDataFrame([tuple(r[c] for c in cols) for r in suite_rows(spark, sf_dir)],
+    return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in suite_rows(spark, sf_dir)],
                                  ", ".join(f"{c} {kinds.get(c, 'double')}" for c in cols))
 
 
@@ -226,7 +211,7 @@ def q_robustness_suite(spark, sf_dir):
 def q_robustness_overview_suite(spark, sf_dir):
     """F3 over the suite's regime tables."""
     s = suite_frame(spark, sf_dir)
-    tags = [r["tag"] for r in s.select("tag").distinct().collect()]
+    tags = [r["tag"] for r in s.select("tag").distinct().collect()]      # four regimes
     return finish(FC.robustness_overview({t: s.where(F.col("tag") == t) for t in tags}))
 
 
