@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import US_PER_S, day_key, epoch_us, month_key, to_ntz, us_to_ts, week_key
+from ..functions.exact import digits_of, mean as exact_mean, tallies
 from ..plans.order import (RN, SEG, attach, carry_prev, choose_strategy, fill_forward_backward,
                            local_window, pin, prepare, running_sums, seg_window)
 
@@ -33,13 +34,16 @@ def rolling_time_mean(df: DataFrame, cols, window_s: float = 300.0, ts: str = "t
     One meaning in both plans: of the rows that share a time only the row
     itself and those before it in (time, row id) order count; a row without
     a time has a window of its own; NULL keys are one group; no row is lost
-    or repeated, whatever its id.  Sums are exact decimals.
-
-    Without a hot key the window is a per-key range frame, less the later
-    rows of the same time.  With a hot key -- or no key at all -- it is a
-    difference of running sums on the segmented scan: each row is split into
-    itself and a *probe* at t - window (after the data rows of that time),
-    and the two meet again in one aggregation by a row number."""
+    or repeated, whatever its id.  Sums are exact for any doubles (integer
+    digits, ``functions/exact.py``); NaN counts as missing, a window with an
+    infinity has it as its mean (NaN with both).
+
+    A mean is the difference of two exact running sums: up to the row, and up
+    to the window's opening.  Without a hot key both are growing frames of
+    one sort per key.  With a hot key -- or no key at all -- they come from
+    the segmented scan: ids and digits only, each row as itself and as a
+    *probe* at t - window (after the data rows of that time); the means meet
+    their rows again by row number."""
     keys, cols = list(keys), list(cols)
     strategy = choose_strategy(df, keys, strategy)      # resolved once, reused by the fill
     means = _range_means if strategy == "window" else _prefix_means
@@ -49,49 +53,66 @@ def rolling_time_mean(df: DataFrame, cols, window_s: float = 300.0, ts: str = "t
     return out
 
 
-_DEC = "decimal(38,12)"
+def _exact_parts(places, cols):
+    """Names and columns of what is summed: digits and tallies per column."""
+    parts = {}
+    for i, c in enumerate(cols):
+        for j, x in enumerate([*tallies(F.col(c)), *places[c].split(F.col(c))]):
+            parts[f"_x{i}_{j}"] = x
+    return parts
+
 
+def _exact_means(places, cols, of):
+    """Mean per column; ``of(name)`` is the window's sum of a part."""
+    out = {}
+    for i, c in enumerate(cols):
+        n, up, down, *digits = [of(f"_x{i}_{j}") for j in range(places[c].count + 3)]
+        out[c] = exact_mean(places[c], digits, n, up, down)
+    return out
 
-def _mean(total, count):
-    return total.cast("double") / F.nullif(count.cast("double"), F.lit(0.0))
+
+def _alone(value, ts):
+    """A row without a time has only itself in its window (NaN is missing there too)."""
+    x = value.cast("double")
+    return lambda m: F.when(ts.isNull(), F.when(~F.isnan(x), x)).otherwise(m)
 
 
 def _range_means(df, cols, width_us, ts, row_id, keys):
-    us = epoch_us(ts)
-    part = keys or [F.lit(0)]
-    upto = Window.partitionBy(*part).orderBy(us).rangeBetween(-width_us + 1, 0)
-    later = Window.partitionBy(*part, us).orderBy(F.col(row_id).asc_nulls_last()).rowsBetween(
-        1, Window.unboundedFollowing)
-    out = {}
-    for c in cols:
-        dec, n = F.coalesce(F.col(c).cast(_DEC), F.lit(0).cast(_DEC)), F.col(c).isNotNull().cast("long")
-        total = F.sum(dec).over(upto) - F.coalesce(F.sum(dec).over(later), F.lit(0).cast(_DEC))
-        count = F.sum(n).over(upto) - F.coalesce(F.sum(n).over(later), F.lit(0))
-        out[c] = F.when(F.col(ts).isNull(), F.col(c).cast("double")).otherwise(_mean(total, count))
-    return df.withColumns(out)
+    places = digits_of(df, cols)
+    parts = _exact_parts(places, cols)
+    d = df.withColumns({"_t": epoch_us(ts), **parts})
+    part = Window.partitionBy(*(keys or [F.lit(0)]))
+    upto = part.orderBy(F.col("_t").asc_nulls_first(), F.col(row_id).asc_nulls_last()) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    opened = part.orderBy(F.col("_t").asc_nulls_first()).rangeBetween(Window.unboundedPreceding, -width_us)
+    # the finer order first: its sort serves the other frame too
+    d = d.withColumns({f"_u{x}": F.sum(x).over(upto) for x in parts})
+    d = d.withColumns({f"_o{x}": F.coalesce(F.sum(x).over(opened), F.lit(0)) for x in parts})
+    d = d.withColumns({f"_d{x}": F.col(f"_u{x}") - F.col(f"_o{x}") for x in parts})
+    means = _exact_means(places, cols, lambda x: F.col(f"_d{x}"))
+    out = d.withColumns({c: _alone(F.col(c), F.col(ts))(m) for c, m in means.items()})
+    return out.drop("_t", *[f"{k}{x}" for x in parts for k in ("", "_u", "_o", "_d")])
 
 
 def _prefix_means(df, cols, width_us, ts, row_id, keys):
-    zero, none = F.lit(0).cast(_DEC), F.lit(0).cast("long")
-    d = df.select(*[F.col(k) for k in keys], F.monotonically_increasing_id().alias("_u"),
-                  F.col(row_id).alias("_rid"), epoch_us(ts).alias("_t"), F.struct("*").alias("_row"))
-    val = lambda c: F.col("_row")[c]
-    point = F.struct(F.lit(0).alias("_kind"), F.col("_t"), F.col("_row"),
-                     *[F.coalesce(val(c).cast(_DEC), zero).alias(f"_s_{i}") for i, c in enumerate(cols)],
-                     *[val(c).isNotNull().cast("long").alias(f"_c_{i}") for i, c in enumerate(cols)])
+    places = digits_of(df, cols)
+    parts = list(_exact_parts(places, cols))
+    # numbered and pinned once: the narrow scan and the rows it returns to see the same numbers
+    rows = pin(df.withColumn("_u", F.monotonically_increasing_id()))
+    d = rows.select(*[F.col(k) for k in keys], "_u", F.col(row_id).alias("_rid"), epoch_us(ts).alias("_t"),
+                    *[x.alias(n) for n, x in _exact_parts(places, cols).items()])
+    point = F.struct(F.lit(0).alias("_kind"), F.col("_t"), *parts)
     probe = F.struct(F.lit(1).alias("_kind"), (F.col("_t") - F.lit(width_us)).alias("_t"),
-                     F.when(F.lit(False), F.col("_row")).alias("_row"),
-                     *[zero.alias(f"_s_{i}") for i in range(len(cols))],
-                     *[none.alias(f"_c_{i}") for i in range(len(cols))])
-    d = d.select(*keys, "_u", "_rid", F.inline(F.array(point, probe)))
-    sums = [f"_{k}_{i}" for k in "sc" for i in range(len(cols))]
-    r = running_sums(d, keys, ["_t", "_kind", "_rid"], sums, strategy="ranged")
-    at = F.col("_kind") == 0
-    diff = [(F.max(F.when(at, F.col(f"cum_{x}"))) - F.max(F.when(~at, F.col(f"cum_{x}")))).alias(x) for x in sums]
-    g = r.groupBy("_u").agg(F.any_value("_row", F.lit(True)).alias("_row"), *diff)
-    out = {c: F.when(F.col(ts).isNull(), F.col(c).cast("double")).otherwise(
-        _mean(F.col(f"_s_{i}"), F.col(f"_c_{i}"))) for i, c in enumerate(cols)}
-    return g.select("_row.*", *sums).withColumns(out).drop(*sums)
+                     *[F.lit(0).cast("bigint").alias(x) for x in parts])
+    d = d.where(F.col("_t").isNotNull()).select(*keys, "_u", "_rid", F.inline(F.array(point, probe)))
+    r = running_sums(d, keys, ["_t", "_kind", "_rid"], parts, strategy="ranged")
+    at = F.when(F.col("_kind") == 0, 1).otherwise(-1)
+    g = r.groupBy("_u").agg(*[F.sum(at * F.col(f"cum_{x}")).alias(x) for x in parts])
+    g = g.select(F.col("_u").alias("_v"), *[m.alias(f"_m{i}") for i, m in
+                                            enumerate(_exact_means(places, cols, F.col).values())])
+    out = rows.join(g, F.col("_u") == F.col("_v"), "left")
+    out = out.withColumns({c: _alone(F.col(c), F.col(ts))(F.col(f"_m{i}")) for i, c in enumerate(cols)})
+    return out.drop("_u", "_v", *[f"_m{i}" for i in range(len(cols))])
 
 
 def rolling_row_mean(df: DataFrame, cols, n: int = 5, ts: str = "ts", row_id: str = "row_id", keys=(),

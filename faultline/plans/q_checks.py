@@ -309,3 +309,46 @@ def q_class_ellipse_pca(spark, sf_dir):
     t = L.k_of_n(tele(spark, sf_dir), RULE4)
     emb = H.pca_project(t, PAIR, keep=["label_fault"])
     return finish(H.class_ellipse(emb, "PC1", "PC2", "label_fault").select("label_fault", "n", "width", "height"))
+
+
+# ------------------------------------------------------------ D2 over any double
+_EXTREME_SQL = f"""
+WITH {TELE_SQL},
+x AS (SELECT row_id, ts, asset, CAST(vibration AS HUGEINT) AS k,
+             CAST(right(row_id, 9) AS BIGINT) AS r FROM tele),
+y AS (SELECT *, r % 101 = 3 AND asset % 5 = 0 AS up, r % 103 = 5 AND asset % 5 = 0 AS down, r % 17 = 0 AS gone FROM x),
+w AS (SELECT row_id, sum(CASE WHEN up OR down OR gone THEN 0 ELSE k END) OVER r AS s,
+             count(CASE WHEN NOT gone OR up OR down THEN 1 END) OVER r AS n,
+             count(CASE WHEN up THEN 1 END) OVER r AS u, count(CASE WHEN down AND NOT up THEN 1 END) OVER r AS d,
+             sum(CASE WHEN up OR down OR gone THEN 0 ELSE k END) OVER l AS ls,
+             count(CASE WHEN NOT gone OR up OR down THEN 1 END) OVER l AS ln,
+             count(CASE WHEN up THEN 1 END) OVER l AS lu, count(CASE WHEN down AND NOT up THEN 1 END) OVER l AS ld FROM y
+      WINDOW r AS (PARTITION BY asset ORDER BY epoch_us(ts) RANGE BETWEEN 863999999999 PRECEDING AND CURRENT ROW),
+             l AS (PARTITION BY asset, ts ORDER BY row_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+v AS (SELECT row_id, CAST(s - coalesce(ls, 0) AS DOUBLE) AS s, n - coalesce(ln, 0) AS n, u - coalesce(lu, 0) AS u,
+             d - coalesce(ld, 0) AS d FROM w)
+SELECT row_id, CASE WHEN n = 0 THEN 'none' WHEN u > 0 AND d > 0 THEN 'nan' WHEN u > 0 THEN 'inf' WHEN d > 0 THEN '-inf'
+       ELSE 'finite' END AS kind, round(CASE WHEN n > 0 AND u = 0 AND d = 0 THEN s / n ELSE 0 END, 6) AS mean_scaled FROM v"""
+
+
+def _extreme(strategy):
+    def q(spark, sf_dir):
+        # each asset has a scale of its own, so a mean over it is known up to the scale
+        scale = F.when(F.col("asset") % 3 == 0, F.lit(1e-14)).when(F.col("asset") % 3 == 1, F.lit(1e27)).otherwise(F.lit(1.0))
+        five, r = F.col("asset") % 5 == 0, F.expr("right(row_id, 9)").cast("bigint")
+        v = F.when((r % 101 == 3) & five, F.lit(float("inf"))) \
+            .when((r % 103 == 5) & five, F.lit(float("-inf"))) \
+            .when(r % 34 == 0, F.lit(float("nan"))).when(r % 17 == 0, F.lit(None)) \
+            .otherwise(F.col("vibration").cast("bigint").cast("double") * scale)
+        t = tele(spark, sf_dir).select("row_id", "ts", "asset", v.alias("v"))
+        out = D.rolling_time_mean(t, ["v"], 864000.0, keys=["asset"], fill=False, strategy=strategy)
+        m = F.col("v")
+        kind = F.when(m.isNull(), "none").when(F.isnan(m), "nan").when(m == float("inf"), "inf") \
+            .when(m == float("-inf"), "-inf").otherwise("finite")
+        return finish(out.select("row_id", kind.alias("kind"),
+                                 F.when(kind == "finite", m / scale).otherwise(0.0).alias("mean_scaled")))
+    return q
+
+
+register("rolling_time_mean_extreme", _EXTREME_SQL)(_extreme("window"))
+register("rolling_time_mean_extreme_ranged", _EXTREME_SQL)(_extreme("ranged"))
