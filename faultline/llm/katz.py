@@ -54,10 +54,9 @@ START, END, FIRST = 0, 1, 2
 CUT = 5
 FREQUENT = 1 << 19
 FREQUENT_PAIRS = 1 << 18
-CHUNK_TOKENS, CHUNK_TEXTS = 3_000_000, 60_000
-BUCKET_TOKENS = 4_000_000
+CHUNK_TOKENS, CHUNK_TEXTS = 1_500_000, 60_000
+BUCKET_TOKENS = 3_000_000
 LEAST_BUCKETS = 40
-MEMO = 400_000
 _SHIFT = 21  # codes of frequent words take fewer bits
 
 
@@ -80,20 +79,22 @@ def discounts(n: list[int]) -> list[float]:
 
 # ---- words and codes -------------------------------------------------------
 
-class Codes(dict):
-    """word -> code, by the sorted hashes of the frequent words."""
-
-    def __init__(self, hashes: np.ndarray, ranks: np.ndarray):
-        self.hashes, self.ranks = hashes, ranks
+class _Numbers(dict):
+    """word -> number in order of appearance."""
 
     def __missing__(self, word):
-        if len(self) > MEMO:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word) >> 1
-        at = int(np.searchsorted(self.hashes, h))
-        found = at < len(self.hashes) and self.hashes[at] == h
-        self[word] = c = int(self.ranks[at]) if found else -h - 1
-        return c
+        self[word] = n = len(self)
+        return n
+
+
+def codes_of(vocabulary, hashes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Codes of words: ranks of the frequent ones (by their sorted hashes), negated hashes of the others."""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, vocabulary), np.uint64, len(vocabulary))
+    h = (h >> np.uint64(1)).astype(np.int64)
+    if not len(hashes):
+        return -h - 1
+    at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+    return np.where(hashes[at] == h, ranks[at].astype(np.int64), -h - 1)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -171,35 +172,16 @@ def _starts(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
 
 
-def counted(b: np.ndarray, w: np.ndarray, c: np.ndarray | None = None):
-    """Distinct pairs in order with their counts (sums of ``c``)."""
+def counted(b: np.ndarray, w: np.ndarray, c: np.ndarray):
+    """Distinct pairs of codes in order with the sums of their counts."""
     keys = Keys(b, w)
     key = keys.pack(b, w)
-    if c is None:
-        key.sort()
-        at = _starts(key)
-        return *keys.unpack(key[at]), np.diff(np.append(at, len(key)))
     order = np.argsort(key)
     key = key[order]
     at = _starts(key)
     return *keys.unpack(key[at]), np.add.reduceat(c[order], at)
 
 
-def grouped(b: np.ndarray, w: np.ndarray, i: np.ndarray, n: int):
-    """(b, w, starts, i in order): distinct pairs in order and the text numbers (below ``n``) of each."""
-    keys, bits = Keys(b, w), max(0, n - 1).bit_length()
-    if 2 * keys.width + bits <= 63:
-        key = keys.pack(b, w) << bits | i
-        key.sort()
-        i, key = key & ((1 << bits) - 1), key >> bits
-    else:
-        key = keys.pack(b, w)
-        order = np.argsort(key, kind="stable")
-        i, key = i[order], key[order]
-    at = _starts(key)
-    return *keys.unpack(key[at]), at, i
-
-
 def _chunks(batches, tokens: int = CHUNK_TOKENS):
     """Lists of rows (text, ...): texts of about ``tokens`` tokens together, or one text."""
     rows, size = [], 0
@@ -216,19 +198,61 @@ def _chunks(batches, tokens: int = CHUNK_TOKENS):
         yield rows
 
 
-def _sequence(texts: list[str], codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(contexts, words, text numbers) of all pairs of some texts."""
-    w, lengths = [], np.empty(len(texts), np.int64)
+@dataclass
+class Pairs:
+    """The pairs of some texts: ``codes`` of the words at hand, in unsigned order, and per token the numbers of
+    context and word in it and of its text."""
+    codes: np.ndarray
+    b: np.ndarray
+    w: np.ndarray
+    text: np.ndarray
+    n_texts: int
+
+    @property
+    def width(self) -> int:
+        return len(self.codes).bit_length()
+
+    def _unpacked(self, key):
+        return key >> self.width, key & ((1 << self.width) - 1)
+
+    def counted(self):
+        """(b, w, count): the numbers of distinct pairs, in order."""
+        key = self.b << self.width | self.w
+        key.sort()
+        at = _starts(key)
+        return *self._unpacked(key[at]), np.diff(np.append(at, len(key)))
+
+    def grouped(self):
+        """(b, w, starts, texts): distinct pairs in order, where each starts, and the text of every occurrence."""
+        bits = max(0, self.n_texts - 1).bit_length()
+        key = self.b << self.width | self.w
+        if 2 * self.width + bits <= 63:
+            key = key << bits | self.text
+            key.sort()
+            text, key = key & ((1 << bits) - 1), key >> bits
+        else:
+            order = np.argsort(key, kind="stable")
+            text, key = self.text[order], key[order]
+        at = _starts(key)
+        return *self._unpacked(key[at]), at, text
+
+
+def _read(texts: list[str], m: dict) -> Pairs:
+    numbers, w, lengths = _Numbers(), [], np.empty(len(texts), np.int64)
+    end = np.array([-1], np.int64)
     for i, t in enumerate(texts):
         found = words(t)
         lengths[i] = len(found) + 1
-        w.append(np.fromiter(map(codes.__getitem__, found), np.int64, len(found)))
-        w.append(np.array([END], np.int64))
-    w = np.concatenate(w)
+        w += [np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)), end]
+    codes = np.append(codes_of(numbers, m["hashes"], m["ranks"]), [START, END])
+    order = np.argsort(codes.view(np.uint64))
+    rank = np.empty(len(codes), np.int64)
+    rank[order] = np.arange(len(codes))
+    w = rank[np.concatenate(w)]  # -1 is the end, the last one
     b = np.empty_like(w)
     b[1:] = w[:-1]
-    b[np.append(0, np.cumsum(lengths)[:-1])] = START
-    return b, w, np.repeat(np.arange(len(texts), dtype=np.int64), lengths)
+    b[np.append(0, np.cumsum(lengths)[:-1])] = rank[-2]
+    return Pairs(codes[order], b, w, np.repeat(np.arange(len(texts), dtype=np.int64), lengths), len(texts))
 
 
 # ---- the model --------------------------------------------------------------
@@ -298,10 +322,10 @@ def _pair_blobs(train: DataFrame, shared) -> DataFrame:
     """(bucket, b, w, c): pairs of each chunk with their counts."""
     def run(batches):
         m = shared.value
-        codes = Codes(m["hashes"], m["ranks"])
         for rows in _chunks(batches, m["chunk"]):
-            b, w, _ = _sequence([r[0] for r in rows], codes)
-            b, w, c = counted(b, w)
+            pairs = _read([r[0] for r in rows], m)
+            b, w, c = pairs.counted()
+            b, w = pairs.codes[b], pairs.codes[w]
             k = bucket_of(b, w, salts(m), m["buckets"])
             yield from _dealt(k, m["buckets"], lambda i, b=b, w=w, c=c: (rising(b[i]), squeeze(w[i]),
                                                                           squeeze(c[i].astype(np.uint32))), ["b", "w", "c"])
@@ -464,34 +488,40 @@ def _read_texts(docs: DataFrame, shared) -> DataFrame:
     """What the texts say by themselves: a row per text, its rare words, and its other pairs by bucket."""
     def run(batches):
         m = shared.value
-        codes, schema = Codes(m["hashes"], m["ranks"]), _parts_schema()
-        den = m["n"] + 0.5 * (m["v"] + 1)
-        base = np.log10((m["counts"] + 0.5) / den)
+        schema = _parts_schema()
+        base = np.log10((m["counts"] + 0.5) / (m["n"] + 0.5 * (m["v"] + 1)))
         for rows in _chunks(batches, m["chunk"]):
             texts = list({r[1:]: r[0] for r in rows}.items())
             chunk = np.int64(xxhash.xxh64_intdigest(np.array([x[0] for x in texts], np.int64).tobytes()) >> 1)
-            b, w, at = _sequence([x[1] for x in texts], codes)
-            k = len(texts)
-            often = w >= 0
-            plain = np.bincount(at, np.where(often, base[np.maximum(w, 0)], 0.0), k)
-            seen = np.bincount(at, often & (m["counts"][np.maximum(w, 0)] > 0), k).astype(np.int64)
-            key = np.where(often & (b >= 0), b << _SHIFT | np.maximum(w, 0), -1)
-            pos = np.minimum(np.searchsorted(m["keys"], key), max(0, len(m["keys"]) - 1))
-            hit = m["keys"][pos] == key if len(m["keys"]) else np.zeros(len(key), bool)
-            score = np.bincount(at, np.where(hit, m["log_keys"][pos], 0.0) if len(m["keys"]) else None, k) \
-                if len(m["keys"]) else np.zeros(k)
+            pairs = _read([x[1] for x in texts], m)
+            k, codes = pairs.n_texts, pairs.codes
+            often = codes >= 0
+            own_base = np.where(often, base[np.maximum(codes, 0)], 0.0)
+            own_known = often & (m["counts"][np.maximum(codes, 0)] > 0)
+            plain = np.bincount(pairs.text, own_base[pairs.w], k)
+            seen = np.bincount(pairs.text, own_known[pairs.w], k).astype(np.int64)
+            size = np.bincount(pairs.text, minlength=k).astype(np.int64)
+            far = np.flatnonzero(~often[pairs.w])
+            rare, i, count = counted(codes[pairs.w[far]], pairs.text[far], np.ones(len(far), np.int64))
+            b, w, starts, at = pairs.grouped()
+            b, w, n = codes[b], codes[w], np.diff(np.append(starts, len(at)))
+            hit, score = np.zeros(len(b), bool), np.zeros(k)
+            if len(m["keys"]):
+                key = np.where((b >= 0) & (w >= 0), b << _SHIFT | w, -1)
+                pos = np.minimum(np.searchsorted(m["keys"], key), len(m["keys"]) - 1)
+                hit = m["keys"][pos] == key
+                score = np.bincount(at, np.repeat(np.where(hit, m["log_keys"][pos], 0.0), n), k)
             h = np.array([x[0] for x in texts], np.int64).reshape(-1, 2)
             yield _part(k, _TEXT, schema, chunk=pa.array(np.full(k, chunk)), i=pa.array(np.arange(k, dtype=np.int32)),
-                        h1=pa.array(h[:, 0]), h2=pa.array(h[:, 1]), n=pa.array(np.bincount(at, minlength=k).astype(np.int64)),
-                        known=pa.array(seen), base=pa.array(plain), score=pa.array(score))
-            rare, i, count = counted(w[~often], at[~often])
+                        h1=pa.array(h[:, 0]), h2=pa.array(h[:, 1]), n=pa.array(size), known=pa.array(seen),
+                        base=pa.array(plain), score=pa.array(score))
             for lo in range(0, len(rare), 50_000):
                 part = slice(lo, lo + 50_000)
                 yield _part(len(rare[part]), _RARE, schema, chunk=pa.array(np.full(len(rare[part]), chunk)),
-                            i=pa.array(i[part].astype(np.int32)), h=pa.array(-(rare[part] + 1)),
-                            k=pa.array(count[part].astype(np.int64)))
-            b, w, starts, at = grouped(b[~hit], w[~hit], at[~hit], k)
-            at, c = at.astype(np.uint16), np.diff(np.append(starts, len(at)))
+                            i=pa.array(i[part].astype(np.int32)), h=pa.array(-(rare[part] + 1)), k=pa.array(count[part]))
+            at = at[np.repeat(~hit, n)].astype(np.uint16)
+            b, w, c = b[~hit], w[~hit], n[~hit]
+            starts = np.cumsum(c) - c
             bucket = bucket_of(b, w, salts(m), m["buckets"])
 
             def blob(i, b=b, w=w, c=c, at=at, starts=starts):
