@@ -174,6 +174,8 @@ class Index:
         m = len(self.terms)
         # a chunk belongs to its own passage and to the one before it
         key = np.concatenate([chunk * m + ids, (chunk[later] - 1) * m + ids[later]])
+        if not len(key):
+            return none, none, none, none
         key.sort()
         key = key[np.append(True, key[1:] != key[:-1])]
         passage, term = key // m, key % m
