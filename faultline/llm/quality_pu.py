@@ -11,24 +11,26 @@ followed the other way, which keeps a flexible model from overfitting it.
 The prior is the smallest ratio, over score thresholds, of the share of
 held-back unlabelled text to the share of held-back positives above it.
 
-The scores are then shifted so that all but ``KEEP_OUT`` of the positives get
-0.5 or more.
+The border is the risk's own: nothing moves it afterwards.
 
 Inputs of a score are statistics of the text alone (character classes, word
 shapes, repetition, lines).  Each is cut at quantiles into bins and every
 bin has a weight, so heavy tails and one-sided evils need no scaling.
 
-The classifier is fitted on at most ``FIT_ROWS`` documents, drawn by a hash
-of their id (a bound on the fit alone); every whole text is scored, in one
-pass without a shuffle.
+The classifier is fitted on at most about ``POSITIVE_ROWS`` trusted positives
+and ``FIT_ROWS`` unlabelled documents, each drawn by a hash of the id (bounds
+on the fit alone; sparse labels all take part); every whole text is scored,
+in one pass without a shuffle.
 
 Edge cases: null and empty texts have zero for every statistic and get the
 score of those bins; repeated rows are scored alike; null ids are never
-labelled; without any positives the score is 0.5 for all; an empty table
+labelled; with fewer than two positives the score is 0.5 for all, with a
+warning; an empty table
 gives an empty result; extra columns are not read."""
 from __future__ import annotations
 
 import operator
+import warnings
 from collections import Counter
 
 import numpy as np
@@ -38,9 +40,8 @@ from pyspark.sql import functions as F
 
 from .common import held_out, ship, stored
 
-FIT_ROWS = 40_000
+FIT_ROWS, POSITIVE_ROWS = 30_000, 20_000
 THRESHOLD = 0.3
-KEEP_OUT = 0.003
 _PUNCT = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 FEATURES = [
     "log_words", "word_len", "upper", "digit", "space", "wide", "punct", "unique", "adjacent", "top_word",
@@ -130,6 +131,19 @@ class PUModel:
         k = bins.shape[1]
         return np.append(np.bincount(bins.ravel(), np.repeat(d, k), sum(len(e) + 1 for e in self.edges)), d.sum())
 
+    def risk_parts(self, bp, bu, pi):
+        """(positive part, negative part) of the unbiased risk, by bins of positives and unlabelled rows."""
+        zp, zu = self.logit(bp), self.logit(bu)
+        return pi * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - pi * np.logaddexp(0, zp).mean()
+
+    def risk_gradient(self, bp, bu, pi):
+        """The risk's gradient; where the negative part is below zero, its own one turned round."""
+        sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        zp, zu = self.logit(bp), self.logit(bu)
+        g_plus = self._spread(bp, pi * (sig(zp) - 1) / len(bp))
+        g_minus = self._spread(bu, sig(zu) / len(bu)) - self._spread(bp, pi * sig(zp) / len(bp))
+        return g_plus + g_minus if self.risk_parts(bp, bu, pi)[1] >= 0 else -g_minus
+
     def fit(self, pos: np.ndarray, unl: np.ndarray, steps: int = 300) -> PUModel:
         both = np.concatenate([pos, unl])
         self.edges = [np.unique(np.quantile(both[:, j], _QUANTILES)) for j in range(both.shape[1])]
@@ -142,16 +156,7 @@ class PUModel:
         self.prior = estimate_prior(self.logit(c), self.logit(d)) if len(c) and len(d) else 0.5
         pi = self.prior
 
-        def grad():
-            zp, zu = self.logit(bp), self.logit(bu)
-            minus = np.logaddexp(0, zu).mean() - pi * np.logaddexp(0, zp).mean()
-            g_plus = self._spread(bp, pi * (sig(zp) - 1) / len(bp))
-            g_minus = self._spread(bu, sig(zu) / len(bu)) - self._spread(bp, pi * sig(zp) / len(bp))
-            return g_plus + g_minus if minus >= 0 else -g_minus
-
-        self._descend(grad, steps)
-        # the decision border goes where trusted positives end: all but KEEP_OUT of them score 0.5 or more
-        self.bias -= float(np.quantile(self.logit(bp), KEEP_OUT))
+        self._descend(lambda: self.risk_gradient(bp, bu, pi), steps)
         return self
 
 
@@ -165,24 +170,34 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     return float(np.clip(qu[best] / max(qp[best], 1e-9), 0.05, 0.99))
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col="doc_id", text_col="text",
-        label_col="quality") -> PUModel:
-    """Fit on a bounded, hash-drawn sample: positives of the training fold and unlabelled documents."""
-    n = docs.count()
-    if not n:
-        return PUModel()
-    part = docs.where(F.pmod(F.xxhash64(F.lit("pu"), F.col(id_col)), F.lit(1 << 20))
-                      < int(min(1.0, fit_rows / n) * (1 << 20)))
-    rows = _feature_rows(part, id_col, text_col)
+def _drawn(rows: DataFrame, key: str, bound: int, n: int) -> DataFrame:
+    """About ``bound`` of ``n`` rows, by a hash of the key; all if they are fewer."""
+    if n <= bound:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(F.lit("pu"), F.col(key)), F.lit(1 << 40)) < int(bound / n * (1 << 40)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, positive_rows: int = POSITIVE_ROWS,
+        id_col="doc_id", text_col="text", label_col="quality") -> PUModel:
+    """Fit on bounded, hash-drawn samples, each with a bound of its own: at most about ``positive_rows`` trusted
+    positives of the training fold, however sparse labels are, and ``fit_rows`` unlabelled documents.
+
+    Fewer than two positives: a warning, and a model that scores 0.5 everywhere."""
     y = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).where("y is not null") \
         .groupBy("doc_id").agg(F.max("y").alias("y"))
-    got = rows.join(y, "doc_id", "left") \
-        .where(F.col("y").isNull() | ((F.col("y") == 1) & ~held_out("doc_id"))) \
-        .select((F.col("y") == 1).alias("y"), "x", F.xxhash64("doc_id").alias("h"))
-    t = stored(got, "pu-fit").toPandas().sort_values("h", kind="stable")
-    pos = np.array(t.x[t.y.eq(True)].tolist(), np.float64).reshape(-1, len(FEATURES))
-    unl = np.array(t.x[t.y.isna()].tolist(), np.float64).reshape(-1, len(FEATURES))
+    y = stored(y, "pu-labels")
+    trusted = y.where((F.col("y") == 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+    trusted = _drawn(trusted.select("doc_id"), "doc_id", positive_rows, trusted.count())
+    ids = docs.withColumn("__id", F.col(id_col))
+    pos = ids.join(trusted.select(F.col("doc_id").alias("__id")), "__id", "left_semi").drop("__id")
+    unl = _drawn(docs, id_col, fit_rows, docs.count()).withColumn("__id", F.col(id_col)) \
+        .join(y.select(F.col("doc_id").alias("__id")), "__id", "left_anti").drop("__id")
+    got = _feature_rows(pos, id_col, text_col).withColumn("y", F.lit(True)) \
+        .unionByName(_feature_rows(unl, id_col, text_col).withColumn("y", F.lit(False)))
+    t = stored(got.select("y", "x", F.xxhash64("doc_id").alias("h")), "pu-fit").toPandas().sort_values("h", kind="stable")
+    pos, unl = (np.array(t.x[t.y == v].tolist(), np.float64).reshape(-1, len(FEATURES)) for v in (True, False))
     if len(pos) < 2:
+        warnings.warn(f"{len(pos)} trusted positives among the training labels: no quality model is fitted", stacklevel=2)
         return PUModel()
     return PUModel().fit(pos, unl if len(unl) >= 2 else pos)
 

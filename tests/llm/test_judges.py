@@ -97,3 +97,56 @@ def test_toxicity_odd_rows(spark, odd, none):
         assert len(got) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in got)
         assert toxicity.reject(odd, g).columns == odd.columns
     assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
+
+
+def test_quality_risk_gradient():
+    """The followed gradient is that of the non-negative risk, by finite differences on both sides of the clamp."""
+    import numpy as np
+
+    from faultline.llm.quality_pu import PUModel
+    r = np.random.default_rng(3)
+    m = PUModel(edges=[np.array([0.0, 1.0]), np.array([0.5])], weights=r.normal(size=5), bias=0.3)
+    pos, unl = r.normal(1, 1, (40, 2)), r.normal(0, 1, (70, 2))
+    bp, bu = m._bins(pos), m._bins(unl)
+    for pi in (0.2, 0.95):
+        for bias in (0.3, -6.0):
+            m.bias = bias
+            below = m.risk_parts(bp, bu, pi)[1] < 0
+            f = (lambda: -m.risk_parts(bp, bu, pi)[1]) if below else (lambda: sum(m.risk_parts(bp, bu, pi)))
+            g = m.risk_gradient(bp, bu, pi)
+            for k in range(6):
+                def at(h, k=k):
+                    if k < 5:
+                        m.weights[k] += h
+                    else:
+                        m.bias += h
+                    v = f()
+                    if k < 5:
+                        m.weights[k] -= h
+                    else:
+                        m.bias -= h
+                    return v
+                assert abs((at(1e-5) - at(-1e-5)) / 2e-5 - g[k]) < 1e-6
+
+
+def test_quality_sparse_labels(spark):
+    """A few labels among very many documents all take part in the fit, and none gives a warning."""
+    import random
+
+    import pytest
+
+    from faultline.llm import quality_pu as Q
+    r = random.Random(1)
+    rows = []
+    for i in range(4000):
+        good = i % 3 > 0
+        w = ["".join(r.choices("abcdefgh", k=r.randint(2, 8))) for _ in range(40)]
+        rows.append((i, " ".join(w) + "." if good else " ".join("#!%0"[r.randrange(4)] * 3 for _ in w)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(0, 50)], "doc_id bigint, quality int")
+    m = Q.fit(docs, labels, fit_rows=200)
+    got = Q.score(docs, m).toPandas()
+    assert ((got.predicted == 1) == (got.doc_id % 3 > 0)).mean() > 0.8  # a draw of some 27 positives
+    with pytest.warns(UserWarning, match="trusted positives"):
+        m = Q.fit(docs, labels.where("quality = 0"))
+    assert {x["score"] for x in Q.score(docs.limit(5), m).collect()} == {0.5}
