@@ -67,7 +67,7 @@ def op3_quality_rules(spark, sf_dir):
 #: size, the first level that stops no further source.
 MIX_CTES = rf"""
 d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-             ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS draw
+             ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 8))::BIGINT AS draw
       FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 o AS (SELECT *, CASE (row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1) % 3

@@ -64,17 +64,30 @@ def brute_targets(sizes, cycle=(3, 1, 2)):
         full |= {s: 2.0 * size[s] for s in over}
 
 
-def test_targets_match_repeated_resharing():
+def test_targets_match_repeated_resharing(spark, monkeypatch):
     import random
     r = random.Random(2)
-    for _ in range(200):
+    for k in range(8):
+        monkeypatch.setattr(mixing, "ONE_TASK", 0 if k % 4 == 3 else 100)
         sizes = [(f"s{i}", r.choice([1, 5, 50, 1000, r.randint(1, 9999)])) for i in range(r.randint(1, 12))]
         if r.random() < .5:
             sizes.append((None, r.randint(1, 500)))
-        want, got = brute_targets(sizes), mixing.targets(sizes)
+        frame = spark.createDataFrame(sizes, "source string, size bigint")
+        want, got = brute_targets(sizes), {x["source"]: x["target"] for x in mixing.targets(frame).collect()}
         assert all(abs(want[s] - got[s]) < 1e-6 * max(1, want[s]) for s in want)
 
 
+def test_mixture_of_many_sources(spark):
+    """Sources are rows of a table, not literals of a plan."""
+    from pyspark.sql import functions as F
+    d = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"),
+                                   F.concat(F.lit("host-"), F.col("id") % 20_000).alias("source"))
+    t = mixing.mixture_table(d)
+    assert len(t._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    r = t.agg(F.sum("taken"), F.sum("size"), F.max(F.abs(F.col("source_size") - 9))).first()
+    assert abs(r[0] - 1.5 * r[1]) < 0.1 * r[1] and r[2] == 0
+
+
 def test_mixture(odd, none, spark, sf):
     rows = mixing.mixture_table(odd).collect()
     assert len(rows) == len(odd_rows())
