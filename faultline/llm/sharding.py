@@ -1,6 +1,7 @@
 """Sharding by Hilbert-curve order.
 
-Several metadata dimensions are quantised to equi-depth cells, rows are
+Several metadata dimensions are quantised to equi-depth cells (numbers at
+approximate quantiles, strings at whole values by their counts), rows are
 sorted by their cell's index on the Hilbert curve through that grid, and the
 order is cut into runs of equal row counts.  Neighbouring cells on the curve
 are neighbours in every dimension, so each shard spans a narrow range of
@@ -14,8 +15,9 @@ and each row's rank is its place in its partition plus the rows before.
 Law ``rows``: shard sizes differ by at most one row.  Equal texts with equal
 metadata are neighbours in the order.
 
-Edge cases: nulls of a dimension form the lowest cell; a null text counts as
-empty; ids may repeat or be null (rows equal in every sort key are
+Edge cases: nulls of a dimension are in its lowest cell; a dimension that the
+table does not have is left out (without any the order is that of texts); a
+null text counts as empty; ids may repeat or be null (rows equal in every sort key are
 interchangeable); an empty table gives an empty result."""
 from __future__ import annotations
 
@@ -23,11 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, shuffle_partitions
-from .common import n_bytes
+from ..plans.order import running_sums
+from .common import n_bytes, stored
 
 N_SHARDS = 24
 BITS = 5
 DIMS = ("source", "lang", "n_chars")
+ONE_TASK = 200_000  # so many distinct values of a string are ordered in one task; more in ranges
 
 
 def curve_tables(n: int) -> tuple[list[int], list[int]]:
@@ -75,29 +79,51 @@ def hilbert_index(cells: list[Column], bits: int) -> Column:
 
 
 def _ordinal(docs: DataFrame, name: str) -> Column:
-    """Order-preserving number of a dimension (strings: their first seven bytes); null is -1."""
+    """Order-preserving number of a dimension that is no string; null below all."""
     kind = dict(docs.dtypes)[name]
-    c = F.col(name)
-    if kind == "string":
-        c = F.conv(F.hex(F.substring(F.rpad(F.encode(c, "UTF-8"), 7, F.lit(b"\x00")), 1, 7)), 16, 10)
-    elif kind in ("date", "timestamp"):
+    c = F.col(f"`{name}`")
+    if kind in ("date", "timestamp"):
         c = F.unix_micros(c.cast("timestamp"))
     elif kind == "timestamp_ntz":
         c = F.unix_micros(F.to_utc_timestamp(c, "UTC"))
-    return F.coalesce(c.cast("double"), F.lit(-1.0))
+    return F.coalesce(c.cast("double"), F.lit(float("-inf")))
+
+
+def _number_edges(docs: DataFrame, names, cells: int) -> dict:
+    """Approximate quantiles of the numeric dimensions, from one aggregate."""
+    if not names:
+        return {}
+    share = [k / cells for k in range(1, cells)]
+    r = docs.select(*[_ordinal(docs, d).alias(f"o{i}") for i, d in enumerate(names)]).agg(
+        *[F.percentile_approx(f"o{i}", share, 10_000).alias(f"e{i}") for i in range(len(names))]).first()
+    return {d: sorted(set(r[f"e{i}"] or [])) for i, d in enumerate(names)}
+
+
+def _string_edges(docs: DataFrame, name: str, cells: int) -> list[str]:
+    """Exact equi-depth edges of a string dimension: whole values, by the running count of the distinct ones."""
+    values = stored(docs.select(F.col(f"`{name}`").alias("v")).groupBy("v").agg(F.count("*").alias("n")), "shard-values")
+    how = "window" if values.count() <= ONE_TASK else "ranged"
+    run = running_sums(values.withColumn("some", F.col("v").isNotNull()), [], ["some", "v"], ["n"], strategy=how)
+    last = F.floor(F.col("cum_n") * cells / F.col("tot_n"))  # a value ends the cells that its last row ends
+    first = F.floor((F.col("cum_n") - F.col("n")) * cells / F.col("tot_n"))
+    got = run.where((last > first) & (last <= cells) & F.col("v").isNotNull()).select("v").collect()  # at most `cells`
+    return sorted({r["v"] for r in got}, key=lambda v: v.encode("utf-8", "surrogatepass"))
 
 
 def with_curve_index(docs: DataFrame, dims=DIMS, bits: int = BITS, out: str = "__curve") -> DataFrame:
-    """Add the Hilbert index; cell edges are approximate quantiles (2^bits - 1 numbers a dimension)."""
-    ords = docs.select(*[_ordinal(docs, d).alias(f"__o{i}") for i, d in enumerate(dims)])
-    share = [k / (1 << bits) for k in range(1, 1 << bits)]
-    edges = ords.agg(*[F.percentile_approx(f"__o{i}", share, 10_000).alias(f"e{i}")
-                       for i in range(len(dims))]).first()
+    """Add the Hilbert index; a cell is the number of edges (at most 2^bits a dimension) below the value."""
+    kinds, n = dict(docs.dtypes), 1 << bits
+    dims = [d for d in dims if d in kinds]
+    if not dims:
+        return docs.withColumn(out, F.lit(0).cast("bigint"))
+    edges = _number_edges(docs, [d for d in dims if kinds[d] != "string"], n)
     cells = []
-    for i, d in enumerate(dims):
+    for d in dims:
+        text = kinds[d] == "string"
+        value = F.col(f"`{d}`") if text else _ordinal(docs, d)
         cell = F.lit(0)
-        for e in sorted(set(edges[f"e{i}"] or [])):
-            cell = cell + F.when(_ordinal(docs, d) > F.lit(float(e)), F.lit(1)).otherwise(F.lit(0))
+        for e in (_string_edges(docs, d, n) if text else edges[d])[:n - 1]:
+            cell = cell + F.when(value > F.lit(e), F.lit(1)).otherwise(F.lit(0))  # a null string is above nothing
         cells.append(cell)
     tmp = docs.select("*", *[c.alias(f"__cell{i}") for i, c in enumerate(cells)])
     return tmp.withColumn(out, hilbert_index([F.col(f"__cell{i}") for i in range(len(dims))], bits)) \

@@ -137,3 +137,29 @@ def test_shards(odd, none, tmp_path):
     assert sorted(r["shard"] for r in few) == [0, 1, 2]
     sharding.write_shards(out, str(tmp_path / "shards"))
     assert out.sparkSession.read.parquet(str(tmp_path / "shards")).count() == len(rows)
+
+
+def test_shards_prune_on_strings_that_start_alike(spark):
+    """Each shard spans few of many long-prefixed sources, and the order is that of the curve index."""
+    from pyspark.sql import functions as F
+    d = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("https://common-crawl.example/"), F.pmod(F.xxhash64("id"), F.lit(200))).alias("source"),
+        F.element_at(F.array(F.lit("de"), F.lit("en")), (F.col("id") % 2 + 1).cast("int")).alias("lang"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(9000)).alias("n_chars"), F.lit("x").alias("text"))
+    out = sharding.shard(d)
+    spans = out.groupBy("shard").agg(F.min("source").alias("a"), F.max("source").alias("b")).collect()
+    values = sorted(r[0] for r in d.select("source").distinct().collect())
+    width = [values.index(r["b"]) - values.index(r["a"]) for r in spans]
+    assert sum(width) / len(width) < 0.6 * len(values)
+    # a plain sort by the curve index cuts the same runs
+    plain = sharding.with_curve_index(d).select("doc_id", "__curve").collect()
+    curve = {r["doc_id"]: r["__curve"] for r in plain}
+    rows = sorted(out.select("doc_id", "shard", "slot").collect(), key=lambda r: (r["shard"], r["slot"]))
+    at = [curve[r["doc_id"]] for r in rows]
+    assert at == sorted(at) and [r["shard"] for r in rows] == [i // 250 for i in range(6000)]
+    assert len(set(at)) > 1500  # of 6000 rows: cells are rarely shared
+
+
+def test_shards_without_dimensions(spark):
+    d = spark.createDataFrame([(i, "t") for i in range(30)], "doc_id bigint, text string")
+    assert Counter(r["shard"] for r in sharding.shard(d, n_shards=3).collect()) == {0: 10, 1: 10, 2: 10}
