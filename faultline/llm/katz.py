@@ -54,8 +54,8 @@ START, END, FIRST = 0, 1, 2
 CUT = 5
 FREQUENT = 1 << 19
 FREQUENT_PAIRS = 1 << 18
-CHUNK_TOKENS, CHUNK_TEXTS = 1_500_000, 60_000
-BUCKET_TOKENS = 3_000_000
+CHUNK_TOKENS, CHUNK_TEXTS = 1_000_000, 60_000
+BUCKET_TOKENS = 1_500_000
 LEAST_BUCKETS = 40
 _SHIFT = 21  # codes of frequent words take fewer bits
 
