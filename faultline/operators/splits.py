@@ -6,11 +6,14 @@ ranks all rows with a window -- a ``row_number`` partitioned by class would
 put each class (95 % of the table for the normal class) into one task.
 Instead, each split needs only a few *cut points*: the row of rank k in
 (hash prefix, md5, key) order within a stratum.  The 52-bit md5 prefix is
-uniform on [0, 2^52), so no statistics pass is needed: one job counts rows
-per 12-bit prefix digit of every target's interval (map-side combined, at
-most 4,096 cells per interval), repeated only while the interval still
-holds more than ``small`` rows, and one job fetches the few rows of each
-final interval (bounded by ``small``) to read the exact threshold tuple.
+uniform on [0, 2^52), so once the stratum sizes are known (a count of the
+stratum column alone) the row of rank k lies, but for one case in 10^11, in
+an interval of ``SIGMAS`` standard deviations round k / n.  One scan counts
+the rows below each interval and gathers those inside it, a few times sqrt(n)
+of them; the cut is read off.  Where an interval would hold more than
+``small`` rows (n above some 10^8), or missed its row, 12-bit digit
+histograms narrow it first (map-side combined, at most 4,096 cells per
+interval) and one job fetches what is left.
 Every row is then assigned by a narrow comparison against literal tuples.
 Quotas use the largest-remainder rule so stratum sizes add up exactly.
 """
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..plans.order import position
 HBITS, DIGIT = 52, 12
+SIGMAS = 7
 
 H, MD5 = "_h", "_md5"
 
@@ -65,19 +69,12 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict | None, wanted, k
     told apart: a cut that would fall between two of them is refused,
     whatever their number; any other cut keeps its exact quota.
 
-    With ``counts=None`` the first job is a full-range digit histogram per
-    stratum: it yields the stratum sizes (``wanted`` may then be a function
-    of them) and serves as the first refinement round."""
+    With ``counts=None`` the stratum sizes are counted first and ``wanted``
+    may be a function of them."""
     preds, state = {}, {}
-    hist0 = None
     if counts is None:
         sv = F.col(strata) if strata is not None else F.lit(None).cast("int")
-        rows = (dfh.groupBy(sv.alias("s"), F.shiftright(F.col(H), HBITS - DIGIT).alias("d")).count()
-                   .collect())                                          # <= #strata x 4,096 rows
-        hist0, counts = {}, {}
-        for r in rows:
-            hist0.setdefault(r["s"], []).append((int(r["d"]), int(r["count"])))
-            counts[r["s"]] = counts.get(r["s"], 0) + int(r["count"])
+        counts = {r["s"]: r["count"] for r in dfh.groupBy(sv.alias("s")).count().collect()}     # <= #strata rows
     if callable(wanted):
         wanted = wanted(counts)
     for s, ks in wanted.items():
@@ -98,10 +95,34 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict | None, wanted, k
                 return
             below += c
 
-    if hist0 is not None:
-        for t, v in state.items():
-            if v["count"] > small:
-                narrow(v, t[1] - 1, hist0.get(t[0], []), HBITS - DIGIT)
+    def read(t, v, got):
+        """The cut's tuple among the sorted rows of its interval."""
+        at = t[1] - 1 - v["below"]
+        if at + 1 < len(got) and got[at] == got[at + 1]:
+            raise _copies(key)
+        h, m, k = got[at]
+        preds[t] = _tuple_le(int(h), m, k.item() if hasattr(k, "item") else k, key)
+
+    near = {}
+    for (s, k), v in state.items():
+        n, top = v["count"], 1 << HBITS
+        wide = SIGMAS * math.sqrt(k * (n - k) / n) + 64
+        if 2 * wide <= small:
+            near[(s, k)] = (max(0, int((k - wide) / n * top)), min(top, int((k + wide) / n * top) + 1))
+    if near:
+        parts = []
+        for i, (t, (lo, hi)) in enumerate(near.items()):
+            mine, h = _in_stratum(strata, t[0]), F.col(H)
+            parts += [F.count_if(mine & (h < F.lit(lo))).alias(f"b{i}"),
+                      F.collect_list(F.when(mine & (h >= F.lit(lo)) & (h < F.lit(hi)), F.struct(
+                          h.alias("h"), F.col(MD5).alias("m"), F.col(key).alias("k")))).alias(f"r{i}")]
+        r = dfh.agg(*parts).first()     # <= small tuples per target
+        for i, t in enumerate(near):
+            got = sorted(tuple(x) for x in r[f"r{i}"])
+            v = {"below": r[f"b{i}"]}
+            if 0 <= t[1] - 1 - v["below"] < len(got):
+                read(t, v, got)
+                del state[t]
 
     def intervals(items):
         ids = {}
@@ -142,11 +163,7 @@ def rank_cuts(dfh: DataFrame, strata: str | None, counts: dict | None, wanted, k
         for t, v in state.items():
             i = ids[(t[0], v["lo"], v["bits"])]
             got = sorted(rows[rows["i"] == i][["h", "m", "k"]].itertuples(index=False, name=None))
-            at = t[1] - 1 - v["below"]
-            if at + 1 < len(got) and got[at] == got[at + 1]:
-                raise _copies(key)
-            h, m, k = got[at]
-            preds[t] = _tuple_le(int(h), m, k.item() if hasattr(k, "item") else k, key)
+            read(t, v, got)
     return (preds, counts) if with_counts else preds
 
 
@@ -165,7 +182,7 @@ def assign_folds(df: DataFrame, quotas, names, key: str = "row_id", seed: int =
                  strata: str | None = None, out: str = "fold") -> DataFrame:
     """Per stratum, the first quotas[s][0] rows in hash order get names[0],
     the next quotas[s][1] names[1], ..., the rest names[-1].  ``quotas`` may
-    be a function of the stratum sizes (taken from the first histogram)."""
+    be a function of the stratum sizes."""
     dfh = with_hash(df, key, seed)
     box = {}
 

@@ -128,8 +128,8 @@ def test_weights_come_from_the_fitted_rows(spark, monkeypatch):
     rows = [(i, float(i % 7), int(i % 10 == 0 if i < 100 else i % 2)) for i in range(200)]
     df = spark.createDataFrame(rows, "row_id long, x double, label_fault int")
     seen, real = [], M.class_weights
-    monkeypatch.setattr(M, "class_weights", lambda d, y, out="weight": seen.append(
-        {r[0]: r[1] for r in real(d, y, "w").groupBy(y).agg(F.first("w")).collect()}) or real(d, y, out))
+    monkeypatch.setattr(M, "class_weights", lambda d, y, out="weight", counts=None: seen.append(
+        {r[0]: r[1] for r in real(d, y, "w", counts).groupBy(y).agg(F.first("w")).collect()}) or real(d, y, out, counts))
     M.fit(df.where("row_id < 100"), ["x"], kind="lr", max_iter=2)
     assert seen == [{1: 5.0, 0: pytest.approx(100 / 180)}]
 
