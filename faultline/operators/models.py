@@ -12,12 +12,13 @@ depth maps to Spark's maximum of 30.
 from __future__ import annotations
 
 import math
-import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
@@ -31,6 +32,7 @@ from . import metrics as J
 from .linalg import moments
 from ..plans.order import carry_prev
 from ..plans.quantile import quantiles
+from ..session import scratch_path
 
 # Fixed values of the reference pipeline: parameter grids.
 GRIDS = {
@@ -298,23 +300,45 @@ def impurity_importance(model: PipelineModel, features) -> list:
     return sorted(zip(features, map(float, imp)), key=lambda t: -t[1])
 
 
+def node_table(stage) -> DataFrame:
+    """The nodes of a fitted tree or forest, one row each, as Spark's own
+    writer stores them: tree, id, left, right (-1 at a leaf), feature,
+    threshold, prediction, stats (weight per class)."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, f"faultline-nodes-{uuid.uuid4().hex[:12]}")
+    stage.write().overwrite().save(path)
+    t = spark.read.parquet(path + "/data")
+    tree, n = (F.col("treeID"), "nodeData.") if "nodeData" in t.columns else (F.lit(0), "")
+    return t.select(tree.alias("tree"), F.col(n + "id").alias("id"), F.col(n + "leftChild").alias("left"),
+                    F.col(n + "rightChild").alias("right"), F.col(n + "split.featureIndex").alias("feature"),
+                    F.get(n + "split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
+                    F.col(n + "prediction").alias("prediction"), F.col(n + "impurityStats").alias("stats"))
+
+
+def tree_rule_table(stage, features) -> DataFrame:
+    """One row per leaf (tree, path, rule, prediction): the stored nodes
+    joined level by level from the root, as often as the trees are deep.
+    ``path`` spells the turns (L, R); a tree of one leaf has an empty rule."""
+    nodes = node_table(stage)
+    depth = max(t.depth for t in stage.trees) if hasattr(stage, "trees") else stage.depth
+    name = F.element_at(F.array(*[F.lit(c) for c in features]), F.col("feature") + 1)
+    front = nodes.where("id = 0").withColumns({"path": F.lit(""), "rule": F.lit("")})
+    leaves = front.where("left < 0")
+    for _ in range(depth):
+        said = lambda op: F.concat_ws(" AND ", F.nullif("rule", F.lit("")), F.concat_ws(" ", name, F.lit(op),
+                                                                                       F.col("threshold").cast("string")))
+        turns = F.array(F.struct(F.col("left").alias("id"), F.concat("path", F.lit("L")).alias("path"), said("<=").alias("rule")),
+                        F.struct(F.col("right").alias("id"), F.concat("path", F.lit("R")).alias("path"), said(">").alias("rule")))
+        below = front.where("left >= 0").select("tree", F.inline(turns))
+        front = nodes.join(below, ["tree", "id"])
+        leaves = leaves.unionByName(front.where("left < 0"))
+    return leaves.select("tree", "path", "rule", F.col("prediction").cast("int").alias("prediction"))
+
+
 def tree_rules(model: PipelineModel, features) -> list:
-    """The fitted tree as (rule, prediction) rows, one per leaf, from
-    Spark's debug string with feature names substituted."""
-    text = model.stages[-1].toDebugString
-    rules, path = [], []
-    for line in text.splitlines()[1:]:
-        depth = (len(line) - len(line.lstrip())) // 1
-        s = line.strip()
-        m = re.match(r"(If|Else) \(feature (\d+) (.+)\)", s)
-        if m:
-            level = depth
-            path = [p for p in path if p[0] < level]
-            cond = f"{features[int(m.group(2))]} {m.group(3)}"
-            path.append((level, cond))
-        elif s.startswith("Predict:"):
-            rules.append((" AND ".join(c for _, c in path), int(float(s.split(":")[1]))))
-    return rules
+    """(rule, prediction) of a fitted tree's leaves, left before right (bounded by the tree)."""
+    return [(r["rule"], r["prediction"]) for r in tree_rule_table(model.stages[-1], features).orderBy("path").collect()]
 
 
 def _permuted_copies(df: DataFrame, features, repeats: int, seed: int, row_id: str, label: str) -> DataFrame:
@@ -382,18 +406,77 @@ def select_topk(df: DataFrame, features, label: str = "label_fault", k: int = 4,
 def partial_dependence(model: PipelineModel, background: DataFrame, feature: str, n_grid: int = 20,
                        q_lo: float = 0.01, q_hi: float = 0.99) -> DataFrame:
     """Mean P(fault) with ``feature`` fixed at each of ``n_grid``
-    points on [P1, P99] of the background; every background row is
-    replicated once per grid point (bounded by ``n_grid``) and scored in one
-    transform."""
+    points on [P1, P99] of the background.
+
+    For a tree or forest every row's prediction is a step function of the
+    feature, so one pass over the rows gives all points
+    (:func:`_tree_dependence`).  Other models score a copy of each row per
+    grid point (bounded by ``n_grid``)."""
     qv = quantiles(background, [feature], [q_lo, q_hi])
     lo, hi = qv[(feature, q_lo)], qv[(feature, q_hi)]
     grid = [float(x) for x in np.linspace(lo, hi, n_grid)]
+    if hasattr(model.stages[-1], "featureImportances"):
+        return _tree_dependence(model, background, feature, grid)
     rep = background.select("*", F.explode(F.array(*[F.lit(v) for v in grid])).alias("grid_value"))
     rep = rep.withColumn(feature, F.col("grid_value"))
     s = score_rows(model, rep, keep=["grid_value"])
     return s.groupBy("grid_value").agg(F.avg("p_fault").alias("mean_p_fault"))
 
 
+def _tree_dependence(model: PipelineModel, background: DataFrame, feature: str, grid: list) -> DataFrame:
+    """Partial dependence of a tree model, rows read once and never copied.
+
+    A batch of rows walks each tree together with the range of grid points
+    that still lead to the node: a split on another feature divides the rows,
+    a split on this one the range.  At a leaf the rows' share of the class is
+    added to the range.  Only the node table (bounded by the model) travels;
+    each task returns one total per grid point."""
+    spark = background.sparkSession
+    stage, assembler = model.stages[-1], model.stages[-2]
+    prepared = PipelineModel(model.stages[:-1])
+    inputs = assembler.getInputCols()
+    at = next(i for i, c in enumerate(inputs) if c in (feature, f"{feature}__z"))
+    raw = [c.removesuffix("__z") for c in inputs]
+    # the grid in the model's own units, by the model's own stages
+    points = prepared.transform(spark.createDataFrame([(i, *[v] * len(raw)) for i, v in enumerate(grid)],
+                                                      "i int, " + ", ".join(f"`{c}` double" for c in raw)))
+    z = np.array([r["x"][at] for r in points.select("i", vector_to_array("features").alias("x")).orderBy("i").collect()])
+    nodes = node_table(stage).orderBy("tree", "id").toPandas()
+    trees = []
+    for _, t in nodes.groupby("tree"):
+        stats = [np.asarray(s, float) for s in t["stats"]]
+        share = [s[1] / s.sum() if len(s) > 1 and s.sum() else 0.0 for s in stats]
+        trees.append((t["left"].to_numpy(), t["right"].to_numpy(), t["feature"].to_numpy(),
+                      t["threshold"].to_numpy(float), np.array(share)))
+
+    def run(batches):
+        total, n = np.zeros(len(z)), 0
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            n += len(x)
+            for left, right, feat, threshold, share in trees:
+                walk = [(0, np.arange(len(x)), 0, len(z))]
+                while walk:
+                    k, rows, a, c = walk.pop()
+                    if not len(rows) or a >= c:
+                        continue
+                    if left[k] < 0:
+                        total[a:c] += len(rows) * share[k]
+                    elif feat[k] == at:
+                        g = int(np.searchsorted(z, threshold[k], side="right"))
+                        walk += [(left[k], rows, a, min(c, g)), (right[k], rows, max(a, g), c)]
+                    else:
+                        goes = x[rows, feat[k]] <= threshold[k]
+                        walk += [(left[k], rows[goes], a, c), (right[k], rows[~goes], a, c)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(z), dtype=np.int32)), pa.array(total),
+                                          pa.array(np.full(len(z), n, np.int64))], names=["i", "total", "n"])
+
+    x = prepared.transform(background).select(vector_to_array("features").alias("x"))
+    sums = x.mapInArrow(run, "i int, total double, n bigint").groupBy("i").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    value = F.element_at(F.array(*[F.lit(v) for v in grid]), F.col("i") + 1)
+    return sums.select(value.alias("grid_value"), (F.col("total") / (F.col("n") * len(trees))).alias("mean_p_fault"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """A8."""
     model.write().overwrite().save(path)

@@ -144,4 +144,4 @@ FROM {src} WHERE label_fault = 1 GROUP BY {k}event_no"""
 
 def load_all() -> None:
     """Import every query module (each registers its queries)."""
-    from . import q_core, q_clean, q_labels, q_series, q_events, q_splits, q_eval, q_linalg, q_models, q_checks, q_processed, q_stream  # noqa: F401
+    from . import q_core, q_clean, q_labels, q_series, q_events, q_splits, q_eval, q_linalg, q_models, q_checks, q_processed, q_planted, q_stream  # noqa: F401

@@ -139,6 +139,20 @@ def q_roc_curve(spark, sf_dir):
     return finish(J.roc_curve(scored(spark, sf_dir), keys=["model"]))
 
 
+@register("roc_curve_thin", f"""
+WITH {TELE_EV_SQL}, {metrics_sql('processed', keys='model')},
+g AS (SELECT model, score, count(*) FILTER (WHERE y = 1) AS p, count(*) FILTER (WHERE y = 0) AS q FROM scored_processed
+      GROUP BY ALL),
+n AS (SELECT *, row_number() OVER w AS i, lead(p) OVER w AS np, lead(q) OVER w AS nq FROM g
+      WINDOW w AS (PARTITION BY model ORDER BY score DESC))
+SELECT c.model, round(c.score, 6) AS threshold, round(cn / tneg, 6) AS fpr, round(cp / tpos, 6) AS tpr
+FROM cum_processed c JOIN n ON n.model = c.model AND n.score = c.score
+WHERE i = 1 OR np IS NULL OR p * nq <> q * np""")
+def q_roc_curve_thin(spark, sf_dir):
+    """J4 points per model, straight stretches reduced to their ends."""
+    return finish(J.roc_curve_thin(scored(spark, sf_dir), keys=["model"]))
+
+
 @register("roc_auc", f"""
 WITH {TELE_EV_SQL}, {metrics_sql('processed', keys='model')}
 SELECT model, round(auc_roc, 6) AS auc_roc FROM aa_processed""")
