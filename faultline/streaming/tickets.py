@@ -85,19 +85,25 @@ def run_available_now(stream: DataFrame, spark: SparkSession, name: str, mode: s
 
     A streaming query fixes its number of state partitions when it first
     starts (from ``spark.sql.shuffle.partitions``); it is set for this query
-    to ``state_partitions`` (default: the cluster's parallelism) and the
-    session value is restored afterwards."""
+    to ``state_partitions`` (default: the cluster's parallelism).  Sessions
+    are merged where their rows are read, before the exchange: of a hot asset
+    each reading task sends its partial sessions, not its rows, and the
+    asset's one state partition merges these and keeps only what is still
+    open.  The session's own values are restored afterwards."""
     run = uuid.uuid4().hex[:12]
     out = scratch_path(spark, f"faultline-stream-{name}-{run}")
-    key = "spark.sql.shuffle.partitions"
-    with _starting:             # the setting belongs to one start at a time
-        old = spark.conf.get(key)
-        spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    mine = {"spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
+            "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+    with _starting:             # the settings belong to one start at a time
+        old = {k: spark.conf.get(k) for k in mine}
+        for k, v in mine.items():
+            spark.conf.set(k, v)
         try:
             q = (stream.writeStream.format("parquet").outputMode(mode)
                        .option("checkpointLocation", out + "-ckpt").option("path", out)
                        .trigger(availableNow=True).start())
         finally:
-            spark.conf.set(key, old)
+            for k, v in old.items():
+                spark.conf.set(k, v)
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
