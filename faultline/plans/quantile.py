@@ -25,6 +25,7 @@ NULLs are ignored (NaN must be normalised to NULL first).
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -192,21 +193,57 @@ def quantile_map(df: DataFrame, cols, q: float, method: str = "refine", scale: f
 
 
 def grouped_quantile(df: DataFrame, keys, col: str, q: float, row_id: str, out: str = "value",
-                     strategy: str = "auto") -> DataFrame:
-    """Exact linear quantile of ``col`` per group, fully distributed: the
-    segmented scan ranks the non-NULL values inside each group (a hot group
-    is split over many tasks), and one grouped aggregate picks the two order
-    statistics around (n - 1) * q and interpolates.  Output: keys, n, out."""
-    from .order import position          # local import: order imports nothing from here
-    keys = list(keys)
+                     strategy: str = "auto", accuracy: int = 10_000) -> DataFrame:
+    """Exact linear quantile of ``col`` per group, for all groups at once.
+
+    One mergeable sketch per group gives two values around the wanted rank,
+    and exact counts below, at, between and above them follow, both with
+    map-side partial results.  Where a rank lies on one of the two values it
+    is known; the rows of the open interval that holds it otherwise -- some
+    4 / ``accuracy`` of a large group, whatever its values -- are ranked by
+    the segmented scan, so a hot group is neither sorted nor held anywhere.
+    Output: keys, n, out."""
+    from .order import pin, position          # local import: order imports nothing from here
+    keys, names = list(keys), [f"_k{i}" for i in range(len(keys))]
     d = df.where(F.col(col).isNotNull()).select(*keys, row_id, F.col(col).cast("double").alias("_v"))
-    p = position(d, keys, ["_v", row_id], strategy=strategy, pos="_pos", total="_n")
-    h = (F.col("_n") - 1) * F.lit(float(q))
-    lo, hi = F.floor(h) + 1, F.ceil(h) + 1                   # 1-based positions
-    g = p.groupBy(*keys).agg(F.max("_n").alias("n"),
-                             F.max(F.when(F.col("_pos") == lo, F.col("_v"))).alias("_lo"),
-                             F.max(F.when(F.col("_pos") == hi, F.col("_v"))).alias("_hi"),
-                             F.max(h - F.floor(h)).alias("_f"))
-    val = F.when((F.col("_f") == 0) | (F.col("_lo") == F.col("_hi")), F.col("_lo")) \
-           .otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
-    return g.select(*keys, "n", val.alias(out))
+
+    def join(rows, table):
+        """Null-safe inner join on the keys, which stay as the rows have them."""
+        t = table.withColumnsRenamed(dict(zip(keys, names, strict=True)))
+        cond = [rows[k].eqNullSafe(t[n]) for k, n in zip(keys, names, strict=True)]
+        return rows.join(t, reduce(lambda a, b: a & b, cond)).drop(*names)
+
+    h = (F.col("n") - 1) * F.lit(float(q))
+    ends = [min(1.0, max(0.0, q + x / accuracy)) for x in (-1.5, 1.5)]
+    cuts = d.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile_approx("_v", ends, 2 * accuracy).alias("_c"))
+    cuts = cuts.select(*keys, "n", F.col("_c")[0].alias("_lo"), F.col("_c")[1].alias("_hi"))
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    regions = [v < lo, v == lo, (v > lo) & (v < hi), (v == hi) & (hi > lo), v > hi]
+    counts = join(d, cuts).groupBy(*keys).agg(
+        F.any_value("n").alias("n"), F.any_value("_lo").alias("_lo"), F.any_value("_hi").alias("_hi"),
+        *[F.count_if(r).alias(f"_r{i}") for i, r in enumerate(regions)])
+    counts = pin(counts)                                     # one row per group
+    # each wanted rank with its region and its place there
+    before = [sum((F.col(f"_r{j}") for j in range(i)), F.lit(0)) for i in range(6)]
+    region = F.lit(4)
+    for i in range(3, -1, -1):
+        region = F.when(F.col("_rank") < before[i + 1], i).otherwise(region)
+    want = counts.select("*", F.explode(F.array(F.floor(h), F.ceil(h))).alias("_rank")).distinct()
+    want = want.withColumn("_region", region)
+    at = F.array(*before[:5])
+    want = want.withColumn("_place", F.col("_rank") - F.get(at, F.col("_region")) + 1)
+    known = want.withColumn("_x", F.when(F.col("_region") == 1, lo).when(F.col("_region") == 3, hi))
+    open_ = want.where(F.col("_region").isin(0, 2, 4))
+    rest = join(d, open_.select(*keys, "_lo", "_hi", "_region").distinct())
+    inside = F.when(F.col("_region") == 0, regions[0]).when(F.col("_region") == 2, regions[2]).otherwise(regions[4])
+    rest = rest.where(inside).select(*keys, F.col("_region").alias("_g"), row_id, "_v")
+    rest = position(rest, [*keys, "_g"], ["_v", row_id], strategy=strategy, pos="_pos", total="_total")
+    found = join(rest.select(*keys, "_g", "_pos", "_v"), open_.select(*keys, "_region", "_place", "_rank")) \
+        .where((F.col("_g") == F.col("_region")) & (F.col("_pos") == F.col("_place")))
+    values = known.where(F.col("_x").isNotNull()).select(*keys, "_rank", "_x") \
+        .unionByName(found.select(*keys, "_rank", F.col("_v").alias("_x")))
+    g = values.groupBy(*keys).agg(F.min_by("_x", "_rank").alias("_a"), F.max_by("_x", "_rank").alias("_b"))
+    f = h - F.floor(h)
+    val = F.when((f == 0) | (F.col("_a") == F.col("_b")), F.col("_a")) \
+           .otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * f)
+    return join(counts.select(*keys, "n"), g).select(*keys, "n", val.alias(out))

@@ -116,3 +116,31 @@ def test_grouped_quantile_matches_numpy(spark, strategy):
     for g in set(r[1] for r in rows):
         v = [r[2] for r in rows if r[1] == g]
         assert got[g] == pytest.approx(float(np.percentile(v, 90)), rel=1e-12)
+
+
+def test_grouped_quantile_with_a_coarse_sketch(spark):
+    """A sketch that misses its rank still gives the exact value; null groups, ties and infinities count."""
+    import random
+
+    import numpy as np
+
+    from faultline.plans.quantile import grouped_quantile
+    r = random.Random(6)
+    rows, i = [], 0
+    for g, n in ((1, 700), (2, 1), (3, 2), (None, 90), (5, 301)):
+        for _ in range(n):
+            x = r.choice([r.gauss(0, 1), float(r.randint(0, 3)), float("inf")] if g == 5 else [r.gauss(0, 10 ** r.randint(0, 5))])
+            rows.append((i, g, x))
+            i += 1
+    df = spark.createDataFrame(rows + [(i, 9, None)], "row_id long, g int, x double")
+    for q in (0.0, 0.37, 0.95, 1.0):
+        for accuracy, strategy in ((10_000, "auto"), (3, "ranged")):
+            got = {x["g"]: (x["n"], x["value"]) for x in grouped_quantile(
+                df, ["g"], "x", q, "row_id", strategy=strategy, accuracy=accuracy).collect()}
+            assert set(got) == {1, 2, 3, None, 5}
+            for g, (n, value) in got.items():
+                xs = sorted(x for _, k, x in rows if k == g)
+                h = (len(xs) - 1) * q
+                a, b = xs[int(np.floor(h))], xs[int(np.ceil(h))]
+                want = a if a == b or h == int(h) else a + (b - a) * (h - int(h))
+                assert n == len(xs) and (value == want or abs(value - want) <= 1e-12 * abs(want)), (g, q, accuracy)
