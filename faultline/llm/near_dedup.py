@@ -9,8 +9,9 @@
    least ``STAR_SHARED``, and pairs are confirmed on the full shingle sets of
    both texts.  This only saves work: what it leaves out step 4 tests.
 3. Components of the confirmed links by large-star and small-star.
-4. Rest: buckets that still hold several components are compared node by
-   node across components, in blocks bounded in rows and bytes: by signature
+4. Rest: in buckets that still hold several components the nodes outside the
+   largest one are compared with all of other components, in blocks bounded
+   in rows and bytes: by signature
    agreement first, then, for the nodes that have a partner left, by their
    sets.  New pairs are confirmed on the full sets again and the components
    are taken anew.  So each pair that shares a
@@ -25,7 +26,9 @@ Words are runs outside ASCII white space, A-Z in lower case.  Edge cases: a
 text of one to four words is one shingle; null, empty and blank texts have
 no shingles and link with nothing; rows without an id link with nothing and
 are kept; repeated rows fall into one class; an empty table gives an empty
-result; extra columns are ignored, ``keep_first`` passes them through."""
+result; extra columns are ignored, ``keep_first`` passes them through.  Rows
+that share an id but not the text are one document: it has the text of least
+hash, and all its rows with a word get that one's component."""
 from __future__ import annotations
 
 import numpy as np
@@ -112,7 +115,7 @@ def similar(a: np.ndarray, b: np.ndarray, percent: float = PERCENT) -> bool:
 
 
 def sketch(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """Stored table doc_id, n, fp, bands, sig (low byte of each minimum); bands null for empty sets."""
+    """Stored table doc_id, text_hash, n, fp, bands, sig (low byte of each minimum); bands null for empty sets."""
     def run(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 256):
@@ -126,20 +129,22 @@ def sketch(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                     bands.append(None if m is None else band_keys(m))
                     sig.append(None if m is None else m.astype(np.uint8).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
+                    [part.column(0), part.column(2), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
                      pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
-                    names=["doc_id", "n", "fp", "bands", "sig"])
+                    names=["doc_id", "text_hash", "n", "fp", "bands", "sig"])
 
-    return stored(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-                  .mapInArrow(run, "doc_id bigint, n bigint, fp binary, bands array<bigint>, sig binary"), "sketch")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(F.col(text_col)).alias("text_hash"))
+    return stored(rows.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, fp binary, bands array<bigint>, "
+                                       "sig binary"), "sketch")
 
 
 def _texts(docs, nodes, id_col, text_col):
-    """One text per node id; texts of other ids mostly stay where they are."""
+    """One text per node id, the one of least hash; texts of other ids mostly stay where they are."""
     ids = stored(nodes.select("node").distinct(), "text-nodes")
     t = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
     t = maybe_in(t, F.col("node"), ids).where("__maybe").drop("__maybe")
-    return t.join(ids, "node", "left_semi").dropDuplicates(["node"])
+    return t.join(ids, "node", "left_semi").groupBy("node").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, id_col, text_col) -> DataFrame:
@@ -166,21 +171,15 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col, text_col) -> DataFrame:
     return stored(got.mapInArrow(run, "u bigint, v bigint"), "links")
 
 
-def block_pairs(comp, size, side, sig):
-    """(i, partners) of one block: members of the other components (and
-    sides, if there are two) with a close size and signature.  One component,
-    the largest, is only met as partner, so each pair comes once."""
-    values, counts = np.unique(comp, return_counts=True)
-    largest = values[counts.argmax()]
-    two = side.min() != side.max()
+def block_pairs(comp, size, side, sig, node):
+    """(i, partners) of one block: residents that a visitor may be linked to,
+    by component, size and signature.  ``side`` is 1 for visitors, 0 for
+    residents of the bucket's largest component and 2 for other residents,
+    which are visitors too: of such a pair the lesser node visits."""
     p = PERCENT / 100
     least = p - 5 * np.sqrt(p * (1 - p) / sig.shape[1])
-    done = np.zeros(len(comp), bool)
-    for i in np.flatnonzero(comp != largest):
-        done[i] = True
-        ok = (comp != comp[i]) & ~done
-        if two:
-            ok &= side != side[i]
+    for i in np.flatnonzero(side == 1):
+        ok = (comp != comp[i]) & ((side == 0) | (side == 2) & (node > node[i]))
         ok &= 100 * np.minimum(size, size[i]) >= PERCENT * np.maximum(size, size[i])
         at = np.flatnonzero(ok)
         if len(at):
@@ -189,7 +188,7 @@ def block_pairs(comp, size, side, sig):
                 yield int(i), at
 
 
-def block_links(comp, size, side, sig, sets) -> list[tuple[int, int]]:
+def block_links(comp, size, side, sig, node, sets) -> list[tuple[int, int]]:
     """Index pairs of one block with enough set overlap.  Pairs that earlier
     pairs of this block connect for certain are left out."""
     root, first, out = list(range(len(comp))), {}, []
@@ -202,7 +201,7 @@ def block_links(comp, size, side, sig, sets) -> list[tuple[int, int]]:
 
     for i, c in enumerate(comp.tolist()):
         root[i] = first.setdefault(c, i)
-    for i, at in block_pairs(comp, size, side, sig):
+    for i, at in block_pairs(comp, size, side, sig, node):
         for j in at.tolist():
             if find(i) == find(j):
                 continue
@@ -217,17 +216,28 @@ def block_links(comp, size, side, sig, sets) -> list[tuple[int, int]]:
 
 
 def _blocks(rows: DataFrame, weight) -> DataFrame:
-    """Rows (key, node, ...) dealt into block pairs: columns key, pair, side
-    are added.  Blocks of a key are equal by hash and bounded by
-    ``BLOCK_ROWS`` rows and ``BLOCK_BYTES`` of ``weight``."""
-    count = rows.groupBy("key").agg(F.count("*").alias("m"), F.sum(weight).alias("w"))
-    nb = F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("w") / BLOCK_BYTES)).cast("int")
-    b = rows.join(count.select("key", nb.alias("nb")), "key")
-    b = b.withColumn("i", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int")) \
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    pair = F.least("i", "j") * F.lit(1 << 20).cast("bigint") + F.greatest("i", "j")
-    return b.withColumn("pair", pair).withColumn("side", F.when(F.col("i") <= F.col("j"), 0).otherwise(1)) \
-        .drop("i", "j", "nb")
+    """Rows (key, node, component, ...) dealt into cells: columns pair and side are added.
+
+    The nodes of a bucket are residents, in blocks by hash; those outside its
+    largest component are visitors as well, in blocks of their own, and every
+    visitors' block meets every residents' block once.  Blocks are bounded by
+    ``BLOCK_ROWS`` rows and ``BLOCK_BYTES`` of ``weight``, so one stray node
+    beside m others deals m + m / ``BLOCK_ROWS`` rows."""
+    size = rows.groupBy("key", "component").agg(F.count("*").alias("m"), F.sum(weight).alias("w"))
+    count = size.groupBy("key").agg(F.max(F.struct("m", "w", "component")).alias("top"),
+                                    F.sum("m").alias("m"), F.sum("w").alias("w"))
+    blocks = lambda m, w: F.greatest(F.ceil(m / BLOCK_ROWS), F.ceil(w / BLOCK_BYTES), F.lit(1)).cast("int")
+    count = count.select("key", F.col("top.component").alias("largest"), blocks(F.col("m"), F.col("w")).alias("nr"),
+                         blocks(F.col("m") - F.col("top.m"), F.col("w") - F.col("top.w")).alias("nv"))
+    b = rows.join(count, "key")
+    h = F.xxhash64("node")
+    cell = lambda r, v, side: F.struct((v * F.lit(1 << 24).cast("bigint") + r).alias("pair"), F.lit(side).alias("side"))
+    stays = lambda side: F.transform(F.sequence(F.lit(0), F.col("nv") - 1),
+                                     lambda v: cell(F.pmod(h, F.col("nr")), v, side))
+    visits = F.transform(F.sequence(F.lit(0), F.col("nr") - 1),
+                         lambda r: cell(r, F.pmod(F.shiftrightunsigned(h, 20), F.col("nv")), 1))
+    dealt = F.when(F.col("component") == F.col("largest"), stays(0)).otherwise(F.concat(stays(2), visits))
+    return b.select(*rows.columns, F.inline(dealt))
 
 
 def _by_block(compare, names):
@@ -253,9 +263,9 @@ def _by_block(compare, names):
 
 
 def _arrays(rows):
-    """component, size, side, signature of rows (key, pair, side, node, component, n, sig, ...)."""
+    """component, size, side, signature, node of rows (key, pair, side, node, component, n, sig, ...)."""
     return (np.array([r[4] for r in rows]), np.array([r[5] for r in rows]), np.array([r[2] for r in rows]),
-            np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1))
+            np.frombuffer(b"".join(r[6] for r in rows), np.uint8).reshape(len(rows), -1), np.array([r[3] for r in rows]))
 
 
 def _close(rows):
@@ -304,12 +314,18 @@ def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     ship(docs.sparkSession)
     sk = sketch(docs, id_col, text_col)
     some = sk.where("doc_id is not null and n > 0")
+    # an id with several texts is the document of the text of least hash
+    twice = some.groupBy("doc_id").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).where("a <> b")
+    twice = stored(some.join(twice.select("doc_id", F.col("a").alias("text_hash")), ["doc_id", "text_hash"], "left_semi")
+                   .select("doc_id", "text_hash", F.col("fp").alias("own_fp")).distinct(), "ids-with-several-texts")
+    others = sk.join(twice.select("doc_id", F.col("text_hash").alias("keep"), "own_fp"), "doc_id", "left")
+    some = others.where("doc_id is not null and n > 0 and (keep is null or keep = text_hash)")
     classes = stored(some.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
     reps = some.join(classes.select(F.col("node").alias("doc_id"), "fp"), ["doc_id", "fp"], "left_semi") \
         .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "n", "bands", "sig")
     reps = stored(reps, "representatives")
-    # one exchange by key serves the leaders and the join back to them
-    rows = reps.select("node", F.explode("bands").alias("key")).repartition("key")
+    # Spark's own exchanges by key, so that a hot bucket's join is split
+    rows = reps.select("node", F.explode("bands").alias("key"))
     lead = rows.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("m")).where("m > 1")
     buckets = stored(rows.join(lead.select("key", "leader"), "key"), "buckets")
     stars = buckets.where("node <> leader").groupBy("node", "leader").agg(F.count("*").alias("shared")) \
@@ -321,7 +337,8 @@ def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     more = confirm(_rest(buckets.select("key", "node"), comps, reps, docs, id_col, text_col), docs, id_col, text_col)
     comps = connected_components(links.union(more))
     whole = classes.join(comps, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    got = sk.select("doc_id", "n", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("fp")).alias("fp")) \
+    own = F.coalesce("own_fp", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("fp")))
+    got = others.select("doc_id", "n", own.alias("fp")) \
         .join(whole, "fp", "left")
     comp = F.coalesce("component_id", "doc_id")
     return got.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"),

@@ -100,6 +100,54 @@ def test_whole_table(spark, sf):
         assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]]
 
 
+def test_one_stray_node_deals_few_rows(spark):
+    from pyspark.sql import functions as F
+    n = 40_000
+    b = spark.range(n + 1).select(F.lit(1).cast("bigint").alias("key"), F.col("id").alias("node"),
+                                  F.when(F.col("id") < n, 0).otherwise(F.col("id")).alias("component"),
+                                  F.lit(100).alias("n"), F.lit(b"x" * 288).alias("sig"))
+    dealt = N._blocks(b, F.lit(320))
+    assert dealt.count() < 100_000
+    cells = dealt.groupBy("pair").agg(F.count("*").alias("m"), F.sum((F.col("side") == 1).cast("int")).alias("v"))
+    r = cells.agg(F.max("m"), F.min("v"), F.sum(F.col("m") - F.col("v"))).first()
+    assert r[0] < 2 * N.BLOCK_ROWS and r[1] == 1 and r[2] == n + 1
+
+
+def test_each_pair_of_other_components_meets_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(N, "BLOCK_ROWS", 4)
+    b = spark.range(40).select(F.lit(1).cast("bigint").alias("key"), F.col("id").alias("node"),
+                               F.when(F.col("id") < 25, 0).otherwise(F.floor(F.col("id") / 3)).alias("component"),
+                               F.lit(1).alias("n"), F.lit(b"s").alias("sig"))
+    rows = N._blocks(b, F.lit(0)).collect()
+    cells = defaultdict(list)
+    for r in rows:
+        cells[r["pair"]].append(r)
+    met = Counter()
+    for c in cells.values():
+        comp, node = np.array([r["component"] for r in c]), np.array([r["node"] for r in c])
+        side, sig = np.array([r["side"] for r in c]), np.zeros((len(c), 288), np.uint8)
+        for i, at in N.block_pairs(comp, np.ones(len(c)), side, sig, node):
+            met.update(frozenset((int(node[i]), int(node[k]))) for k in at)
+    comp = {r["node"]: r["component"] for r in rows}
+    want = {frozenset((a, c)) for a in comp for c in comp if comp[a] != comp[c]}
+    assert set(met) == want and set(met.values()) == {1}
+
+
+def test_one_id_with_two_texts_joins_nothing_else(spark):
+    r = random.Random(4)
+    text = [" ".join(f"q{r.randrange(10**6)}" for _ in range(60)) for _ in range(2)]
+    rows = [(1, text[0]), (1, text[1]), (2, text[0]), (3, text[1]), (4, None), (4, "one two")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [(x["doc_id"], x["component_id"]) for x in N.components(df).collect()]
+    assert len(got) == 6 and len({c for d, c in got if d == 1}) == 1
+    comp = dict(got)
+    # document 1 is one of its texts, so exactly one of 2 and 3 is its copy
+    assert sorted((comp[2] == 1, comp[3] == 1)) == [False, True] and comp[4] == 4
+    left = sorted(x["doc_id"] for x in N.keep_first(df).collect())
+    assert left in ([1, 1, 2, 4, 4], [1, 1, 3, 4, 4])
+
+
 def plain_grams(words):
     n = min(D.GRAM, len(words))
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
