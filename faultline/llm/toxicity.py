@@ -1,11 +1,14 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Transducers over token classes (insult, threat, target, negation, reported
-speech, other) are composed into one machine that is run over the clauses of
-a text.  It marks every insult or threat of a clause as plain, directed at a
-target, negated, or reported; the weights of the marked matches are summed
-per kind and a logistic layer turns the sums into a score.  So a match
-counts by the clause it stands in, not as an isolated word.
+speech, conjunction, other) are composed into two machines, one run over a
+clause in reading order and one from its end.  They mark every insult or
+threat as plain, directed at a target, negated, or reported, wherever the
+target or the reporting verb stands; each reaches a bounded number of words
+and no further than a conjunction.  The weights of the marked matches are
+summed per kind, and a logistic layer turns the sums and the text's length
+into a score (a long text meets a word beginning by chance more easily).  So
+a match counts by the clause it stands in, not as an isolated word.
 
 The function words of the grammar are fixed.  Insults are learnt from the
 training labels: whole words and word beginnings that toxic documents have
@@ -42,6 +45,8 @@ MIN_SUPPORT = 3
 MIN_SHARE = 0.02
 #: Log-likelihood ratio that a pattern needs, by round; the later rounds look at uncovered documents.
 LEVELS = (24.0, 15.0, 12.0)
+#: How many words negation, a reporting verb and a target reach.
+NEGATION_REACH, REPORT_REACH, TARGET_REACH = 3, 8, 6
 PREFIXES = range(3, 8)
 
 #: Function words of the grammar (fixed values).
@@ -52,6 +57,7 @@ NEGATIONS = frozenset("""not no never none neither nor cannot isn't aren't wasn'
 nicht kein keine keinen nie niemals ne pas jamais aucun aucune non nunca jamás ni tampoco""".split())
 REPORTING = frozenset("""said says say told called calls wrote writes quoted quotes claimed claims alleged reported
 according sagte sagt schrieb nannte laut zufolge dit disait écrit appelé selon dijo dice escribió llamó según""".split())
+CONJUNCTIONS = frozenset("and but or so because while und aber oder denn weil et mais ou car y pero o porque".split())
 THREATS = {w: 2.0 for w in """kill murder strangle stab shoot hang lynch rape töten umbringen erschießen tuer
 égorger matar asesinar""".split()}
 
@@ -92,31 +98,43 @@ class Transducer:
 
 
 _MATCH = ("I", "T")  # insult, threat; marks: n negated, r reported, d directed
+_CLASSES = ("I", "T", "Y", "N", "R", "C", "O")
 
 
-def grammar(reach: int = 3) -> Transducer:
-    """negation . reported speech . target, over classes I T Y N R O."""
-    negation = {}
-    others = ("Y", "R", "O")
+def _marked(symbol: str, mark: str) -> str:
+    return symbol[0] + "".join(m for m in "nrd" if m in symbol[1:] or m == mark)
+
+
+_SYMBOLS = [*(a + "".join(m for m, on in zip("nrd", (k & 1, k & 2, k & 4), strict=True) if on) for a in _MATCH
+              for k in range(8)), "Y", "N", "R", "C", "O"]
+
+
+def _near(opener: str, mark: str, reach: int, ends: str = "C") -> Transducer:
+    """Marks matches at most ``reach`` words after an opener; a conjunction ends its scope."""
+    arcs = {}
     for left in range(reach + 1):
-        negation[left, "N"] = (reach, "N")
-        for a in others:
-            negation[left, a] = (max(0, left - 1), a)
-        for a in _MATCH:
-            negation[left, a] = (max(0, left - 1), a + "n" if left else a)
-    reported, target = {(0, "R"): (1, "R")}, {(0, "Y"): (1, "Y")}
-    for a in _MATCH:
-        for b in (a, a + "n"):
-            reported[1, b] = (1, b + "r")
-            for c in (b, b + "r"):
-                target[1, c] = (1, c + "d")
-    alphabet = ("I", "T", "Y", "N", "R", "O")
-    return Transducer(negation).compose(Transducer(reported), alphabet).compose(Transducer(target), alphabet)
+        for a in _SYMBOLS:
+            if a == opener:
+                arcs[left, a] = (reach, a)
+            elif a == ends:
+                arcs[left, a] = (0, a)
+            else:
+                arcs[left, a] = (max(0, left - 1), _marked(a, mark) if left and a[0] in _MATCH else a)
+    return Transducer(arcs)
+
+
+def grammar() -> tuple[Transducer, Transducer]:
+    """(forward, backward) machines: negation . reported speech . target in reading order, then reported speech .
+    target from the end of the clause, for verbs and targets that come after their match."""
+    spoken, target = _near("R", "r", REPORT_REACH), _near("Y", "d", TARGET_REACH)
+    forward = _near("N", "n", NEGATION_REACH).compose(spoken, _SYMBOLS).compose(target, _SYMBOLS)
+    return forward, spoken.compose(target, _SYMBOLS)
 
 
 #: How the kinds of matches count before the data says otherwise.
 KINDS = ("plain", "directed", "negated", "reported", "threat", "threat_directed")
-PRIOR = np.array([1.0, 1.3, 0.5, 0.6, 0.6, 1.5, -4.0])
+#: Weights of the kinds, of the text's length and of a text without anything.
+PRIOR = np.array([1.0, 1.3, 0.5, 0.6, 0.6, 1.5, 0.0, -4.0])
 
 
 def _kind(symbol: str) -> int:
@@ -129,7 +147,8 @@ class Grammar:
     """Lexicon of insults ("=word" or "^beginning" -> weight), machine and logistic layer."""
 
     def __init__(self, insults: dict[str, float], layer=PRIOR):
-        self.insults, self.layer, self.machine = insults, np.asarray(layer, float), grammar()
+        self.insults, self.layer = insults, np.asarray(layer, float)
+        self.forward, self.backward = grammar()
         self.words = {p[1:]: w for p, w in insults.items() if p[0] == "="}
         self.stems = {p[1:]: w for p, w in insults.items() if p[0] == "^"}
         self.lengths = sorted({len(p) for p in self.stems})
@@ -149,19 +168,24 @@ class Grammar:
         if word in THREATS:
             return "T", THREATS[word]
         return ("Y" if word in TARGETS else "N" if word in NEGATIONS or word.endswith("n't")
-                else "R" if word in REPORTING else "O"), 0.0
+                else "R" if word in REPORTING else "C" if word in CONJUNCTIONS else "O"), 0.0
+
+    def marks(self, classes: list[str]) -> list[str]:
+        """Symbols of a clause: what is negated, reported or directed at a target, before or after the match."""
+        return self.backward.run(self.forward.run(classes)[::-1])[::-1]
 
     def sums(self, text: str | None) -> np.ndarray:
-        """Weight of the matches of each kind, over all clauses of the text."""
-        out = np.zeros(len(KINDS))
+        """Weight of the matches of each kind, over all clauses of the text, and the number of its words."""
+        out = np.zeros(len(KINDS) + 1)
         low = (text or "").lower()
+        out[-1] = len(low.split())
         at = 0
         while m := self.any.search(low, at):
             # the clause around the match
             lo = max(low.rfind(c, at, m.start()) for c in ".!?;\n") + 1
             end = _CLAUSE.match(low, m.start()).end()
             clause = [self._class(x) for x in _WORD.findall(low, max(lo, at), end)]
-            for (_, w), s in zip(clause, self.machine.run(a for a, _ in clause), strict=True):
+            for (_, w), s in zip(clause, self.marks([a for a, _ in clause]), strict=True):
                 if w:
                     out[_kind(s)] += w
             at = end
@@ -171,11 +195,11 @@ class Grammar:
         z = np.log1p(sums) @ self.layer[:-1] + self.layer[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def fit_layer(self, sums: np.ndarray, y: np.ndarray, pull: float = 0.005, steps: int = 400) -> Grammar:
+    def fit_layer(self, sums: np.ndarray, y: np.ndarray, pull: float = 0.0002, steps: int = 400) -> Grammar:
         """Logistic regression on the sums, pulled towards the prior weights."""
         x = np.c_[np.log1p(sums), np.ones(len(y))]
         w = PRIOR.copy()
-        each = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
+        each = np.full(len(y), 1 / max(1, len(y)))
         for _ in range(steps):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             h = (x * (each * p * (1 - p))[:, None]).T @ x + pull * np.eye(len(w))

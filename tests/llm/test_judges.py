@@ -150,3 +150,70 @@ def test_quality_sparse_labels(spark):
     with pytest.warns(UserWarning, match="trusted positives"):
         m = Q.fit(docs, labels.where("quality = 0"))
     assert {x["score"] for x in Q.score(docs.limit(5), m).collect()} == {0.5}
+
+
+def _kinds(g, clause):
+    return {k for k, v in zip(toxicity.KINDS, g.sums(clause)) if v}
+
+
+def test_clause_roles_in_either_order():
+    g = toxicity.Grammar({"=idiot": 3.0, "=scum": 3.0})
+    assert _kinds(g, "i will kill you") == _kinds(g, "you i will kill") == {"threat_directed"}
+    assert _kinds(g, "idiot, you are") == _kinds(g, "you are an idiot") == {"directed"}
+    assert _kinds(g, "an idiot, she said") == _kinds(g, "she said an idiot") == {"reported"}
+    assert _kinds(g, "I said hello and you are an idiot") == {"directed"}
+    assert _kinds(g, "you are an idiot and she said hello") == {"directed"}
+    assert _kinds(g, "not an idiot") == {"negated"} and _kinds(g, "what an idiot") == {"plain"}
+    assert _kinds(g, "never in all my long years an idiot") == {"plain"}  # beyond the negation's reach
+    assert _kinds(g, "an idiot. you are scum") == {"plain", "directed"}
+
+
+def test_machine_against_plain_rules():
+    """Forward and backward machines against scopes looked up position by position."""
+    import random
+    r = random.Random(3)
+    g = toxicity.Grammar({})
+
+    def near(symbols, i, opener, reach, step):
+        for d in range(1, reach + 1):
+            j = i + step * d
+            if not 0 <= j < len(symbols) or symbols[j] == "C":
+                return False
+            if symbols[j] == opener:
+                return True
+        return False
+
+    for _ in range(300):
+        c = [r.choice("ITYNRCOOOO") for _ in range(r.randint(1, 14))]
+        want = []
+        for i, a in enumerate(c):
+            if a in "IT":
+                n = near(c, i, "N", toxicity.NEGATION_REACH, -1)
+                q = any(near(c, i, "R", toxicity.REPORT_REACH, s) for s in (-1, 1))
+                d = any(near(c, i, "Y", toxicity.TARGET_REACH, s) for s in (-1, 1))
+                a += "n" * n + "r" * q + "d" * d
+            want.append(a)
+        assert g.marks(c) == want, c
+
+
+def test_equal_words_different_roles():
+    """Pairs of clauses with the same words: a sum of word weights can't tell them apart, the grammar does."""
+    import numpy as np
+    names = ["well", "here", "there", "today", "now", "again", "early", "late"]
+    pairs = [(f"he said {w} and you are an idiot", f"you are {w} and he said an idiot") for w in names] + \
+        [(f"i am not {w} today my friends you idiot", f"i am {w} today my friends you not idiot") for w in names]
+    g = toxicity.Grammar({"=idiot": 3.0})
+    x = np.array([g.sums(t) for p in pairs for t in p])
+    y = np.array([k for _ in pairs for k in (1.0, 0.0)])
+    words = [sorted(t.split()) for p in pairs for t in p]
+    assert words[::2] == words[1::2]
+    g.fit_layer(x[:24], y[:24])
+    assert ((g.score(x[24:]) >= 0.5) == y[24:]).all()
+
+
+def test_clean_documents_left_alone(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = toxicity.score(docs, toxicity.fit(docs, labels)).where("held_out").join(labels, "doc_id").toPandas()
+    y, p = got.toxic, got.predicted
+    assert (p[y == 0] == 0).mean() >= 0.98 and (p[y == 1] == 1).mean() > 0.85
