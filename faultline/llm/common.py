@@ -15,17 +15,41 @@ NUM = "bigint"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path, never used by another run, under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's own folder under the shared checkpoint folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def run_folder(spark: SparkSession) -> str:
+    """All intermediate tables of an application are below this folder; nothing else is.
+
+    It may be removed as soon as the application's results are stored
+    (:func:`clear`, or by whoever cleans up after ended applications)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables.  Only frames that are stored elsewhere stay readable."""
+    _remove(spark, run_folder(spark))
+
+
+def stored(df: DataFrame, name: str, instead_of=()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the
-    lineage and survives lost executors."""
+    lineage and survives lost executors.  Stored frames that only ``df`` was
+    made from (``instead_of``) are removed once it is written."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for old in instead_of:
+        if at := getattr(old, "_stored_at", None):
+            _remove(spark, at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
 
 
 def held_out(doc_id: Column | str) -> Column:

@@ -42,7 +42,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
                .distinct(), "edges")
     state = _state(e)
     while state[0]:
-        e = stored(_small_star(stored(_large_star(e), "large-star")), "small-star")
+        large = stored(_large_star(e), "large-star", [e])
+        e = stored(_small_star(large), "small-star", [large])
         now = _state(e)
         if now == state:
             break
