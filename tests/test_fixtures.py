@@ -92,8 +92,11 @@ DELTAS = {"rf": (-0.00031345899566970203, 0.0), "mlp": (0.007156280505103529, 1.
 
 def test_metrics_delta_golden(spark):
     schema = "model string, f1_macro double, auc_roc double"
-    d = FC.metrics_delta(spark.createDataFrame(METRICS_PROC, schema), spark.createDataFrame(METRICS_ORIG, schema))
+    tagged = [(*r, t) for t, rows in (("proc", METRICS_PROC), ("orig", METRICS_ORIG)) for r in rows]
+    alone = [("only-one-tag", 0.5, 0.5, "proc")]
+    d = FC.delta_of(FC.tag_pair(spark.createDataFrame(tagged + alone, schema + ", tag string"), "orig", "proc"))
     got = {r["model"]: (r["delta_f1"], r["delta_auc"]) for r in d.collect()}
+    assert set(got) == set(DELTAS)
     for m, (df1, dauc) in DELTAS.items():
         assert abs(got[m][0] - df1) < 1e-12 and abs(got[m][1] - dauc) < 1e-12
 
