@@ -95,6 +95,7 @@ def q_score_rows_keys(spark, sf_dir):
     df = Q.prepared(spark, sf_dir).cache()
     tr, _, te = Q._folds(df)
     m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 8}, **FAST)
+    df.unpersist()      # the fit read it many times, the result reads it once
     path = scratch_path(spark, f"faultline-model-{uuid.uuid4().hex[:12]}")
     M.save_model(m, path)
     a = M.score_rows(m, te, keep=["row_id", "label_fault", *FEATS])
@@ -112,6 +113,7 @@ def q_tree_rules_checks(spark, sf_dir):
     df = Q.prepared(spark, sf_dir).cache()
     tr, _, _ = Q._folds(df)
     m = M.fit(tr, FEATS, "label_fault", "tree", {"maxDepth": 3})
+    df.unpersist()
     rules = M.tree_rules(m, FEATS)
     met = [F.expr(r).cast("int") if r else F.lit(1) for r, _ in rules]
     said = sum((x * F.lit(p) for x, (_, p) in zip(met, rules)), F.lit(0))
@@ -144,7 +146,7 @@ SELECT f AS feature, count(*) AS n_rows, true AS same_values, true AS others_unt
 FROM test, (VALUES {", ".join(f"('{f}')" for f in FEATS)}) v(f) GROUP BY f""")
 def q_permutation_checks(spark, sf_dir):
     """A permuted column holds the values of the original, all others are as they were."""
-    te = Q._folds(Q.prepared(spark, sf_dir))[2].select("row_id", *FEATS, "label_fault").cache()
+    te = Q._folds(Q.prepared(spark, sf_dir))[2].select("row_id", *FEATS, "label_fault")
     c = M._permuted_copies(te, FEATS, 1, 42, "row_id", "label_fault")
     sums = lambda d, keys: d.groupBy(*keys).agg(F.count("*").alias("n"), *[
         F.bit_xor(F.xxhash64(f)).alias(f"v_{f}") for f in FEATS], *[

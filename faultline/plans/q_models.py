@@ -77,8 +77,9 @@ register("train_mlp")(_train_one("mlp", {"hidden": (64, 32)}))
 @register("tree_rules")
 def q_tree_rules(spark, sf_dir):
     """Depth-3 weighted tree as rules."""
-    tr, _, _ = _folds(prepared(spark, sf_dir).cache())
-    m = M.fit(tr, FEATS, "label_fault", "tree", {"maxDepth": 3})
+    df = prepared(spark, sf_dir).cache()
+    m = M.fit(_folds(df)[0], FEATS, "label_fault", "tree", {"maxDepth": 3})
+    df.unpersist()
     rules = M.tree_rules(m, FEATS)
     return spark.createDataFrame([(i, r, p) for i, (r, p) in enumerate(rules)], "rule_id int, rule string, prediction int")
 
@@ -101,6 +102,7 @@ def q_score_rows(spark, sf_dir):
     df = prepared(spark, sf_dir).cache()
     tr, _, te = _folds(df)
     m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 12}, **FAST)
+    df.unpersist()      # the fit read it many times, the result reads it once
     return finish(M.score_rows(m, te, keep=["row_id", "label_fault"]))
 
 
@@ -118,8 +120,9 @@ def q_permutation_importance(spark, sf_dir):
 @register("impurity_importance")
 def q_impurity_importance(spark, sf_dir):
     """I10."""
-    tr, _, _ = _folds(prepared(spark, sf_dir).cache())
-    m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 12}, **FAST)
+    df = prepared(spark, sf_dir).cache()
+    m = M.fit(_folds(df)[0], FEATS, "label_fault", "rf", {"maxDepth": 12}, **FAST)
+    df.unpersist()
     return finish(spark.createDataFrame(M.impurity_importance(m, FEATS), "feature string, importance double"))
 
 
@@ -222,6 +225,7 @@ def q_model_roundtrip(spark, sf_dir):
     tr, _, te = _folds(df)
     m = M.fit(tr, FEATS, "label_fault", "rf", {"maxDepth": 8}, **FAST)
     path = scratch_path(spark, f"faultline-model-rf-{uuid.uuid4().hex[:12]}")
+    df.unpersist()
     M.save_model(m, path)
     m2 = M.load_model(path)
     a = M.score_rows(m, te, keep=["row_id"])
