@@ -189,7 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, positive_r
     trusted = y.where((F.col("y") == 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     trusted = _drawn(trusted.select("doc_id"), "doc_id", positive_rows, trusted.count())
     ids = docs.withColumn("__id", F.col(id_col))
-    pos = ids.join(trusted.select(F.col("doc_id").alias("__id")), "__id", "left_semi").drop("__id")
+    # at most about positive_rows ids, so that no text is shuffled
+    pos = ids.join(F.broadcast(trusted.select(F.col("doc_id").alias("__id"))), "__id", "left_semi").drop("__id")
     unl = _drawn(docs, id_col, fit_rows, docs.count()).withColumn("__id", F.col(id_col)) \
         .join(y.select(F.col("doc_id").alias("__id")), "__id", "left_anti").drop("__id")
     got = _feature_rows(pos, id_col, text_col).withColumn("y", F.lit(True)) \
