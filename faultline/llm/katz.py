@@ -268,9 +268,10 @@ class Model:
 
 
 def unigrams(m: dict) -> np.ndarray:
-    """Discounted probability of each frequent word, by code."""
+    """Discounted probability of each frequent word, by code (the end is unknown without training texts)."""
     c = m["counts"]
-    return np.where(c <= CUT, np.array([0.0, *m["d1"]])[np.minimum(c, CUT)], 1.0) * c / max(m["n1"], 1)
+    p = np.where(c <= CUT, np.array([0.0, *m["d1"]])[np.minimum(c, CUT)], 1.0) * c / max(m["n1"], 1)
+    return np.where(c == 0, m["unknown"], p)
 
 
 def salts(m: dict) -> np.ndarray:
