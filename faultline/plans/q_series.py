@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import series as D
 from ..sources import tele, tele_ev
-from .catalog import EV_LAB_SQL, TELE_EV_SQL, TELE_SQL, finish, register, tele_ev_sql
+from .catalog import EV_LAB_SQL, TELE_EV_SQL, TELE_SQL, finish, r6, register, tele_ev_sql
 from .q_core import ev_labelled
 
 
@@ -27,7 +27,9 @@ FROM tele_ev WINDOW w AS (ORDER BY ts ASC NULLS LAST, row_id)""")
 def q_first_difference_global(spark, sf_dir):
     """D1 in global order with the per-second option."""
     t = tele_ev(spark, sf_dir).select("row_id", "ts", "vibration")
-    return finish(D.first_difference(t, "vibration", "rate", per_second=True).select("row_id", "rate"))
+    d = D.first_difference(t, "vibration", "rate", per_second=True).select("row_id", "rate")
+    finite = F.abs("rate") < F.lit(float("inf"))          # false for NaN too: an infinite rate is not rounded
+    return d.select("row_id", F.when(finite, r6(F.col("rate"))).otherwise(F.col("rate")).alias("rate"))
 
 
 @register("rolling_time_mean", f"""

@@ -35,3 +35,12 @@ def test_hour_zero_fill_and_regimes(spark):
     assert reg == {"rush": (1, 1.0), "midday": (1, 0.0), "quiet": (1, 1.0), "weekend": (1, 1.0)}
     daily = D.faults_daily(df, "y").orderBy("day").collect()
     assert len(daily) == 6 and [r["faults"] for r in daily] == [2, 0, 0, 0, 0, 1]
+
+
+def test_rate_of_rows_of_one_time(spark):
+    rows = [(1, 0, 5.0), (2, 1, 6.0), (3, 1, 8.0), (4, 1, 3.0), (5, 1, 3.0), (6, 3, 4.0), (7, None, 9.0)]
+    df = spark.createDataFrame(rows, "row_id int, s int, v double").selectExpr(
+        "row_id", "timestamp_seconds(s) AS ts", "v")
+    got = [r["rate"] for r in D.first_difference(df, "v", "rate", per_second=True).orderBy("row_id").collect()]
+    inf = float("inf")
+    assert got[:4] == [0.0, 1.0, inf, -inf] and got[4] != got[4] and got[5:] == [0.5, 0.0]
