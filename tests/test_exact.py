@@ -69,3 +69,14 @@ def test_rolling_mean_of_any_doubles_in_both_plans(spark):
         assert len(got) == len(want)
         for i, w in want.items():
             assert got[i] == w or abs(got[i] - w) <= 4 * math.ulp(w), (strategy, i, got[i], w)
+
+
+def test_mean_is_evaluated_once_per_row(spark):
+    """Nested lambdas over the digits evaluated one another again, some dozen times a row."""
+    df = spark.createDataFrame([(1, 1e-14), (1, 1e27)], "g int, x double")
+    places = digits_of(df, ["x"])["x"]
+    parts = [*tallies(F.col("x")), *places.split(F.col("x"))]
+    rows = df.select(*[p.alias(f"s{i}") for i, p in enumerate(parts)])
+    n, up, down, *digits = [F.col(c) for c in rows.columns]
+    plan = rows.select(mean(places, digits, n, up, down).alias("m"))._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and plan.count("ArrowEvalPython") == 1
