@@ -7,13 +7,15 @@
    character references are decoded and white space becomes one space.
 2. Text lengths, less twice the text inside links, are summed over sliding
    windows of ``WINDOW`` lines of one box (the innermost element that holds
-   blocks).  Where a page marks its article (``article`` or ``main`` elements,
-   ``articleBody``, ``role=main``) the mark outweighs the sums: blocks outside
-   count as empty, and every line with text inside is above the level, since
-   short paragraphs are as much its text.
-3. Elsewhere a box is dense where its window sums surge past the page's level;
-   lines of other boxes count as empty.  A surge point is the first line with
-   text of a stretch, its dive point the next empty one.
+   blocks).  The lines that a page marks as its article (``article`` or
+   ``main`` elements, ``articleBody``, ``role=main``) are one box, whatever
+   elements divide them; their whole text counts, ``MARK_WEIGHT`` times.
+3. A box is dense where its window sums surge past the page's level; lines of
+   other boxes count as empty.  A dense marked box is the article: it goes
+   before all others and keeps its short paragraphs.  A marked box that does
+   not surge, such as a teaser, gives way to the boxes that do; where none
+   does it stands.  A surge point is the first line with text of a stretch,
+   its dive point the next empty one.
 4. The text between surge and dive points is kept, blocks joined by one line
    feed.
 
@@ -39,6 +41,8 @@ from .common import ship
 WINDOW = 3
 MIN_SURGE = 40
 PEAK_SHARE = 0.2
+MARK_WEIGHT = 10
+MARKED = -1     # the box of all lines that the page marks
 SMALL_BATCH = 64
 
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset
@@ -210,16 +214,14 @@ def dense_boxes(boxes: list[int], sizes: list[int]) -> set[int]:
 def extract(page: str | None) -> str:
     """Main text of one page."""
     lines = lines_of(page or "")
-    marked = any(x[3] for x in lines)
-    if marked:  # the mark outweighs any density: every line with text inside it is above the level
-        sizes = [len(t) if a and not x else 0 for t, _, x, a, _ in lines]
-        runs = surges(sizes, 1, 0.0)
-    else:  # a block made of links adds nothing, and a line counts with its box
-        sizes = [0 if x else max(0, len(t) - 2 * k) for t, k, x, _, _ in lines]
-        dense = dense_boxes([x[4] for x in lines], sizes)
-        sizes = [n if x[4] in dense else 0 for n, x in zip(sizes, lines, strict=True)]
-        runs = surges(sizes, 1, 0.0)
-    return "\n".join(lines[i][0] for lo, hi in runs for i in range(lo, hi))
+    # the lines that the page marks are one box; elsewhere a block made of links adds nothing
+    boxes = [MARKED if a and not x else b for _, _, x, a, b in lines]
+    sizes = [0 if x else MARK_WEIGHT * len(t) if a else max(0, len(t) - 2 * k) for t, k, x, a, _ in lines]
+    dense = dense_boxes(boxes, sizes)
+    if MARKED in dense or not dense:
+        dense = {MARKED}
+    sizes = [n if b in dense else 0 for n, b in zip(sizes, boxes, strict=True)]
+    return "\n".join(lines[i][0] for lo, hi in surges(sizes, 1, 0.0) for i in range(lo, hi))
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -20,6 +20,14 @@ def test_unmarked_page_by_distribution():
     assert extract(page) == "\n".join(["Title here", P.strip(), "short.", P.strip()])
 
 
+def test_sums_decide_on_marked_pages():
+    teaser = "<article><h3>More</h3></article>"
+    assert extract(f"<body><div><p>{P}<p>short.<p>{P}</div>{teaser}</body>") == "\n".join([P.strip(), "short.", P.strip()])
+    assert extract(f"<body><div>tiny</div>{teaser}</body>") == "More"        # nothing surges: the mark stands
+    assert extract(f"<body><div><p>{P}</div><article><p>{P}<p>short.<div>in a box</div></article></body>") \
+        == P.strip() + "\nshort.\nin a box"
+
+
 def test_surges():
     assert surges([0, 5, 50, 2, 0, 3, 0], 20, 0.2) == [(1, 4)]
     assert surges([], 20) == [] and surges([0, 0], 20) == []
