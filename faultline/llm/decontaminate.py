@@ -54,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import ship, stored, text_batches
 
 K1, B = 1.2, 0.75
 CHUNK = 64
@@ -313,6 +313,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col="doc_id", text_co
                  item_text_col="text", answer_col: str | None = None, part_bytes: int = PART_BYTES) -> DataFrame:
     """One row per document and leaked item: ids, score, question_overlap, answer_overlap, overlap."""
     ship(docs.sparkSession)
+    text_batches(docs.sparkSession)
     sc = docs.sparkSession.sparkContext
     item_type = dict(benchmark.dtypes)[item_col]
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -342,6 +343,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, text_col="text", item_col="ite
            answer_col: str | None = None) -> DataFrame:
     """Rows of ``docs`` without a leaked item, columns and values unchanged."""
     ship(docs.sparkSession)
+    text_batches(docs.sparkSession)
     sc, at = docs.sparkSession.sparkContext, docs.columns.index(text_col)
 
     def keep(shared):

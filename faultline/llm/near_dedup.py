@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_in, ship, stored
+from .common import maybe_in, ship, stored, text_batches
 from .components import connected_components
 
 SHINGLE = 5
@@ -312,6 +312,7 @@ def _rest(buckets: DataFrame, comps: DataFrame, reps: DataFrame, docs, id_col, t
 def components(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
     ship(docs.sparkSession)
+    text_batches(docs.sparkSession)
     sk = sketch(docs, id_col, text_col)
     some = sk.where("doc_id is not null and n > 0")
     # an id with several texts is the document of the text of least hash

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, ship, stored
+from .common import held_out, ship, stored, text_batches
 
 FIT_TOXIC = 6_000
 FIT_CLEAN = 12_000
@@ -314,6 +314,7 @@ def _sums(rows: DataFrame, g: Grammar, keep: list[str]) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic") -> Grammar:
     """Learn the lexicon and the layer from labels of the training fold."""
     ship(docs.sparkSession)
+    text_batches(docs.sparkSession)
     y = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")) \
         .where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id")) \
         .groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -354,6 +355,7 @@ def _uncovered(toxic: DataFrame, known: Grammar) -> int:
 def score(docs: DataFrame, g: Grammar, id_col="doc_id", text_col="text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted."""
     ship(docs.sparkSession)
+    text_batches(docs.sparkSession)
     rows = _sums(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), g, ["doc_id"])
     return rows.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                        (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -362,6 +364,7 @@ def score(docs: DataFrame, g: Grammar, id_col="doc_id", text_col="text", thresho
 def reject(docs: DataFrame, g: Grammar, text_col="text", threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that the grammar does not find toxic, columns and values unchanged."""
     ship(docs.sparkSession)
+    text_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches):
