@@ -60,6 +60,14 @@ def test_networks_in_passes_are_sparks(rows, monkeypatch):
     assert M.score_rows(got[0], rows).where("p_fault between 0 and 1").count() == 1500
 
 
+def test_values_that_are_not_finite_are_refused(rows, monkeypatch):
+    monkeypatch.setattr(M, "FEW_ROWS", 0)
+    bad = rows.withColumn("b", F.when(F.col("a") < 0, F.col("b")))
+    for kind, params in (("mlp", {"hidden": (4,)}), ("svm", {"C": 1.0})):
+        with pytest.raises(Exception, match="NULL, NaN or infinite"):
+            M.fit(bad, "abc", "y", kind, params, max_iter=2)
+
+
 def test_kernel_machines_in_passes_are_sparks(spark, rows, monkeypatch, tmp_path):
     grid = [("svm", {"C": c, "gamma": g}) for c, g in ((1.0, "scale"), (0.5, 0.1))]
     kw = dict(max_iter=1, rff_components=12, weighted=False)        # unequal classes: the start has a clear slope
